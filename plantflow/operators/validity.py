@@ -49,24 +49,15 @@ def interval_start(within: TimeRange) -> Column:
     return F.greatest(F.col("validity.since"), within.start)
 
 
-def baseline(previous: str, within: TimeRange) -> Column:
-    """The reading before, if it lies in the same validity interval and inside the range."""
-    return F.when(F.col(f"{previous}.timestamp") >= interval_start(within), F.col(f"{previous}.value"))
+def baseline(previous: str, start: Column) -> Column:
+    """The reading before, if it lies in the same validity interval, which begins at `start`."""
+    return F.when(F.col(f"{previous}.timestamp") >= start, F.col(f"{previous}.value"))
 
 
 def reading_before(condition: Column) -> segments.Running:
     return segments.previous(F.when(condition, F.struct("timestamp", "value")))
 
 
-def _gated(rows: DataFrame, within: TimeRange, cut: SegmentPlan | None) -> DataFrame:
-    carried = segments.running(rows, ["machine_id"], order(), {"validity": validity()}, cut)
-    return (
-        carried.filter(~is_variable(schema.DATA_VALID) & (F.col("validity.value") == 1))
-        .withColumn("interval_start", interval_start(within))
-        .drop("validity")
-    )
-
-
 def gate(
     events: DataFrame,
     within: TimeRange,
@@ -79,8 +70,7 @@ def gate(
     Validity intervals of a machine follow one another, so carrying the last validity change along the log finds the
     interval of every sample: one shuffle and no join between samples and intervals.
     """
-    log = log_of(events, within, [schema.DATA_VALID], variables, machine_id)
-    return segments.by_heat(log, plan, lambda rows, cut: _gated(rows, within, cut))
+    return _carried(events, within, variables, machine_id, {}, plan)
 
 
 def counter_deltas(
@@ -95,21 +85,35 @@ def counter_deltas(
 
     The first reading of an interval has nothing before it: a new interval and the start of the range both begin anew.
     """
+    before = {name: f"before_{i}" for i, name in enumerate(variables)}
+    earlier = {column: reading_before(is_variable(name)) for name, column in before.items()}
+    gated = _carried(events, within, variables, machine_id, earlier, plan)
+    previous = F.coalesce(
+        *[F.when(is_variable(name), baseline(column, F.col("interval_start"))) for name, column in before.items()]
+    )
+    return (
+        gated.withColumn("previous_value", previous)
+        .withColumn("delta", values.counter_delta(F.col("value"), F.col("previous_value"), first))
+        .drop(*before.values())
+    )
 
-    def linked(rows: DataFrame, cut: SegmentPlan | None) -> DataFrame:
-        return segments.running(
-            _gated(rows, within, cut),
-            ["machine_id", "variable"],
-            [F.col("timestamp"), F.col("event_id")],
-            {"_before": segments.previous(F.struct("interval_start", "value"))},
-            cut,
-        )
 
+def _carried(
+    events: DataFrame,
+    within: TimeRange,
+    variables: Sequence[str],
+    machine_id: int | None,
+    more: dict[str, segments.Running],
+    plan: SegmentPlan | None,
+) -> DataFrame:
     log = log_of(events, within, [schema.DATA_VALID], variables, machine_id)
-    same_interval = F.col("_before.interval_start") == F.col("interval_start")
+    carried = segments.by_heat(
+        log,
+        plan,
+        lambda rows, cut: segments.running(rows, ["machine_id"], order(), {"validity": validity(), **more}, cut),
+    )
     return (
-        segments.by_heat(log, plan, linked)
-        .withColumn("previous_value", F.when(same_interval, F.col("_before.value")))
-        .withColumn("delta", values.counter_delta(F.col("value"), F.col("previous_value"), first))
-        .drop("_before")
+        carried.filter(~is_variable(schema.DATA_VALID) & (F.col("validity.value") == 1))
+        .withColumn("interval_start", interval_start(within))
+        .drop("validity")
     )

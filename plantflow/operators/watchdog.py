@@ -8,7 +8,7 @@ machine's samples: one shuffle on the machine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantflow import schema
@@ -69,22 +69,91 @@ def _with_pieces(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None)
     return based.withColumn("pieces", pieces).drop("_counted", "_base")
 
 
+def _ready(cfg: WatchdogConfig) -> Column:
+    """Line samples later than the timeout."""
+    waited = F.unix_micros("timestamp") - F.unix_micros("last_machine_ts")
+    return _is_line(cfg) & (waited > F.lit(cfg.timeout_us))
+
+
 def _with_changes(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None) -> DataFrame:
     """`change` is 1 where an anomaly is raised, 0 where it is cleared, else null."""
-    waited = F.unix_micros("timestamp") - F.unix_micros("last_machine_ts")
-    due = _is_line(cfg) & (waited > F.lit(cfg.timeout_us)) & (F.col("pieces") >= F.lit(cfg.min_pieces))
-    marked = segments.running(
-        rows.withColumn("_due", due),
-        _KEYS,
-        _order(),
-        {"_due_epoch": segments.previous(F.when(F.col("_due"), F.col("epoch")))},
-        cut,
+    if cut is not None:
+        return _marked(_due_in_segments(_in_epochs(rows, cfg, cut), cfg, cut), cfg)
+    due = _with_pieces(_in_epochs(rows, cfg, None), cfg, None).withColumn(
+        "_due", _ready(cfg) & (F.col("pieces") >= F.lit(cfg.min_pieces))
     )
+    last_due = {"_due_epoch": segments.previous(F.when(F.col("_due"), F.col("epoch")))}
+    return _marked(segments.running(due, _KEYS, _order(), last_due), cfg)
+
+
+def _marked(rows: DataFrame, cfg: WatchdogConfig) -> DataFrame:
     opening = F.col("_due_epoch").isNull() | (F.col("_due_epoch") < F.col("epoch"))
     change = F.when(F.col("_due") & opening, F.lit(1)).when(
         _is_machine(cfg) & (F.col("_due_epoch") == F.col("epoch") - 1), F.lit(0)
     )
-    return marked.withColumn("change", change).drop("_due", "_due_epoch")
+    return rows.withColumn("change", change).drop("_due", "_due_epoch")
+
+
+def _due_in_segments(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan) -> DataFrame:
+    """Pieces, whether an anomaly is due, and the last epoch it was due in before, for hot machines.
+
+    A segment hands on three things: how many pieces its first and its last epoch add, the highest count its first
+    epoch reaches among samples past the timeout, and the last of its other epochs in which an anomaly was due. From
+    these the pieces a segment begins with and the epochs due before it follow without looking at rows again.
+    """
+    seg = "_segment"
+    parts = ["machine_id", seg]
+    ordered = Window.partitionBy(*parts).orderBy(*_order())
+    in_epoch = Window.partitionBy(*parts, "epoch").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)
+    local = (
+        rows.withColumn(seg, cut.segment())
+        .withColumn("_first", F.min("epoch").over(Window.partitionBy(*parts)))
+        .withColumn("_own", F.sum("delta").over(in_epoch))
+    )
+    enough = F.lit(cfg.min_pieces)
+
+    epochs_of = local.groupBy(*parts, "_first", "epoch").agg(
+        F.sum("delta").alias("_sum"), F.max(F.when(_ready(cfg), F.col("_own"))).alias("_peak")
+    )
+    is_first = F.col("epoch") == F.col("_first")
+    handed_on = epochs_of.groupBy(*parts).agg(
+        F.min("epoch").alias("_first"),
+        F.max("epoch").alias("_last"),
+        F.max(F.when(is_first, F.col("_sum"))).alias("_first_sum"),
+        F.max(F.when(is_first, F.col("_peak"))).alias("_first_peak"),
+        F.max_by("_sum", "epoch").alias("_last_sum"),
+        F.max(F.when(~is_first & (F.col("_peak") >= enough), F.col("epoch"))).alias("_later_due"),
+    )
+    # An epoch that crosses segments is the last of one and the first of the next ones.
+    ends = F.array(
+        F.struct(F.col("_first").alias("epoch"), F.col("_first_sum").alias("_sum"), F.lit(True).alias("_opens")),
+        F.struct(F.col("_last").alias("epoch"), F.col("_last_sum").alias("_sum"), F.lit(False).alias("_opens")),
+    )
+    edges = handed_on.select(*parts, "_first", "_first_peak", "_later_due", F.inline(ends)).filter(
+        F.col("_opens") | (F.col("epoch") > F.col("_first"))
+    )
+    same_epoch = Window.partitionBy("machine_id", "epoch").orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
+    opened = edges.withColumn("_pieces_in", F.coalesce(F.sum("_sum").over(same_epoch), F.lit(0).cast("bigint"))).filter(
+        F.col("_opens")
+    )
+    first_due = F.when(F.col("_pieces_in") + F.col("_first_peak") >= enough, F.col("_first"))
+    earlier = Window.partitionBy("machine_id").orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
+    inherited = opened.withColumn(
+        "_due_in", F.max(F.greatest(F.col("_later_due"), first_due)).over(earlier)
+    ).select(*parts, "_pieces_in", "_due_in")
+
+    begun = F.when(F.col("epoch") == F.col("_first"), F.col("_pieces_in")).otherwise(F.lit(0).cast("bigint"))
+    judged = (
+        local.join(inherited, parts)
+        .withColumn("pieces", F.col("_own") + begun)
+        .withColumn("_due", _ready(cfg) & (F.col("pieces") >= enough))
+    )
+    due_here = F.last(F.when(F.col("_due"), F.col("epoch")), ignorenulls=True).over(
+        ordered.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return judged.withColumn("_due_epoch", F.coalesce(due_here, F.col("_due_in"))).drop(
+        seg, "_first", "_own", "_pieces_in", "_due_in"
+    )
 
 
 def epochs(
@@ -111,10 +180,10 @@ def changes(
 ) -> DataFrame:
     """Samples at which the anomaly state of their machine changes."""
 
-    def build(rows: DataFrame, cut: SegmentPlan | None) -> DataFrame:
-        return _with_changes(_with_pieces(_in_epochs(rows, cfg, cut), cfg, cut), cfg, cut)
-
-    return segments.by_heat(watched(samples, cfg, machine_id), plan, build).filter(F.col("change").isNotNull())
+    changed = segments.by_heat(
+        watched(samples, cfg, machine_id), plan, lambda rows, cut: _with_changes(rows, cfg, cut)
+    )
+    return changed.filter(F.col("change").isNotNull())
 
 
 def raised(

@@ -61,7 +61,7 @@ def _figures(
     valid = F.col("validity.value") == 1
 
     def advance(counter: str) -> Column:
-        delta = values.counter_delta(F.col("value"), validity.baseline(f"before_{counter}", within))
+        delta = values.counter_delta(F.col("value"), validity.baseline(f"before_{counter}", validity.interval_start(within)))
         return F.sum(F.when(valid & validity.is_variable(counter), delta))
 
     sums = {}

@@ -39,10 +39,12 @@ PAYLOAD = T.StructType(
     ]
 )
 
-# A received message: what a topic-based transport hands over.
+# A received message. Time and number of receipt are optional; a broker that knows them settles the order of messages.
 MESSAGE = T.StructType(
     [
         T.StructField("topic", T.StringType()),
         T.StructField("payload", T.StringType()),
+        T.StructField("received_at", T.TimestampType()),
+        T.StructField("message_id", T.LongType()),
     ]
 )
