@@ -21,15 +21,23 @@ def order() -> list[Column]:
 
 
 def log_of(
-    events: DataFrame, within: TimeRange, states: Sequence[str], samples: Sequence[str], machine_id: int | None = None
+    events: DataFrame,
+    within: TimeRange,
+    states: Sequence[str],
+    samples: Sequence[str],
+    machine_id: int | None = None,
+    details: Sequence[str] = (),
 ) -> DataFrame:
-    """The rows a report over the range needs: samples inside it, state changes inside it and the states before it."""
+    """The rows a report over the range needs: samples inside it, state changes inside it and the states before it.
+
+    `details` are further columns of the samples; changes come without them.
+    """
     changes = eventlog.of_variables(events, states, machine_id)
     log = eventlog.relevant_changes(changes, ["machine_id", "variable"], within)
     if not samples:
         return log
     readings = eventlog.during(eventlog.of_variables(events, samples, machine_id), within)
-    return log.unionByName(readings.select(*log.columns))
+    return readings.select(*log.columns, *details).unionByName(log, allowMissingColumns=True)
 
 
 def is_variable(name: str) -> Column:
@@ -106,7 +114,7 @@ def _carried(
     more: dict[str, segments.Running],
     plan: SegmentPlan | None,
 ) -> DataFrame:
-    log = log_of(events, within, [schema.DATA_VALID], variables, machine_id)
+    log = log_of(events, within, [schema.DATA_VALID], variables, machine_id, ("type", "event_type"))
     carried = segments.by_heat(
         log,
         plan,

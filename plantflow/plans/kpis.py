@@ -24,10 +24,8 @@ ANOMALIES = "total_anomalies"
 ANOMALY_SECONDS = "total_anomaly_seconds"
 
 
-def machines_of(events: DataFrame, machine_id: int | None = None) -> DataFrame:
+def machines_of(events: DataFrame) -> DataFrame:
     """Every machine that ever reported. Pass a registry instead where there is one."""
-    if machine_id is not None:
-        return events.sparkSession.range(1).select(F.lit(machine_id).cast("int").alias("machine_id"))
     return events.select("machine_id").distinct()
 
 
@@ -85,10 +83,13 @@ def _figures(
         plan,
         lambda rows, cut: segments.running(rows, ["machine_id"], validity.order(), carried, cut),
     )
-    per_machine = measured.groupBy("machine_id").agg(*[s.alias(name) for name, s in sums.items()])
-
-    everyone = machines_of(events, machine_id) if machines is None else machines.select("machine_id").distinct()
-    joined = everyone.join(per_machine, "machine_id", "left")
+    totals = [s.alias(name) for name, s in sums.items()]
+    if machine_id is not None:
+        # One row, also for a machine without any.
+        joined = measured.agg(*totals).withColumn("machine_id", F.lit(machine_id).cast("int"))
+    else:
+        everyone = machines_of(events) if machines is None else machines.select("machine_id").distinct()
+        joined = everyone.join(measured.groupBy("machine_id").agg(*totals), "machine_id", "left")
 
     def whole(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0).cast("bigint"))

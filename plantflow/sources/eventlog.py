@@ -29,7 +29,7 @@ def during(events: DataFrame, within: TimeRange) -> DataFrame:
     """Rows of the range; on a table kept by date the other dates are not opened."""
     picked = events.filter((F.col("timestamp") >= within.start) & (F.col("timestamp") < within.end))
     if EVENT_DATE in events.columns:
-        picked = picked.filter(F.col(EVENT_DATE).between(_date(within.start_us), _date(within.end_us)))
+        picked = picked.filter(F.col(EVENT_DATE).between(_date(within.start_us), _date(within.end_us - 1)))
     return picked
 
 
@@ -37,23 +37,17 @@ def before(events: DataFrame, within: TimeRange) -> DataFrame:
     """Rows ahead of the range."""
     picked = events.filter(F.col("timestamp") < within.start)
     if EVENT_DATE in events.columns:
-        picked = picked.filter(F.col(EVENT_DATE) <= _date(within.start_us))
+        picked = picked.filter(F.col(EVENT_DATE) <= _date(within.start_us - 1))
     return picked
 
 
 def relevant_changes(changes: DataFrame, keys: Sequence[str], within: TimeRange) -> DataFrame:
-    """The changes of the range and, per key, the last one ahead of it.
+    """The changes of the range and, per key, the last one ahead of it: keys, timestamp, event_id and value.
 
     Of all the history ahead of the range only the state it leaves behind matters. It is condensed to one row per key
     before anything is shuffled, so the cost of a report follows its range and not the age of the table.
     """
-    columns = [c for c in changes.columns if c != EVENT_DATE]
-    place = F.struct("timestamp", "event_id")
-    rest = [c for c in columns if c not in keys]
-    opening = (
-        before(changes, within)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), place).alias("_row"))
-        .select(*keys, "_row.*")
-    )
-    return during(changes, within).select(*columns).unionByName(opening.select(*columns))
+    slim = changes.select(*keys, "timestamp", "event_id", "value", *[c for c in changes.columns if c == EVENT_DATE])
+    latest = F.max(F.struct("timestamp", "event_id", "value"))
+    opening = before(slim, within).groupBy(*keys).agg(latest.alias("_row")).select(*keys, "_row.*")
+    return during(slim, within).drop(EVENT_DATE).unionByName(opening)
