@@ -205,7 +205,8 @@ def interval_intersection(spark, sf_dir):
 
 def _kpi(report) -> Query:
     def query(spark, sf_dir):
-        return report(_events(spark, sf_dir), RANGE, plan=machine_plan(spark, sf_dir))
+        machines = sample.machines(spark, sf_dir)
+        return report(_events(spark, sf_dir), RANGE, machines=machines, plan=machine_plan(spark, sf_dir))
 
     return query
 

@@ -17,9 +17,24 @@ TOPIC_ROOT = "prod/plant"
 APPLICATION = "PLANT"
 
 
+# Columns of the sample tables in use, so that no file is opened to learn them.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_discount double, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The register of machines."""
+    return table(spark, sf_dir, "events").select(F.col("user_id").cast("int").alias("machine_id")).distinct()
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
