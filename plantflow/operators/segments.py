@@ -58,24 +58,21 @@ def measure(
     counts = df.groupBy(key).count()
     largest = counts.filter(F.col("count") > max_rows).orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS)
     hot = [row[0] for row in largest.collect() if row[0] is not None]
-    if not hot:
-        return SegmentPlan(key, ts)
 
     micros = F.unix_micros(F.col(ts))
-    starts = [(micros - F.pmod(micros, F.lit(w))).alias(f"_at_{w}") for w in widths]
-    cells = df.filter(F.col(key).isin(*hot)).select(key, *starts)
-    names = [f"_at_{w}" for w in widths]
-    # Finest cells first, then each width from the one below it: every step reads what the last one condensed.
-    level = cells.groupBy(key, *names).agg(F.count("*").alias("_n"))
-    peaks = level.groupBy(key).agg(F.max("_n").alias(names[-1]))
-    for depth in range(len(names) - 1, 0, -1):
-        level = level.groupBy(key, *names[:depth]).agg(F.sum("_n").alias("_n"))
-        peaks = peaks.join(level.groupBy(key).agg(F.max("_n").alias(names[depth - 1])), key)
-    chosen: dict[int, list[int]] = {}
-    for row in peaks.collect():
-        fitting = [w for w in widths if row[f"_at_{w}"] <= max_rows]
-        chosen.setdefault(fitting[0] if fitting else widths[-1], []).append(row[key])
-    return SegmentPlan(key, ts, tuple((w, tuple(sorted(keys))) for w, keys in sorted(chosen.items())))
+    cuts = []
+    # Widest first: keys that fit leave, so the finer and longer counts are made for few keys, mostly for none.
+    for width in widths:
+        if not hot:
+            break
+        cell = (micros - F.pmod(micros, F.lit(width))).alias("_cell")
+        cells = df.filter(F.col(key).isin(*hot)).groupBy(key, cell).count()
+        peaks = {row[0]: row[1] for row in cells.groupBy(key).agg(F.max("count")).collect()}
+        fitting = sorted(k for k, peak in peaks.items() if peak <= max_rows or width == widths[-1])
+        if fitting:
+            cuts.append((width, tuple(fitting)))
+        hot = [k for k in hot if k not in fitting]
+    return SegmentPlan(key, ts, tuple(sorted(cuts)))
 
 
 def by_heat(

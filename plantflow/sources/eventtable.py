@@ -139,3 +139,18 @@ def table_size(stored: DataFrame) -> DataFrame:
         F.sum("bytes").alias("bytes"),
         F.sum("rows").alias("rows"),
     )
+
+
+def dimensions(stored: DataFrame) -> DataFrame:
+    """Columns the table is kept by, with the number of values and the first and last of them."""
+    parts = stored.select(*PARTITIONS).distinct()
+    column = F.inline(
+        F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in PARTITIONS])
+    )
+    return (
+        parts.select(column)
+        .groupBy("dimension")
+        .agg(
+            F.count_distinct("value").alias("partitions"), F.min("value").alias("first"), F.max("value").alias("last")
+        )
+    )

@@ -16,14 +16,21 @@ from plantflow.sources import eventtable, wire
 from plantflow.streaming import watchdog
 
 
-def read_json(spark: SparkSession, path: str, fields: StructType = schema.MESSAGE, max_files: int = 1000) -> DataFrame:
-    """JSON files arriving in a directory, with a given schema."""
-    return spark.readStream.schema(fields).option("maxFilesPerTrigger", max_files).json(path)
+def read_json(
+    spark: SparkSession,
+    path: str,
+    fields: StructType = schema.MESSAGE,
+    max_bytes: int = 1 << 30,
+    max_files: int | None = None,
+) -> DataFrame:
+    """JSON files arriving in a directory, with a given schema; a micro-batch takes so many bytes or files."""
+    limit = ("maxBytesPerTrigger", max_bytes) if max_files is None else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.schema(fields).option(*limit).json(path)
 
 
-def read_samples(spark: SparkSession, path: str, items: str | None = None, max_files: int = 1000) -> DataFrame:
+def read_samples(spark: SparkSession, path: str, items: str | None = None, **limits) -> DataFrame:
     """Bare samples, one JSON record per change, of all variables or of the `|`-separated ones."""
-    samples = read_json(spark, path, schema.PAYLOAD, max_files)
+    samples = read_json(spark, path, schema.PAYLOAD, **limits)
     return samples if items is None else wire.select_items(samples, items)
 
 

@@ -116,3 +116,27 @@ def test_dates_are_utc(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert found == "2024-01-01"
+
+
+def test_dimensions(spark, stored):
+    found = {r.dimension: (r.partitions, r.first, r.last) for r in eventtable.dimensions(eventtable.read(spark, stored)).collect()}
+    assert found == {
+        "event_date": (30, "2024-01-01", "2024-01-30"),
+        "variable": (5, "DataValid", "MachineRejectedPieces"),
+    }
+
+
+def test_views(spark, stored):
+    from plantflow.plans import views
+
+    events = eventtable.read(spark, stored)
+    names = views.register(events, registry.RANGE)
+    assert {v.name for v in spark.catalog.listTables()} >= set(names)
+    one = "SELECT total_pieces_counted FROM pieces_total WHERE machine_id = :machine"
+    found = spark.sql(one, args={"machine": 7})
+    assert [r[0] for r in found.collect()] == [
+        r.total_pieces_counted for r in kpis.pieces_total(events, registry.RANGE, machine_id=7).collect()
+    ]
+    assert all("EqualTo(machine_id,7)" in s["PushedFilters"] for s in _scans(found))
+    share = spark.sql("SELECT count(*) FROM kpi_summary k JOIN pieces_total p USING (machine_id)").first()[0]
+    assert share == 15
