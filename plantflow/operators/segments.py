@@ -27,21 +27,32 @@ class SegmentPlan:
     key: str
     ts: str
     cuts: tuple[tuple[int, tuple[int, ...]], ...] = ()
+    # Width for all other keys; None leaves them whole.
+    others: int | None = None
 
     @property
     def hot_keys(self) -> tuple[int, ...]:
         return tuple(key for _, keys in self.cuts for key in keys)
 
+    @property
+    def cuts_any(self) -> bool:
+        return bool(self.cuts) or self.others is not None
+
     def is_hot(self) -> Column:
+        if self.others is not None:
+            return F.lit(True)
         return F.coalesce(F.col(self.key).isin(*self.hot_keys), F.lit(False))
 
     def segment(self) -> Column:
         """Number of the segment a row of a hot key falls into; rises with time."""
         micros = F.unix_micros(F.col(self.ts))
-        number = F.lit(None).cast("bigint")
+
+        def cut(width: int) -> Column:
+            return ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")
+
+        number = F.lit(None).cast("bigint") if self.others is None else cut(self.others)
         for width, keys in self.cuts:
-            cut = ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")
-            number = F.when(F.col(self.key).isin(*keys), cut).otherwise(number)
+            number = F.when(F.col(self.key).isin(*keys), cut(width)).otherwise(number)
         return number
 
 
@@ -50,25 +61,28 @@ def measure(
 ) -> SegmentPlan:
     """Find the keys with more than `max_rows` rows and the widest segment that keeps their parts below it.
 
-    Counting by key reads one column and is combined before the shuffle. The driver receives at most MAX_HOT_KEYS
-    rows: a key beyond the MAX_HOT_KEYS largest holds less than one part in MAX_HOT_KEYS of the table and is no
-    hot spot. Call it once per table, as one would ANALYZE TABLE, and pass the plan on; a stale plan costs time,
-    not correctness.
+    Counting by key reads one column and is combined before the shuffle; the driver receives at most a few values for
+    each of MAX_HOT_KEYS keys. Where more keys than that are large, all keys are cut alike and none is listed. Call it
+    once per table, as one would ANALYZE TABLE, and pass the plan on; a stale plan costs time, not correctness.
     """
-    counts = df.groupBy(key).count()
-    largest = counts.filter(F.col("count") > max_rows).orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS)
-    hot = [row[0] for row in largest.collect() if row[0] is not None]
-
+    large = df.groupBy(key).count().filter(F.col("count") > max_rows).select(key)
+    hot = [row[0] for row in large.limit(MAX_HOT_KEYS + 1).collect() if row[0] is not None]
     micros = F.unix_micros(F.col(ts))
+
+    def cells(rows: DataFrame, width: int) -> DataFrame:
+        return rows.groupBy(key, (micros - F.pmod(micros, F.lit(width))).alias("_cell")).count()
+
+    # Widest first: most often nothing has to be counted at the finer widths.
+    if len(hot) > MAX_HOT_KEYS:
+        for width in widths:
+            if width == widths[-1] or cells(df, width).agg(F.max("count")).first()[0] <= max_rows:
+                return SegmentPlan(key, ts, others=width)
     cuts = []
-    # Widest first: keys that fit leave, so the finer and longer counts are made for few keys, mostly for none.
     for width in widths:
         if not hot:
             break
-        cell = (micros - F.pmod(micros, F.lit(width))).alias("_cell")
-        cells = df.filter(F.col(key).isin(*hot)).groupBy(key, cell).count()
-        peaks = {row[0]: row[1] for row in cells.groupBy(key).agg(F.max("count")).collect()}
-        fitting = sorted(k for k, peak in peaks.items() if peak <= max_rows or width == widths[-1])
+        densest = cells(df.filter(F.col(key).isin(*hot)), width).groupBy(key).agg(F.max("count"))
+        fitting = sorted(k for k, peak in densest.collect() if peak <= max_rows or width == widths[-1])
         if fitting:
             cuts.append((width, tuple(fitting)))
         hot = [k for k in hot if k not in fitting]
@@ -79,8 +93,10 @@ def by_heat(
     df: DataFrame, plan: SegmentPlan | None, build: Callable[[DataFrame, SegmentPlan | None], DataFrame]
 ) -> DataFrame:
     """Run `build` with plain windows on ordinary keys and with segments on hot ones."""
-    if plan is None or not plan.cuts:
+    if plan is None or not plan.cuts_any:
         return build(df, None)
+    if plan.others is not None:
+        return build(df, plan)
     return build(df.filter(~plan.is_hot()), None).unionByName(build(df.filter(plan.is_hot()), plan))
 
 

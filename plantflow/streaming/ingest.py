@@ -5,12 +5,13 @@ The micro-batch size is set at the source. Nothing is dropped under load: messag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from plantflow import schema
+from plantflow.functions import timecols
 from plantflow.params import WatchdogConfig
 from plantflow.sources import eventtable, wire
 from plantflow.streaming import watchdog
@@ -59,11 +60,36 @@ def with_anomalies(events: DataFrame, cfg: WatchdogConfig) -> DataFrame:
     return events.unionByName(watchdog.stream(events, cfg))
 
 
+def with_current_order(events: DataFrame, orders: DataFrame, since: Column) -> DataFrame:
+    """Events of a stream with the order running on their machine, null where none runs.
+
+    Orders that ended before `since` are left out, so that each event meets only its machine's latest few.
+    """
+    recent = orders.filter(F.col("end_date").isNull() | (F.col("end_date") > since)).select(
+        F.col("machine_id").alias("_machine"), "order_id", "start_date", "end_date"
+    )
+    runs = timecols.contains(F.col("start_date"), F.col("end_date"), F.col("timestamp"))
+    return events.join(recent, (F.col("machine_id") == F.col("_machine")) & runs, "left").drop(
+        "_machine", "start_date", "end_date"
+    )
+
+
 def append_to_table(
-    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = None,
+    files: int = 1,
 ) -> StreamingQuery:
-    """Append a stream to the event table; every row arrives once, also after a restart from the checkpoint."""
-    return _append(eventtable.with_date(events), path, checkpoint, eventtable.PARTITIONS, trigger, name)
+    """Append a stream to the event table; every row arrives once, also after a restart from the checkpoint.
+
+    Rows of one date and variable meet before they are written, in `files` files per micro-batch: otherwise every task
+    would leave a small file per date and variable.
+    """
+    part = F.pmod(F.xxhash64("event_id"), F.lit(files))
+    gathered = eventtable.with_date(events).repartition(*eventtable.PARTITIONS, part)
+    return _append(gathered, path, checkpoint, eventtable.PARTITIONS, trigger, name)
 
 
 def append_to_quarantine(

@@ -20,10 +20,12 @@ def events(spark):
     return sample.machine_events(spark, SF).persist()
 
 
-@pytest.fixture(scope="module", params=["day", "hour", "mixed"])
+@pytest.fixture(scope="module", params=["hour", "mixed", "all"])
 def plan(request):
     some, others = tuple(range(0, 8)), tuple(range(8, 12))
-    cuts = {"day": ((DAY, some),), "hour": ((HOUR, some),), "mixed": ((HOUR, some), (DAY, others))}
+    if request.param == "all":
+        return segments.SegmentPlan("machine_id", "timestamp", others=7 * DAY)
+    cuts = {"hour": ((HOUR, some),), "mixed": ((HOUR, some), (DAY, others))}
     return segments.SegmentPlan("machine_id", "timestamp", cuts[request.param])
 
 
@@ -65,7 +67,7 @@ def test_sample_tables(spark, plan):
     assert compare.spark_rows(sample.machine_events(spark, SF, plan)) == compare.spark_rows(
         sample.machine_events(spark, SF)
     )
-    schedule = segments.SegmentPlan("machine_id", "start_date", plan.cuts)
+    schedule = segments.SegmentPlan("machine_id", "start_date", plan.cuts, plan.others)
     assert compare.spark_rows(sample.production_orders(spark, SF, schedule)) == compare.spark_rows(
         sample.production_orders(spark, SF)
     )
@@ -138,6 +140,18 @@ def test_measure(spark):
     assert cuts == {1_000_000: (1,), DAY: (2,)}
 
 
+def test_measure_many_large_keys(spark, monkeypatch):
+    """Too many to list: all are cut alike."""
+    monkeypatch.setattr(segments, "MAX_HOT_KEYS", 5)
+    log = spark.range(3000).select(
+        (F.col("id") % 10).cast("int").alias("machine_id"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 600_000_000).alias("timestamp"),
+    )
+    plan = segments.measure(log, "machine_id", "timestamp", max_rows=100)
+    assert plan == segments.SegmentPlan("machine_id", "timestamp", others=DAY)
+    assert segments.measure(log, "machine_id", "timestamp", max_rows=300).cuts_any is False
+
+
 def test_one_machine_holds_most_rows(spark):
     """The skew the segments are for: the largest task's share falls with the width of the segments."""
     base = 1_704_067_200_000_000

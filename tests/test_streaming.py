@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plantflow import WatchdogConfig, registry
-from plantflow.operators import watchdog
+from plantflow.operators import orders, watchdog
 from plantflow.plans import observability
 from plantflow.sources import eventtable, sample, wire
 from plantflow.streaming import ingest
@@ -172,6 +172,30 @@ def test_samples_and_publishing(spark, tmp_path):
     assert json.loads(row.payload) == {**record, "variable": "LinePieceCounter"}
 
 
+def test_current_order_on_a_stream(spark, tmp_path):
+    sf = compare.data("sf0.001")
+    events = sample.machine_events(spark, sf)
+    events.write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    scheduled = sample.production_orders(spark, sf)
+    enriched = ingest.with_current_order(arriving, scheduled, F.lit("2024-01-01").cast("timestamp"))
+    enriched.writeStream.format("memory").queryName("enriched").option(
+        "checkpointLocation", str(tmp_path / "cp")
+    ).trigger(**NOW).start().awaitTermination()
+    assert compare.spark_rows(spark.table("enriched")) == compare.spark_rows(orders.enrich(events, scheduled))
+
+
+def test_one_file_per_date_and_variable(spark, tmp_path):
+    events = sample.machine_events(spark, compare.data("sf0.001")).filter("machine_id < 3").repartition(8)
+    events.write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    ingest.append_to_table(arriving, str(tmp_path / "t"), str(tmp_path / "cp"), NOW).awaitTermination()
+    stored = eventtable.read(spark, str(tmp_path / "t"))
+    files = stored.select(F.col("_metadata.file_path")).distinct().count()
+    assert files == stored.select("event_date", "variable").distinct().count()
+    assert stored.count() == events.count()
+
+
 def test_rollups_on_a_stream(spark, tmp_path):
     """Every window the watermark has passed, as in the batch."""
     sf = compare.data("sf0.001")
