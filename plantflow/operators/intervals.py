@@ -28,16 +28,10 @@ def from_changes(
     is known; None keeps all.
     """
     seen = eventlog.relevant_changes(changes, keys, within)
+    order = [F.col("timestamp"), F.col("event_id")]
+    next_change = {"next_change": segments.following(F.col("timestamp"))}
     chained = segments.by_heat(
-        seen,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            keys,
-            [F.col("timestamp"), F.col("event_id")],
-            {"next_change": segments.following(F.col("timestamp"))},
-            cut,
-        ),
+        seen, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, next_change, cut)
     )
     if only_value is not None:
         chained = chained.filter(F.col("value") == only_value)
@@ -68,20 +62,13 @@ def both_active(
     `first_on` and `second_on` are null on rows that do not change the state, else whether it is on. The log is swept
     once; a stretch starts at a change and ends at the next one, so no pairs of intervals are formed.
     """
+    both = {
+        "_first": segments.last(first_on),
+        "_second": segments.last(second_on),
+        "_next": segments.following(F.col("timestamp")),
+    }
     swept = segments.by_heat(
-        changes,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            keys,
-            order,
-            {
-                "_first": segments.last(first_on),
-                "_second": segments.last(second_on),
-                "_next": segments.following(F.col("timestamp")),
-            },
-            cut,
-        ),
+        changes, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, both, cut)
     )
     end = F.col("_next") if until is None else F.coalesce(F.col("_next"), until)
     return (

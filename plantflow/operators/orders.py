@@ -18,7 +18,6 @@ def enrich(events: DataFrame, orders: DataFrame, plan: SegmentPlan | None = None
     into the events and the last one is carried along: linear in events plus orders, where a join on the machine
     alone would compare every event with every order of its machine.
     """
-    started = F.struct(F.col("order_id"), F.col("start_date"), F.col("end_date"))
     samples = events.select(
         "machine_id",
         "timestamp",
@@ -31,22 +30,18 @@ def enrich(events: DataFrame, orders: DataFrame, plan: SegmentPlan | None = None
         F.col("start_date").alias("timestamp"),
         F.lit(False).alias("_is_sample"),
         F.col("order_id").alias("_tie"),
-        started.alias("_started"),
+        "order_id",
+        # An order without an end outlasts every event.
+        F.coalesce(F.unix_micros("end_date"), F.lit(2**63 - 1)).alias("_until"),
     )
     merged = samples.unionByName(starts, allowMissingColumns=True)
+    order = [F.col("timestamp"), F.col("_is_sample"), F.col("_tie")]
+    latest = {"_order": segments.last(F.col("order_id")), "_ends": segments.last(F.col("_until"))}
     carried = segments.by_heat(
-        merged,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            ["machine_id"],
-            [F.col("timestamp"), F.col("_is_sample"), F.col("_tie")],
-            {"_order": segments.last(F.col("_started"))},
-            cut,
-        ),
+        merged, ["machine_id"], order, plan, lambda rows, cut: segments.running(rows, ["machine_id"], order, latest, cut)
     )
-    runs = timecols.contains(F.col("_order.start_date"), F.col("_order.end_date"), F.col("timestamp"))
-    return carried.filter(F.col("_is_sample")).select("_sample.*", F.when(runs, F.col("_order.order_id")).alias("order_id"))
+    runs = F.unix_micros("timestamp") < F.col("_ends")
+    return carried.filter(F.col("_is_sample")).select("_sample.*", F.when(runs, F.col("_order")).alias("order_id"))
 
 
 def active_at(orders: DataFrame, moment: Column, machine_id: int | None = None) -> DataFrame:
@@ -77,19 +72,13 @@ def progress(
     picked = statements if order_id is None else statements.filter(F.col("order_id") == order_id)
     if within is not None:
         picked = picked.filter(F.col("timestamp") < within.end)
+    order = [F.col("timestamp"), F.col("statement_order")]
+    totals = {
+        "produced_total": segments.total(F.col("produced_qty")),
+        "discarded_total": segments.total(F.col("discarded_qty")),
+    }
     summed = segments.by_heat(
-        picked,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            ["order_id"],
-            [F.col("timestamp"), F.col("statement_order")],
-            {
-                "produced_total": segments.total(F.col("produced_qty")),
-                "discarded_total": segments.total(F.col("discarded_qty")),
-            },
-            cut,
-        ),
+        picked, ["order_id"], order, plan, lambda rows, cut: segments.running(rows, ["order_id"], order, totals, cut)
     )
     if within is not None:
         summed = summed.filter(F.col("timestamp") >= within.start)

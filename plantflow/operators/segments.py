@@ -89,15 +89,38 @@ def measure(
     return SegmentPlan(key, ts, tuple(sorted(cuts)))
 
 
+SEGMENT = "_segment"
+
+
 def by_heat(
-    df: DataFrame, plan: SegmentPlan | None, build: Callable[[DataFrame, SegmentPlan | None], DataFrame]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    plan: SegmentPlan | None,
+    build: Callable[[DataFrame, bool], DataFrame],
 ) -> DataFrame:
-    """Run `build` with plain windows on ordinary keys and with segments on hot ones."""
+    """Run `build` on rows brought together by key and put in order: whole keys, and hot ones in segments.
+
+    `build` gets the rows and whether they are cut; it hands both to `running`. Rows are shuffled and sorted here, while
+    they are narrow, and not after the running values have added their inputs to them.
+    """
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return build(_arranged(rows, keys, order), False)
+
+    def in_segments(rows: DataFrame) -> DataFrame:
+        cut = rows.withColumn(SEGMENT, plan.segment())
+        return build(_arranged(cut, [*keys, SEGMENT], order), True).drop(SEGMENT)
+
     if plan is None or not plan.cuts_any:
-        return build(df, None)
+        return whole(df)
     if plan.others is not None:
-        return build(df, plan)
-    return build(df.filter(~plan.is_hot()), None).unionByName(build(df.filter(plan.is_hot()), plan))
+        return in_segments(df)
+    return whole(df.filter(~plan.is_hot())).unionByName(in_segments(df.filter(plan.is_hot())))
+
+
+def _arranged(df: DataFrame, parts: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    return df.repartition(*parts).sortWithinPartitions(*parts, *order)
 
 
 @dataclass(frozen=True)
@@ -173,25 +196,20 @@ def total(expr: Column) -> Running:
 
 
 def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    values: dict[str, Running],
-    plan: SegmentPlan | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: dict[str, Running], is_cut: bool
 ) -> DataFrame:
     """Add running values along `order` (a total order whose first part is the time) within `keys`.
 
-    `plan` is what `by_heat` hands to its builder: None for plain windows, a plan for rows of hot keys only.
+    Used inside `by_heat`, whose rows are in place already. With `is_cut` the windows run per segment, and one summary
+    row per segment carries the values across the segments of a key.
     """
-    if plan is None:
+    if not is_cut:
         return df.select("*", *[v.over(keys, order).alias(name) for name, v in values.items()])
 
-    seg = "_segment"
-    cut = df.withColumn(seg, plan.segment())
-    parts = [*keys, seg]
-    local = cut.select("*", *[v.over(parts, order).alias(name) for name, v in values.items()])
-    handed_on = cut.groupBy(*parts).agg(*[v.of_segment(order).alias(name) for name, v in values.items()])
-    across = Window.partitionBy(*keys).orderBy(seg)
+    parts = [*keys, SEGMENT]
+    local = df.select("*", *[v.over(parts, order).alias(name) for name, v in values.items()])
+    handed_on = df.groupBy(*parts).agg(*[v.of_segment(order).alias(name) for name, v in values.items()])
+    across = Window.partitionBy(*keys).orderBy(SEGMENT)
     inherited = handed_on.select(
         *parts, *[v.inherited(F.col(name), across).alias(f"_in_{name}") for name, v in values.items()]
     )

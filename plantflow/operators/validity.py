@@ -44,26 +44,31 @@ def is_variable(name: str) -> Column:
     return F.col("variable") == name
 
 
-def validity() -> segments.Running:
-    """The validity change in force, as (since, value)."""
-    return segments.last(
-        F.when(
-            is_variable(schema.DATA_VALID), F.struct(F.col("timestamp").alias("since"), F.col("value").alias("value"))
-        )
-    )
+def validity() -> dict[str, segments.Running]:
+    """The validity change in force: its time and value."""
+    change = is_variable(schema.DATA_VALID)
+    return {
+        "valid_since": segments.last(F.when(change, F.col("timestamp"))),
+        "valid": segments.last(F.when(change, F.col("value"))),
+    }
 
 
 def interval_start(within: TimeRange) -> Column:
-    return F.greatest(F.col("validity.since"), within.start)
+    return F.greatest(F.col("valid_since"), within.start)
 
 
-def baseline(previous: str, start: Column) -> Column:
-    """The reading before, if it lies in the same validity interval, which begins at `start`."""
-    return F.when(F.col(f"{previous}.timestamp") >= start, F.col(f"{previous}.value"))
+def readings_before(name: str, prefix: str) -> dict[str, segments.Running]:
+    """The reading of a counter before the row: its time and value."""
+    reading = is_variable(name)
+    return {
+        f"{prefix}_ts": segments.previous(F.when(reading, F.col("timestamp"))),
+        f"{prefix}_value": segments.previous(F.when(reading, F.col("value"))),
+    }
 
 
-def reading_before(condition: Column) -> segments.Running:
-    return segments.previous(F.when(condition, F.struct("timestamp", "value")))
+def baseline(prefix: str, start: Column) -> Column:
+    """The reading before, if it lies in the same validity interval, which begins at `start`."""
+    return F.when(F.col(f"{prefix}_ts") >= start, F.col(f"{prefix}_value"))
 
 
 def gate(
@@ -94,15 +99,17 @@ def counter_deltas(
     The first reading of an interval has nothing before it: a new interval and the start of the range both begin anew.
     """
     before = {name: f"before_{i}" for i, name in enumerate(variables)}
-    earlier = {column: reading_before(is_variable(name)) for name, column in before.items()}
+    earlier = {}
+    for name, prefix in before.items():
+        earlier |= readings_before(name, prefix)
     gated = _carried(events, within, variables, machine_id, earlier, plan)
     previous = F.coalesce(
-        *[F.when(is_variable(name), baseline(column, F.col("interval_start"))) for name, column in before.items()]
+        *[F.when(is_variable(name), baseline(prefix, F.col("interval_start"))) for name, prefix in before.items()]
     )
     return (
         gated.withColumn("previous_value", previous)
         .withColumn("delta", values.counter_delta(F.col("value"), F.col("previous_value"), first))
-        .drop(*before.values())
+        .drop(*earlier)
     )
 
 
@@ -117,11 +124,13 @@ def _carried(
     log = log_of(events, within, [schema.DATA_VALID], variables, machine_id, ("type", "event_type"))
     carried = segments.by_heat(
         log,
+        ["machine_id"],
+        order(),
         plan,
-        lambda rows, cut: segments.running(rows, ["machine_id"], order(), {"validity": validity(), **more}, cut),
+        lambda rows, cut: segments.running(rows, ["machine_id"], order(), validity() | more, cut),
     )
     return (
-        carried.filter(~is_variable(schema.DATA_VALID) & (F.col("validity.value") == 1))
+        carried.filter(~is_variable(schema.DATA_VALID) & (F.col("valid") == 1))
         .withColumn("interval_start", interval_start(within))
-        .drop("validity")
+        .drop("valid", "valid_since")
     )

@@ -8,6 +8,8 @@ machine's samples: one shuffle on the machine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def watched(samples: DataFrame, cfg: WatchdogConfig, machine_id: int | None = No
     return eventlog.of_variables(samples, (cfg.machine_counter_name, cfg.line_counter_name), machine_id)
 
 
-def _in_epochs(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None) -> DataFrame:
+def _in_epochs(rows: DataFrame, cfg: WatchdogConfig, cut: bool) -> DataFrame:
     placed = segments.running(
         rows,
         _KEYS,
@@ -60,7 +62,7 @@ def _in_epochs(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None) ->
     )
 
 
-def _with_pieces(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None) -> DataFrame:
+def _with_pieces(rows: DataFrame, cfg: WatchdogConfig, cut: bool) -> DataFrame:
     counted = segments.running(rows, _KEYS, _order(), {"_counted": segments.total(F.col("delta"))}, cut)
     based = segments.running(
         counted, _KEYS, _order(), {"_base": segments.last(F.when(_is_machine(cfg), F.col("_counted")))}, cut
@@ -75,15 +77,15 @@ def _ready(cfg: WatchdogConfig) -> Column:
     return _is_line(cfg) & (waited > F.lit(cfg.timeout_us))
 
 
-def _with_changes(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan | None) -> DataFrame:
+def _with_changes(rows: DataFrame, cfg: WatchdogConfig, cut: bool) -> DataFrame:
     """`change` is 1 where an anomaly is raised, 0 where it is cleared, else null."""
-    if cut is not None:
-        return _marked(_due_in_segments(_in_epochs(rows, cfg, cut), cfg, cut), cfg)
-    due = _with_pieces(_in_epochs(rows, cfg, None), cfg, None).withColumn(
+    if cut:
+        return _marked(_due_in_segments(_in_epochs(rows, cfg, cut), cfg), cfg)
+    due = _with_pieces(_in_epochs(rows, cfg, cut), cfg, cut).withColumn(
         "_due", _ready(cfg) & (F.col("pieces") >= F.lit(cfg.min_pieces))
     )
     last_due = {"_due_epoch": segments.previous(F.when(F.col("_due"), F.col("epoch")))}
-    return _marked(segments.running(due, _KEYS, _order(), last_due), cfg)
+    return _marked(segments.running(due, _KEYS, _order(), last_due, cut), cfg)
 
 
 def _marked(rows: DataFrame, cfg: WatchdogConfig) -> DataFrame:
@@ -94,20 +96,19 @@ def _marked(rows: DataFrame, cfg: WatchdogConfig) -> DataFrame:
     return rows.withColumn("change", change).drop("_due", "_due_epoch")
 
 
-def _due_in_segments(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan) -> DataFrame:
+def _due_in_segments(rows: DataFrame, cfg: WatchdogConfig) -> DataFrame:
     """Pieces, whether an anomaly is due, and the last epoch it was due in before, for hot machines.
 
     A segment hands on three things: how many pieces its first and its last epoch add, the highest count its first
     epoch reaches among samples past the timeout, and the last of its other epochs in which an anomaly was due. From
     these the pieces a segment begins with and the epochs due before it follow without looking at rows again.
     """
-    seg = "_segment"
+    seg = segments.SEGMENT
     parts = ["machine_id", seg]
     ordered = Window.partitionBy(*parts).orderBy(*_order())
     in_epoch = Window.partitionBy(*parts, "epoch").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)
     local = (
-        rows.withColumn(seg, cut.segment())
-        .withColumn("_first", F.min("epoch").over(Window.partitionBy(*parts)))
+        rows.withColumn("_first", F.min("epoch").over(Window.partitionBy(*parts)))
         .withColumn("_own", F.sum("delta").over(in_epoch))
     )
     enough = F.lit(cfg.min_pieces)
@@ -152,25 +153,34 @@ def _due_in_segments(rows: DataFrame, cfg: WatchdogConfig, cut: SegmentPlan) ->
         ordered.rowsBetween(Window.unboundedPreceding, -1)
     )
     return judged.withColumn("_due_epoch", F.coalesce(due_here, F.col("_due_in"))).drop(
-        seg, "_first", "_own", "_pieces_in", "_due_in"
+        "_first", "_own", "_pieces_in", "_due_in"
     )
 
 
+def _by_heat(
+    samples: DataFrame,
+    cfg: WatchdogConfig,
+    machine_id: int | None,
+    plan: SegmentPlan | None,
+    build: Callable[[DataFrame, WatchdogConfig, bool], DataFrame],
+) -> DataFrame:
+    rows = watched(samples, cfg, machine_id)
+    return segments.by_heat(rows, _KEYS, _order(), plan, lambda part, cut: build(part, cfg, cut))
+
+
 def epochs(
     samples: DataFrame, cfg: WatchdogConfig, machine_id: int | None = None, plan: SegmentPlan | None = None
 ) -> DataFrame:
     """Watched samples with the number of machine samples so far, the last machine time and the line's advance."""
-    return segments.by_heat(watched(samples, cfg, machine_id), plan, lambda rows, cut: _in_epochs(rows, cfg, cut))
+    return _by_heat(samples, cfg, machine_id, plan, _in_epochs)
 
 
 def line_pieces(
     samples: DataFrame, cfg: WatchdogConfig, machine_id: int | None = None, plan: SegmentPlan | None = None
 ) -> DataFrame:
     """Line samples with the pieces counted since the last machine sample."""
-    counted = segments.by_heat(
-        watched(samples, cfg, machine_id),
-        plan,
-        lambda rows, cut: _with_pieces(_in_epochs(rows, cfg, cut), cfg, cut),
+    counted = _by_heat(
+        samples, cfg, machine_id, plan, lambda rows, cfg, cut: _with_pieces(_in_epochs(rows, cfg, cut), cfg, cut)
     )
     return counted.filter(_is_line(cfg))
 
@@ -180,10 +190,7 @@ def changes(
 ) -> DataFrame:
     """Samples at which the anomaly state of their machine changes."""
 
-    changed = segments.by_heat(
-        watched(samples, cfg, machine_id), plan, lambda rows, cut: _with_changes(rows, cfg, cut)
-    )
-    return changed.filter(F.col("change").isNotNull())
+    return _by_heat(samples, cfg, machine_id, plan, _with_changes).filter(F.col("change").isNotNull())
 
 
 def raised(

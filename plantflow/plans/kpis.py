@@ -47,19 +47,19 @@ def _figures(
     states = [schema.DATA_VALID] + [schema.MACHINE_ANOMALY] * want_stretches
     samples = counters + [schema.MACHINE_ANOMALY] * (want_starts and not want_stretches)
 
-    carried = {"validity": validity.validity()}
+    carried = validity.validity()
     for counter in counters:
-        carried[f"before_{counter}"] = validity.reading_before(validity.is_variable(counter))
+        carried |= validity.readings_before(counter, counter)
     if want_stretches:
         carried["anomaly"] = segments.last(
             F.when(validity.is_variable(schema.MACHINE_ANOMALY), F.col("value"))
         )
         carried["until"] = segments.following(F.col("timestamp"))
 
-    valid = F.col("validity.value") == 1
+    valid = F.col("valid") == 1
 
     def advance(counter: str) -> Column:
-        delta = values.counter_delta(F.col("value"), validity.baseline(f"before_{counter}", validity.interval_start(within)))
+        delta = values.counter_delta(F.col("value"), validity.baseline(counter, validity.interval_start(within)))
         return F.sum(F.when(valid & validity.is_variable(counter), delta))
 
     sums = {}
@@ -80,6 +80,8 @@ def _figures(
     log = validity.log_of(events, within, states, samples, machine_id)
     measured = segments.by_heat(
         log,
+        ["machine_id"],
+        validity.order(),
         plan,
         lambda rows, cut: segments.running(rows, ["machine_id"], validity.order(), carried, cut),
     )

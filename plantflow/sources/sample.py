@@ -85,16 +85,10 @@ def _numbered_events(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None)
         .otherwise(F.lit(schema.REJECT_COUNTER)),
     )
     turn = F.when(F.col("kind") == "purchase", F.lit(97)).otherwise(F.lit(503))
+    keys, order = ["machine_id", "variable"], [F.col("timestamp"), F.col("event_id")]
+    counted = {"counted": segments.total(F.col("iv"))}
     counters = segments.by_heat(
-        readings,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            ["machine_id", "variable"],
-            [F.col("timestamp"), F.col("event_id")],
-            {"counted": segments.total(F.col("iv"))},
-            cut,
-        ),
+        readings, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, counted, cut)
     )
     return _model(signals, flag, "Boolean", origin, "k").unionByName(
         _model(counters, F.col("counted") % turn, "Int32", F.lit(schema.RAW), "k")
@@ -216,16 +210,10 @@ def production_orders(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None
         (F.lit(50) + F.col("o_orderkey") % 100).alias("target_qty"),
         F.timestamp_micros(F.lit(1_704_067_200_000_000) + days * F.lit(1_080_000_000)).alias("start_date"),
     )
+    order = [F.col("start_date"), F.col("order_id")]
+    until = {"end_date": segments.following(F.col("start_date"))}
     return segments.by_heat(
-        placed,
-        plan,
-        lambda rows, cut: segments.running(
-            rows,
-            ["machine_id"],
-            [F.col("start_date"), F.col("order_id")],
-            {"end_date": segments.following(F.col("start_date"))},
-            cut,
-        ),
+        placed, ["machine_id"], order, plan, lambda rows, cut: segments.running(rows, ["machine_id"], order, until, cut)
     )
 
 
