@@ -18,15 +18,24 @@ RANGE = TimeRange.of("2024-01-01T01:00:00", "2024-01-01T02:00:00")  # minutes 60
 
 def log(spark, *rows, machine=7):
     """(minute, variable, value) as events; the row number is the event number."""
+    return logs_of(spark, {machine: rows})
+
+
+def logs_of(spark, rows_of_machines):
     return spark.createDataFrame(
         [
             (i, START + dt.timedelta(minutes=minute), machine, variable, "x", value, "R")
+            for machine, rows in rows_of_machines.items()
             for i, (minute, variable, value) in enumerate(rows)
         ],
         schema.MACHINE_EVENTS,
     )
 
 
+def by_machine(df, column):
+    return {r.machine_id: r[column] for r in df.collect()}
+
+
 def readings(*pairs, name="MachinePieceCounter"):
     return [(minute, name, value) for minute, value in pairs]
 
@@ -69,14 +78,16 @@ PIECES = {
 }
 
 
-@pytest.mark.parametrize("case", PIECES)
-def test_pieces(spark, case):
-    rows, expected = PIECES[case]
-    events = log(spark, *rows)
-    assert only(kpis.pieces_total(events, RANGE)) == expected
-    assert only(kpis.kpi_summary(events, RANGE)) == expected
-    rejected = log(spark, *[(m, v.replace("MachinePieceCounter", "MachineRejectedPieces"), n) for m, v, n in rows])
-    assert only(kpis.rejected_total(rejected, RANGE)) == expected
+def test_pieces(spark):
+    """One machine per case."""
+    cases = list(PIECES)
+    events = logs_of(spark, {m: PIECES[case][0] for m, case in enumerate(cases)})
+    for report in (kpis.pieces_total, kpis.kpi_summary):
+        found = by_machine(report(events, RANGE), kpis.PIECES)
+        assert {case: found[m] for m, case in enumerate(cases)} == {case: PIECES[case][1] for case in cases}
+    renamed = F.when(F.col("variable") == schema.PIECE_COUNTER, schema.REJECT_COUNTER).otherwise(F.col("variable"))
+    found = by_machine(kpis.rejected_total(events.withColumn("variable", renamed), RANGE), kpis.REJECTED)
+    assert {case: found[m] for m, case in enumerate(cases)} == {case: PIECES[case][1] for case in cases}
 
 
 def test_first_reading_counts_whole_on_request(spark):
@@ -107,17 +118,19 @@ ANOMALIES = {
 }
 
 
-@pytest.mark.parametrize("case", ANOMALIES)
-def test_anomalies(spark, case):
-    rows, starts, seconds = ANOMALIES[case]
-    events = log(spark, *rows)
-    assert only(kpis.anomaly_starts(events, RANGE)) == starts
-    assert only(kpis.anomaly_seconds(events, RANGE)) == seconds
-    (row,) = kpis.kpi_summary(events, RANGE).collect()
-    assert (row.total_anomalies, row.total_anomaly_seconds) == (starts, seconds)
-    stretches = kpis.anomaly_valid_overlap(events, RANGE)
+def test_anomalies(spark):
+    """One machine per case."""
+    cases = list(ANOMALIES)
+    events = logs_of(spark, {m: ANOMALIES[case][0] for m, case in enumerate(cases)})
+    starts = {m: ANOMALIES[case][1] for m, case in enumerate(cases)}
+    seconds = {m: ANOMALIES[case][2] for m, case in enumerate(cases)}
+    assert by_machine(kpis.anomaly_starts(events, RANGE), kpis.ANOMALIES) == starts
+    assert by_machine(kpis.anomaly_seconds(events, RANGE), kpis.ANOMALY_SECONDS) == seconds
+    summary = kpis.kpi_summary(events, RANGE)
+    assert by_machine(summary, kpis.ANOMALIES) == starts and by_machine(summary, kpis.ANOMALY_SECONDS) == seconds
     length = intervals.length_us(F.col("interval_start"), F.col("interval_end"))
-    assert (stretches.agg(F.sum(length)).first()[0] or 0) == seconds * 1_000_000
+    stretches = kpis.anomaly_valid_overlap(events, RANGE).groupBy("machine_id").agg(F.sum(length).alias("us"))
+    assert by_machine(stretches, "us") == {m: s * 1_000_000 for m, s in seconds.items() if s}
 
 
 def test_machines(spark):
@@ -184,29 +197,37 @@ def test_state_reports(spark):
     assert [(r.variable, r.value) for r in timeline] == [("InAlarm", 1), ("InCycle", 1), ("InCycle", 0)]
 
 
-def _watch(spark, *rows, **cfg):
-    samples = log(spark, *[(m / 60, "LinePieceCounter" if n == "L" else "MachinePieceCounter", v) for m, n, v in rows])
-    found = watchdog.batch(samples, WatchdogConfig(**cfg)).orderBy("timestamp").collect()
-    return [((r.timestamp - START).total_seconds(), r.value) for r in found]
-
-
-def test_watchdog(spark):
-    """Times in seconds; timeout 20, one piece unless said otherwise."""
-    assert _watch(spark, (0, "M", 1), (20, "L", 5)) == []
-    assert _watch(spark, (0, "M", 1), (21, "L", 5)) == [(21, 1)]
-    assert _watch(spark, (0, "M", 1), (21, "L", 4), min_pieces=5) == []
-    assert _watch(spark, (0, "M", 1), (21, "L", 5), min_pieces=5) == [(21, 1)]
-    # The first line sample counts whole; after a reset what is read counts.
-    assert _watch(spark, (0, "L", 100), (30, "L", 100), min_pieces=100) == [(30, 1)]
-    assert _watch(spark, (0, "L", 90), (1, "M", 1), (30, "L", 4), min_pieces=4) == [(30, 1)]
-    assert _watch(spark, (0, "L", 90), (1, "M", 1), (30, "L", 4), min_pieces=5) == []
-    # Raised once, cleared by the next machine sample, whatever it reads.
-    assert _watch(spark, (0, "M", 5), (30, "L", 3), (40, "L", 6), (50, "M", 5), (60, "M", 5)) == [(30, 1), (50, 0)]
-    assert _watch(spark, (0, "M", 1), (5, "L", 3), (100, "M", 2)) == []
-    # Nothing happens without a line sample after the timeout.
-    assert _watch(spark, (0, "M", 1), (15, "L", 3)) == []
-    # The line count outlives machine samples.
-    assert _watch(spark, (0, "L", 10), (1, "M", 1), (30, "L", 10), min_pieces=1) == []
+# Seconds, M for a machine and L for a line sample, value; timeout 20 seconds.
+WATCHDOG = [
+    ("exactly the timeout", 1, [(0, "M", 1), (20, "L", 5)], []),
+    ("past the timeout", 1, [(0, "M", 1), (21, "L", 5)], [(21, 1)]),
+    ("a piece short", 5, [(0, "M", 1), (21, "L", 4)], []),
+    ("just enough pieces", 5, [(0, "M", 1), (21, "L", 5)], [(21, 1)]),
+    ("first line sample counts whole", 100, [(0, "L", 100), (30, "L", 100)], [(30, 1)]),
+    ("after a reset what is read counts", 4, [(0, "L", 90), (1, "M", 1), (30, "L", 4)], [(30, 1)]),
+    ("and no more", 5, [(0, "L", 90), (1, "M", 1), (30, "L", 4)], []),
+    (
+        "raised once, cleared by the next machine sample whatever it reads",
+        1,
+        [(0, "M", 5), (30, "L", 3), (40, "L", 6), (50, "M", 5), (60, "M", 5)],
+        [(30, 1), (50, 0)],
+    ),
+    ("machine sample without anomaly", 1, [(0, "M", 1), (5, "L", 3), (100, "M", 2)], []),
+    ("no line sample after the timeout", 1, [(0, "M", 1), (15, "L", 3)], []),
+    ("the line count outlives machine samples", 1, [(0, "L", 10), (1, "M", 1), (30, "L", 10)], []),
+]
+
+
+@pytest.mark.parametrize("min_pieces", sorted({case[1] for case in WATCHDOG}))
+def test_watchdog(spark, min_pieces):
+    """One machine per case."""
+    cases = [case for case in WATCHDOG if case[1] == min_pieces]
+    names = {"L": schema.LINE_COUNTER, "M": schema.PIECE_COUNTER}
+    samples = logs_of(spark, {m: [(t / 60, names[n], v) for t, n, v in c[2]] for m, c in enumerate(cases)})
+    found = {m: [] for m in range(len(cases))}
+    for r in watchdog.batch(samples, WatchdogConfig(20, min_pieces)).orderBy("timestamp").collect():
+        found[r.machine_id].append(((r.timestamp - START).total_seconds(), r.value))
+    assert {cases[m][0]: changes for m, changes in found.items()} == {c[0]: c[3] for c in cases}
 
 
 def test_orders(spark):
