@@ -98,19 +98,22 @@ def by_heat(
     order: Sequence[Column],
     plan: SegmentPlan | None,
     build: Callable[[DataFrame, bool], DataFrame],
+    gather: bool = True,
 ) -> DataFrame:
     """Run `build` on rows brought together by key and put in order: whole keys, and hot ones in segments.
 
     `build` gets the rows and whether they are cut; it hands both to `running`. Rows are shuffled and sorted here, while
-    they are narrow, and not after the running values have added their inputs to them.
+    they are narrow, and not after the running values have added their inputs to them. With `gather` off that is left to
+    the windows; the optimizer then drops the shuffle together with running values nobody asks for.
     """
 
     def whole(rows: DataFrame) -> DataFrame:
-        return build(_arranged(rows, keys, order), False)
+        return build(_arranged(rows, keys, order) if gather else rows, False)
 
     def in_segments(rows: DataFrame) -> DataFrame:
+        parts = [*keys, SEGMENT]
         cut = rows.withColumn(SEGMENT, plan.segment())
-        return build(_arranged(cut, [*keys, SEGMENT], order), True).drop(SEGMENT)
+        return build(_arranged(cut, parts, order) if gather else cut, True).drop(SEGMENT)
 
     if plan is None or not plan.cuts_any:
         return whole(df)

@@ -234,7 +234,8 @@ def _reading_of(column: str) -> str:
     return f"CASE WHEN previous_value IS NULL THEN {column} WHEN previous_value > value THEN value ELSE value - previous_value END"
 
 
-_DELTAS = 'SELECT event_id, "timestamp", machine_id, variable, type, value, event_type, interval_start, previous_value, '
+_DELTAS = """SELECT event_id, "timestamp", machine_id, variable, type, value, event_type, interval_start,
+                    CAST(previous_value AS DOUBLE) AS previous_value, """
 _CHUNK = 'make_timestamp(epoch_us("timestamp") - epoch_us("timestamp") % 604800000000)'
 _CHUNKS = f"""
     SELECT chunk_start, chunk_start + INTERVAL 7 DAY AS chunk_end, COUNT(*) AS rows, MIN("timestamp") AS first_event,
@@ -336,7 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "watchdog_raised": _on("raised") + "SELECT * FROM raised",
         "watchdog_events": _on("derived") + "SELECT * FROM derived",
         "order_enrichment": _on("me", "scheduled")
-        + """SELECT me.event_id, me.machine_id, me."timestamp", me.variable, o.order_id
+        + """SELECT me.event_id, me.machine_id, me."timestamp", me.variable, CAST(o.order_id AS DOUBLE) AS order_id
              FROM me LEFT JOIN scheduled o ON me.machine_id = o.machine_id AND me."timestamp" >= o.start_date
                                           AND me."timestamp" < COALESCE(o.end_date, TIMESTAMP '9999-01-01')""",
         "active_order_at": _on("scheduled")

@@ -177,14 +177,24 @@ def events_in_valid_intervals(spark, sf_dir):
     return validity.gate(_events(spark, sf_dir), RANGE, GATED, plan=machine_plan(spark, sf_dir))
 
 
+def _optional(df: DataFrame, name: str) -> DataFrame:
+    """An integer column with nulls as doubles, since pandas frames differ in how they hold integer nulls."""
+    return df.withColumn(name, F.col(name).cast("double"))
+
+
+def _deltas(spark: SparkSession, sf_dir: str, first: str) -> DataFrame:
+    found = validity.counter_deltas(
+        _events(spark, sf_dir), RANGE, COUNTERS, first=first, plan=machine_plan(spark, sf_dir)
+    )
+    return _optional(found, "previous_value")
+
+
 def counter_deltas(spark, sf_dir):
-    return validity.counter_deltas(_events(spark, sf_dir), RANGE, COUNTERS, plan=machine_plan(spark, sf_dir))
+    return _deltas(spark, sf_dir, "zero")
 
 
 def counter_deltas_from_zero(spark, sf_dir):
-    return validity.counter_deltas(
-        _events(spark, sf_dir), RANGE, COUNTERS, first="value", plan=machine_plan(spark, sf_dir)
-    )
+    return _deltas(spark, sf_dir, "value")
 
 
 def anomaly_valid_overlap(spark, sf_dir):
@@ -243,9 +253,8 @@ def watchdog_events(spark, sf_dir):
 
 
 def order_enrichment(spark, sf_dir):
-    return orders.enrich(
-        _events(spark, sf_dir), _orders(spark, sf_dir), machine_plan(spark, sf_dir)
-    ).select("event_id", "machine_id", "timestamp", "variable", "order_id")
+    found = orders.enrich(_events(spark, sf_dir), _orders(spark, sf_dir), machine_plan(spark, sf_dir))
+    return _optional(found.select("event_id", "machine_id", "timestamp", "variable", "order_id"), "order_id")
 
 
 def active_order_at(spark, sf_dir):

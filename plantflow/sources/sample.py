@@ -88,7 +88,7 @@ def _numbered_events(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None)
     keys, order = ["machine_id", "variable"], [F.col("timestamp"), F.col("event_id")]
     counted = {"counted": segments.total(F.col("iv"))}
     counters = segments.by_heat(
-        readings, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, counted, cut)
+        readings, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, counted, cut), gather=False
     )
     return _model(signals, flag, "Boolean", origin, "k").unionByName(
         _model(counters, F.col("counted") % turn, "Int32", F.lit(schema.RAW), "k")
@@ -212,8 +212,9 @@ def production_orders(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None
     )
     order = [F.col("start_date"), F.col("order_id")]
     until = {"end_date": segments.following(F.col("start_date"))}
+    keys = ["machine_id"]
     return segments.by_heat(
-        placed, ["machine_id"], order, plan, lambda rows, cut: segments.running(rows, ["machine_id"], order, until, cut)
+        placed, keys, order, plan, lambda rows, cut: segments.running(rows, keys, order, until, cut), gather=False
     )
 
 
