@@ -124,3 +124,27 @@ def _append(
     if partitions:
         writer = writer.partitionBy(*partitions)
     return (writer.queryName(name) if name else writer).start(path)
+
+
+def start(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    quarantine: str,
+    checkpoints: str,
+    root: str,
+    cfg: WatchdogConfig | None = None,
+    trigger: dict | None = None,
+    strict: bool = False,
+    **limits,
+) -> list[StreamingQuery]:
+    """The whole ingest: messages landing as files go to the event table, with derived anomalies if `cfg` is given, and
+    those the table does not take to the quarantine. Each of the two queries has its own checkpoint."""
+    found = checked(read_json(spark, landing, **limits), root, strict=strict)
+    events = wire.accepted(found)
+    if cfg is not None:
+        events = with_anomalies(events, cfg)
+    return [
+        append_to_table(events, table, f"{checkpoints}/table", trigger, "events"),
+        append_to_quarantine(wire.quarantined(found), quarantine, f"{checkpoints}/quarantine", trigger, "quarantine"),
+    ]

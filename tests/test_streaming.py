@@ -121,12 +121,16 @@ def test_ingest_with_restart(spark, tmp_path):
     (tmp_path / "in").mkdir()
 
     def run():
-        arriving = ingest.read_json(spark, source, max_files=1)
-        found = ingest.checked(arriving, sample.TOPIC_ROOT)
-        events = ingest.with_anomalies(wire.accepted(found), registry.WATCHDOG)
-        for query in (
-            ingest.append_to_table(events, table, str(tmp_path / "cp1"), NOW),
-            ingest.append_to_quarantine(wire.quarantined(found), rejected, str(tmp_path / "cp2"), NOW),
+        for query in ingest.start(
+            spark,
+            source,
+            table,
+            rejected,
+            str(tmp_path / "checkpoints"),
+            sample.TOPIC_ROOT,
+            registry.WATCHDOG,
+            NOW,
+            max_files=1,
         ):
             query.awaitTermination()
 
