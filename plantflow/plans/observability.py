@@ -44,18 +44,20 @@ def parse_logs(
 ) -> DataFrame:
     """Log lines `<application> | <host> | [<component> |] <text>` taken apart; other lines are not this application's."""
     kept = SEVERITIES[SEVERITIES.index(min_severity) :]
-    known = "|".join(components)
-    pattern = rf"(?s)^{application} \| (.*?) \| (?:({known}) \| )?(.*)$"
+    bar = " | "
+    after_bar = len(bar) + 1
+    prefix = application + bar
     body = F.col("body")
-
-    def part(group: int) -> Column:
-        return F.nullif(F.regexp_extract(body, pattern, group), F.lit(""))
-
-    return logs.filter(F.col("severity").isin(*kept) & body.rlike(pattern)).select(
+    rest = F.substr(body, F.lit(len(prefix) + 1))
+    host = F.substring_index(rest, bar, 1)
+    message = F.substr(rest, F.length(host) + after_bar)
+    lead = F.substring_index(message, bar, 1)
+    has_component = lead.isin(list(components)) & message.contains(bar)
+    return logs.filter(F.col("severity").isin(*kept) & body.startswith(prefix) & rest.contains(bar)).select(
         *[c for c in logs.columns if c != "body"],
-        part(1).alias("host"),
-        part(2).alias("component"),
-        F.regexp_extract(body, pattern, 3).alias("text"),
+        F.nullif(host, F.lit("")).alias("host"),
+        F.when(has_component, lead).alias("component"),
+        F.when(has_component, F.substr(message, F.length(lead) + after_bar)).otherwise(message).alias("text"),
     )
 
 
