@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What separates words when only white space does, and when all ASCII but digits and letters does.
@@ -44,3 +48,39 @@ def ascii_lower(text: Column) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value evaluated once a row however often the body names it."""
     return F.transform(F.array(value), body)[0]
+
+
+#: Bytes of text handled at once by a Python worker; a longer text is handled alone.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with a bounded number of bytes in the column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    groups = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def with_computed(
+    df: DataFrame, keep: list[str], column: str, added: list[T.StructField], start: Callable[[], Callable[[list], list]]
+) -> DataFrame:
+    """keep, and the columns that the function start() returns makes from runs of the column's values, as Arrow arrays.
+
+    start() runs once a task, so that tables are opened there. Nulls reach the function as None.
+    """
+    needed = list(dict.fromkeys([*keep, column]))
+    frame = df.select(*(F.col(f"`{c}`") for c in needed))
+    schema = T.StructType([*(f for f in frame.schema.fields if f.name in keep), *added])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for batch in batches:
+            for part in slices(batch, column):
+                arrays = compute(part.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=names)
+
+    return frame.mapInArrow(run, schema)

@@ -5,23 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantflow.llm import common, license_scan, quality_ledger
+from plantflow.llm import bpe_codec, common, license_scan, quality_ledger, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    decoded = bpe_codec.decode(bpe_codec.encode(docs, keep=["doc_id"]))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     return quality_ledger.verdicts(common.table(spark, sf_dir, "documents")).select(*columns)
 
 
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(common.table(spark, sf_dir, "documents"))
+
+
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op4_quality_rules": quality, "op10_license_scans": licenses}
+    return {
+        "op2_byte_bpe": codec,
+        "op4_quality_rules": quality,
+        "op6_token_files": files,
+        "op7_token_counts": counts,
+        "op10_license_scans": licenses,
+    }
 
 
 QUALITY_SQL = r"""
