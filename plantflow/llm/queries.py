@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, license_scan, quality_ledger, token_counts, token_files
+from plantflow.llm import bpe_codec, common, decontamination, license_scan, quality_ledger, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,19 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = decontamination.search(docs, items, keep=["doc_id"]).withColumn("n_hit", decontamination.n_hit())
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>"))), 256).alias("items_sha256"),
+        decontamination.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.table(spark, sf_dir, "documents"))
 
@@ -46,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": quality,
         "op6_token_files": files,
         "op7_token_counts": counts,
+        "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
     }
 
@@ -79,6 +93,28 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM measured"""
 
 
+DECONTAMINATION_SQL = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{common.UPPER}', '{common.UPPER.lower()}'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{common.UPPER}', '{common.UPPER.lower()}'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, list_slice(words, i, i + 12) AS phrase, least(13, len(words)) AS n
+  FROM b, unnest(range(1, greatest(1, len(words) - 12) + 1)) AS r(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM phrases),
+windows AS (
+  SELECT doc_id, i, n, list_slice(words, i, i + n - 1) AS phrase
+  FROM d, sizes, unnest(range(1, len(words) - n + 2)) AS r(i)),
+found AS (SELECT w.doc_id, w.i, w.n, p.item_id FROM windows w JOIN phrases p ON w.phrase = p.phrase),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM found, unnest(range(0, n)) AS r(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id"""
+
+
 def _license_sql() -> str:
     templates = ", ".join(
         f"({k}, '{t.label}', [{', '.join(repr(w) for w in sorted(set(license_scan.words_of(t.text))))}])"
@@ -111,4 +147,8 @@ FROM split s LEFT JOIN base b ON s.doc_id = b.doc_id LEFT JOIN best m ON s.doc_i
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": QUALITY_SQL, "op10_license_scans": _license_sql()}
+    return {
+        "op4_quality_rules": QUALITY_SQL,
+        "op9_benchmark_decontamination": DECONTAMINATION_SQL,
+        "op10_license_scans": _license_sql(),
+    }
