@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, decontamination, license_scan, quality_ledger, token_counts, token_files
+from plantflow.llm import bpe_codec, common, decontamination, license_scan, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ledger.verdicts(common.table(spark, sf_dir, "documents")).select(*columns)
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.dedup(common.table(spark, sf_dir, "documents"))
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(common.table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_byte_bpe": codec,
         "op4_quality_rules": quality,
+        "op5_simhash_dedup": simhash,
         "op6_token_files": files,
         "op7_token_counts": counts,
         "op9_benchmark_decontamination": benchmark_hits,
