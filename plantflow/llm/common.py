@@ -84,3 +84,12 @@ def with_computed(
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=names)
 
     return frame.mapInArrow(run, schema)
+
+
+#: Rows of a side that may be broadcast; its rows are a few numbers each.
+BROADCAST_ROWS = 500_000
+
+
+def join_counted(large: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """large joined with small, a frame already cut: broadcast if its counted rows are few, else as Spark sees fit."""
+    return large.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, decontamination, license_scan, quality_ledger, simhash_dedup, token_counts, token_files
+from plantflow.llm import bpe_codec, common, decontamination, license_scan, line_dedup, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,10 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.scan(common.table(spark, sf_dir, "documents"))
+
+
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (common.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = decontamination.search(docs, items, keep=["doc_id"]).withColumn("n_hit", decontamination.n_hit())
@@ -64,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op5_simhash_dedup": simhash,
         "op6_token_files": files,
         "op7_token_counts": counts,
+        "op8_line_dedup": lines,
         "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
     }
@@ -154,6 +159,7 @@ FROM split s LEFT JOIN base b ON s.doc_id = b.doc_id LEFT JOIN best m ON s.doc_i
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": QUALITY_SQL,
+        "op8_line_dedup": lines,
         "op9_benchmark_decontamination": DECONTAMINATION_SQL,
         "op10_license_scans": _license_sql(),
     }
