@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantflow.llm import common
+from plantflow.llm import common, suffixes
 
 WINDOW = 13
 SAMPLE = 8
@@ -63,21 +63,7 @@ class FMIndex:
     def __init__(self, stream: np.ndarray):
         n = len(stream)
         ends = stream == 0
-        # suffixes sorted by prefix doubling; separators differ, so sorting ends with the longest repeated stretch
-        rank = np.where(ends, np.cumsum(ends), stream + ends.sum()).astype(np.int64)
-        order, width = np.argsort(rank, kind="stable"), 1
-        while True:
-            ahead = np.zeros(n, dtype=np.int64)
-            ahead[: max(0, n - width)] = rank[width:] + 1
-            key = rank * (max(int(rank.max()), n) + 2) + ahead
-            order = np.argsort(key, kind="stable")
-            ordered = key[order]
-            rank = np.empty(n, dtype=np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-            if rank[order[-1]] == n - 1:
-                break
-            width *= 2
-        self.suffixes = order
+        order = suffixes.suffix_array(stream)
         self.transform = stream[order - 1]  # the one before the first is the last, a separator
         counts = np.bincount(stream, minlength=int(stream.max(initial=0)) + 2)
         self.first = np.concatenate([[0], np.cumsum(counts)])

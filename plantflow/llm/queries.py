@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, decontamination, license_scan, line_dedup, quality_ledger, simhash_dedup, token_counts, token_files
+from plantflow.llm import bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(common.table(spark, sf_dir, "pages"))
+
+
 def codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     decoded = bpe_codec.decode(bpe_codec.encode(docs, keep=["doc_id"]))
@@ -23,6 +28,10 @@ def codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(common.table(spark, sf_dir, "pages"), common.table(spark, sf_dir, "documents"))
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     return quality_ledger.verdicts(common.table(spark, sf_dir, "documents")).select(*columns)
@@ -63,7 +72,9 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extraction": pages,
         "op2_byte_bpe": codec,
+        "op3_language_id": languages,
         "op4_quality_rules": quality,
         "op5_simhash_dedup": simhash,
         "op6_token_files": files,
@@ -71,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": lines,
         "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
+        "pipeline": corpus_pipeline.run,
     }
 
 
