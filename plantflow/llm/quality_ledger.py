@@ -100,7 +100,10 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         hashes.alias("__hashes"),
     )
     repeated = F.when(F.col("__hashes").isNull(), F.lit(0)).otherwise(_repeat_words(F.col("__hashes")))
-    return measured.withColumn("n_repeat_words", repeated.cast("long")).drop("__hashes")
+    # made by a generator, the measurements are finished columns: no filter on them repeats their making below
+    names = [c for c in measured.columns if c != "__hashes"][len(kept) :]
+    made = F.struct(*names, repeated.cast("long").alias("n_repeat_words"))
+    return measured.select(*kept, F.explode(F.array(made)).alias("__m")).select(*kept, "__m.*")
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
