@@ -171,7 +171,6 @@ FROM split s LEFT JOIN base b ON s.doc_id = b.doc_id LEFT JOIN best m ON s.doc_i
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": QUALITY_SQL,
-        "op8_line_dedup": lines,
         "op9_benchmark_decontamination": DECONTAMINATION_SQL,
         "op10_license_scans": _license_sql(),
     }
