@@ -1,7 +1,7 @@
 """The registered queries once more, as plain SQL for a single-node database.
 
-Written independently of the Spark jobs: intervals are joined with samples and with each other, where the jobs carry
-state along the log. Used to check results only.
+Written independently of the Spark jobs: samples look up what held at their moment with as-of joins, and intervals come
+from a sweep over edges, where the jobs carry state along the log. Used to check results only.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ _FROM = "TIMESTAMP '2024-01-05 00:00:00'"
 _TO = "TIMESTAMP '2024-01-25 00:00:00'"
 _TIMEOUT = "INTERVAL 43200 SECOND"
 _MIN_PIECES = 30
+# What a reading adds: all of it unless the one before is no higher, which is then taken off; `opening` without one.
+_STEP = "COALESCE(value - previous_value * CAST(previous_value <= value AS INTEGER), opening)"
 
 _CTES = {
     "ev": """
@@ -31,44 +33,44 @@ _CTES = {
                CASE kind WHEN 'error' THEN 'D' ELSE 'R' END AS event_type, k
         FROM (SELECT *, SUM(iv) OVER (PARTITION BY machine_id, kind ORDER BY ts, event_id) AS counted FROM ev)""",
     "machines": "SELECT DISTINCT machine_id FROM me",
-    # Validity intervals inside the range.
-    "ok": f"""
-        SELECT machine_id, GREATEST(since, {_FROM}) AS s, LEAST(COALESCE(till, {_TO}), {_TO}) AS e
-        FROM (SELECT machine_id, "timestamp" AS since, value,
-                     LEAD("timestamp") OVER (PARTITION BY machine_id ORDER BY "timestamp", event_id) AS till
-              FROM me WHERE variable = 'DataValid' AND "timestamp" <= {_TO})
-        WHERE value = 1 AND GREATEST(since, {_FROM}) < LEAST(COALESCE(till, {_TO}), {_TO})""",
-    "inside": """
-        SELECT me.*, ok.s AS interval_start
-        FROM me JOIN ok ON me.machine_id = ok.machine_id AND me."timestamp" >= ok.s AND me."timestamp" < ok.e
-        WHERE me.variable <> 'DataValid'""",
-    "linked": """
-        SELECT *, LAG(value) OVER (PARTITION BY machine_id, variable, interval_start
-                                   ORDER BY "timestamp", event_id) AS previous_value
-        FROM inside WHERE variable IN ('MachinePieceCounter', 'MachineRejectedPieces')""",
-    "counted": """
-        SELECT machine_id,
-               SUM(CASE WHEN variable = 'MachinePieceCounter' THEN step END) AS pieces,
-               SUM(CASE WHEN variable = 'MachineRejectedPieces' THEN step END) AS rejects
-        FROM (SELECT *, CASE WHEN previous_value IS NULL THEN 0
-                             WHEN previous_value > value THEN value
-                             ELSE value - previous_value END AS step FROM linked)
-        GROUP BY machine_id""",
+    # What holds at a moment is the last event at or before it; of events at one moment the last one counts.
+    "valid_at": """
+        SELECT machine_id, "timestamp" AS at, arg_max(value, event_id) AS flag
+        FROM me WHERE variable = 'DataValid' GROUP BY ALL""",
+    "alarm_at": """
+        SELECT machine_id, "timestamp" AS at, arg_max(value, event_id) AS flag
+        FROM me WHERE variable = 'MachineAnomaly' GROUP BY ALL""",
+    "inside": f"""
+        SELECT me.*, GREATEST(v.at, {_FROM}) AS interval_start,
+               ROW_NUMBER() OVER (ORDER BY me."timestamp", me.event_id) AS place
+        FROM me ASOF JOIN valid_at v ON me.machine_id = v.machine_id AND me."timestamp" >= v.at
+        WHERE v.flag = 1 AND me.variable <> 'DataValid' AND me."timestamp" >= {_FROM} AND me."timestamp" < {_TO}""",
+    "readings": "SELECT * FROM inside WHERE variable IN ('MachinePieceCounter', 'MachineRejectedPieces')",
+    "compared": """
+        SELECT a.*, b.value AS previous_value
+        FROM readings a ASOF LEFT JOIN readings b
+          ON a.machine_id = b.machine_id AND a.variable = b.variable AND a.interval_start = b.interval_start
+             AND a.place > b.place""",
+    "made": f"""
+        SELECT machine_id, SUM(n) FILTER (variable = 'MachinePieceCounter') AS pieces,
+               SUM(n) FILTER (variable = 'MachineRejectedPieces') AS rejects
+        FROM (SELECT machine_id, variable, {_STEP} AS n FROM (SELECT *, 0 AS opening FROM compared)) GROUP BY machine_id""",
     "started": """
         SELECT machine_id, COUNT(*) AS n FROM inside WHERE variable = 'MachineAnomaly' AND value = 1 GROUP BY machine_id""",
-    "alarms": f"""
-        SELECT machine_id, since AS s, COALESCE(till, {_TO}) AS e
-        FROM (SELECT machine_id, "timestamp" AS since, value,
-                     LEAD("timestamp") OVER (PARTITION BY machine_id ORDER BY "timestamp", event_id) AS till
-              FROM me WHERE variable = 'MachineAnomaly' AND "timestamp" <= {_TO})
-        WHERE value = 1""",
-    "active": """
-        SELECT ok.machine_id, GREATEST(ok.s, alarms.s) AS interval_start, LEAST(ok.e, alarms.e) AS interval_end
-        FROM ok JOIN alarms ON ok.machine_id = alarms.machine_id AND ok.s < alarms.e AND alarms.s < ok.e
-        WHERE GREATEST(ok.s, alarms.s) < LEAST(ok.e, alarms.e)""",
-    "lost": """
-        SELECT machine_id, CAST(SUM(epoch_us(interval_end) - epoch_us(interval_start)) AS BIGINT) AS us
-        FROM active GROUP BY machine_id""",
+    # Every change of validity or anomaly is an edge; between two edges both stay as they are.
+    "edges": f"""
+        SELECT DISTINCT machine_id, GREATEST("timestamp", {_FROM}) AS t
+        FROM me WHERE variable IN ('DataValid', 'MachineAnomaly') AND "timestamp" < {_TO}""",
+    "valid_alarms": f"""
+        SELECT e.machine_id, e.t AS interval_start, COALESCE(n.t, {_TO}) AS interval_end
+        FROM edges e
+             ASOF JOIN valid_at v ON e.machine_id = v.machine_id AND e.t >= v.at
+             ASOF JOIN alarm_at a ON e.machine_id = a.machine_id AND e.t >= a.at
+             ASOF LEFT JOIN edges n ON e.machine_id = n.machine_id AND e.t < n.t
+        WHERE v.flag = 1 AND a.flag = 1""",
+    "stood": """
+        SELECT machine_id, CAST(SUM(date_diff('microsecond', interval_start, interval_end)) AS BIGINT) AS us
+        FROM valid_alarms GROUP BY machine_id""",
     "figures": """
         SELECT machine_id,
                CAST(COALESCE(pieces, 0) AS BIGINT) AS total_pieces_counted,
@@ -76,8 +78,8 @@ _CTES = {
                COALESCE(CAST(rejects AS DOUBLE) * 100.0 / NULLIF(CAST(pieces AS DOUBLE), 0), 0) AS rejected_percentage,
                CAST(COALESCE(n, 0) AS BIGINT) AS total_anomalies,
                COALESCE(us, 0) / CAST(1000000 AS DOUBLE) AS total_anomaly_seconds
-        FROM machines LEFT JOIN counted USING (machine_id) LEFT JOIN started USING (machine_id)
-             LEFT JOIN lost USING (machine_id)""",
+        FROM machines LEFT JOIN made USING (machine_id) LEFT JOIN started USING (machine_id)
+             LEFT JOIN stood USING (machine_id)""",
     # Machine states.
     "st": """
         SELECT event_id, ts AS "timestamp", machine_id,
@@ -188,15 +190,17 @@ _CTES = {
 _NEEDS = {
     "me": ["ev"],
     "machines": ["me"],
-    "ok": ["me"],
-    "inside": ["ok"],
-    "linked": ["inside"],
-    "counted": ["linked"],
+    "valid_at": ["me"],
+    "alarm_at": ["me"],
+    "inside": ["valid_at"],
+    "readings": ["inside"],
+    "compared": ["readings"],
+    "made": ["compared"],
     "started": ["inside"],
-    "alarms": ["me"],
-    "active": ["ok", "alarms"],
-    "lost": ["active"],
-    "figures": ["machines", "counted", "started", "lost"],
+    "edges": ["me"],
+    "valid_alarms": ["edges", "valid_at", "alarm_at"],
+    "stood": ["valid_alarms"],
+    "figures": ["machines", "made", "started", "stood"],
     "st": ["ev"],
     "line": ["st"],
     "watched": ["me"],
@@ -230,10 +234,6 @@ def _on(*names: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({_CTES[name]})" for name in ordered) + "\n"
 
 
-def _reading_of(column: str) -> str:
-    return f"CASE WHEN previous_value IS NULL THEN {column} WHEN previous_value > value THEN value ELSE value - previous_value END"
-
-
 _DELTAS = """SELECT event_id, "timestamp", machine_id, variable, type, value, event_type, interval_start,
                     CAST(previous_value AS DOUBLE) AS previous_value, """
 _CHUNK = 'make_timestamp(epoch_us("timestamp") - epoch_us("timestamp") % 604800000000)'
@@ -319,11 +319,11 @@ def oracle_sql() -> dict[str, str]:
                    FROM (SELECT event_id, ts AS s, ts + to_minutes(iv % 60 - 30) AS t, ts + to_minutes(k - 50) AS u,
                                 ts + to_minutes(k - 50 + (k % 7 - 3) * 10) AS v FROM ev))""",
         "events_in_valid_intervals": _on("inside") + f"SELECT {_MODEL}, interval_start FROM inside",
-        "counter_deltas": _on("linked") + _DELTAS + f"CAST({_reading_of('0')} AS BIGINT) AS delta FROM linked",
-        "counter_deltas_from_zero": _on("linked")
-        + _DELTAS
-        + f"CAST({_reading_of('value')} AS BIGINT) AS delta FROM linked",
-        "anomaly_valid_overlap": _on("active") + "SELECT * FROM active",
+        "counter_deltas": _on("compared")
+        + f"{_DELTAS} CAST({_STEP} AS BIGINT) AS delta FROM (SELECT *, 0 AS opening FROM compared)",
+        "counter_deltas_from_zero": _on("compared")
+        + f"{_DELTAS} CAST({_STEP} AS BIGINT) AS delta FROM (SELECT *, value AS opening FROM compared)",
+        "anomaly_valid_overlap": _on("valid_alarms") + "SELECT * FROM valid_alarms",
         "interval_intersection": _on("line")
         + """SELECT a.machine_id, GREATEST(a.interval_start, c.interval_start) AS interval_start,
                     LEAST(a.interval_end, c.interval_end) AS interval_end
