@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def whole_number(text: Column) -> Column:
     """Device value as an integer: booleans become 0 or 1, fractions are cut towards zero, anything else is null."""
     plain = F.lower(F.trim(text))
-    number = plain.try_cast("double")
+    # The cast alone would also take a type letter, as in "12d", and names such as "infinity".
+    number = F.when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$"), plain).try_cast("double")
     return (
         F.when(plain == "true", F.lit(1))
         .when(plain == "false", F.lit(0))

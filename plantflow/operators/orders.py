@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantflow.functions import timecols
@@ -12,13 +15,67 @@ from plantflow.params import TimeRange, instant
 
 # 0001-01-01, the first moment timestamps reach.
 _BEFORE_ALL_US = -62_135_596_800_000_000
+_FOREVER_US = 2**63 - 1
+
+
+def reigns(orders: DataFrame) -> DataFrame:
+    """The order of each machine from moment to moment: the last started among those still running.
+
+    Rows (machine_id, since, until, order_id) that do not overlap; times in microseconds. Orders are swept in order of
+    their start with those still running on a stack, batch by batch, so memory holds what runs at once and no more.
+    """
+    swept = (
+        orders.filter(F.col("machine_id").isNotNull() & F.col("start_date").isNotNull())
+        .select(
+            "machine_id",
+            F.unix_micros("start_date").alias("since"),
+            # An order without an end outlasts every event.
+            F.coalesce(F.unix_micros("end_date"), F.lit(_FOREVER_US)).alias("until"),
+            "order_id",
+        )
+        .repartition("machine_id")
+        .sortWithinPartitions("machine_id", "since", "order_id")
+    )
+    names = swept.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, now, running, out = None, 0, [], []
+
+        def advance(to: int) -> None:
+            nonlocal now
+            while running and now < to:
+                until, order = running[-1]
+                if until > now:
+                    out.append((machine, now, min(until, to), order))
+                    now = min(until, to)
+                if until <= now:
+                    running.pop()
+
+        types = None
+        for batch in batches:
+            types = batch.schema
+            for key, since, until, order in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != machine:
+                    advance(_FOREVER_US)
+                    machine, running = key, []
+                advance(since)
+                now = since
+                if until > since:
+                    running.append((until, order))
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=types)
+            out = []
+        if types is not None:
+            advance(_FOREVER_US)
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=types)
+
+    return swept.mapInArrow(run, swept.schema)
 
 
 def enrich(events: DataFrame, orders: DataFrame, plan: SegmentPlan | None = None) -> DataFrame:
-    """Events with the order running on their machine, null where none runs.
+    """Events with the order running on their machine, null where none runs: one row an event.
 
-    A machine works on one order at a time, so the order started last is the only candidate. Order starts are merged
-    into the events and the last one is carried along: linear in events plus orders, where a join on the machine
+    Of orders that overlap, the last started among those still running counts. The moments at which a machine's order
+    changes are merged into the events and carried along: linear in events plus orders, where a join on the machine
     alone would compare every event with every order of its machine.
     """
     samples = events.select(
@@ -28,14 +85,13 @@ def enrich(events: DataFrame, orders: DataFrame, plan: SegmentPlan | None = None
         F.col("event_id").alias("_tie"),
         F.struct(*[F.col(c) for c in events.columns]).alias("_sample"),
     )
-    starts = orders.select(
+    starts = reigns(orders).select(
         "machine_id",
-        F.col("start_date").alias("timestamp"),
+        F.timestamp_micros("since").alias("timestamp"),
         F.lit(False).alias("_is_sample"),
         F.col("order_id").alias("_tie"),
         "order_id",
-        # An order without an end outlasts every event.
-        F.coalesce(F.unix_micros("end_date"), F.lit(2**63 - 1)).alias("_until"),
+        F.col("until").alias("_until"),
     )
     merged = samples.unionByName(starts, allowMissingColumns=True)
     order = [F.col("timestamp"), F.col("_is_sample"), F.col("_tie")]
@@ -48,11 +104,17 @@ def enrich(events: DataFrame, orders: DataFrame, plan: SegmentPlan | None = None
 
 
 def active_at(orders: DataFrame, moment: Column, machine_id: int | None = None) -> DataFrame:
-    """Order running on each machine at an instant."""
+    """Order running on each machine at an instant, the last started if several do."""
     picked = orders if machine_id is None else orders.filter(F.col("machine_id") == machine_id)
-    return picked.filter(timecols.contains(F.col("start_date"), F.col("end_date"), moment)).select(
-        "machine_id", "order_id"
-    )
+    running = picked.filter(timecols.contains(F.col("start_date"), F.col("end_date"), moment))
+    return running.groupBy("machine_id").agg(F.max_by("order_id", F.struct("start_date", "order_id")).alias("order_id"))
+
+
+def overlaps(orders: DataFrame) -> DataFrame:
+    """Orders that start on a machine while an earlier one still runs."""
+    before = Window.partitionBy("machine_id").orderBy("start_date", "order_id").rowsBetween(Window.unboundedPreceding, -1)
+    until = F.coalesce(F.unix_micros("end_date"), F.lit(_FOREVER_US))
+    return orders.withColumn("_before", F.max(until).over(before)).filter(F.unix_micros("start_date") < F.col("_before")).drop("_before")
 
 
 def dates(statements: DataFrame) -> DataFrame:

@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Segment widths to choose from, widest first: day, hour, minute, second.
-WIDTHS_US = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000)
+# Segment widths to choose from, widest first: day, hour, minute, second, and on to a microsecond, the finest time.
+WIDTHS_US = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 10_000, 100, 1)
 MAX_HOT_KEYS = 1000
+# Neighbouring segments whose summaries are carried on as one.
+SEGMENTS_OF_STRETCH = 4096
 
 
 @dataclass(frozen=True)
@@ -154,6 +156,14 @@ class Running:
         pick = F.min_by if self.kind in ("first", "next") else F.max_by
         return pick(self.expr, place)
 
+    def of_segments(self, handed_on: Column) -> Column:
+        """What a stretch of segments hands on; rows without a time form the first segment."""
+        if self.kind == "sum":
+            return F.sum(handed_on)
+        place = F.when(handed_on.isNotNull(), F.struct(F.col(SEGMENT)))
+        pick = F.min_by if self.kind in ("first", "next") else F.max_by
+        return pick(handed_on, place)
+
     def inherited(self, handed_on: Column, across: Window) -> Column:
         """What a segment receives from the earlier (for "next": the following) segments of its key."""
         earlier = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -212,10 +222,31 @@ def running(
     parts = [*keys, SEGMENT]
     local = df.select("*", *[v.over(parts, order).alias(name) for name, v in values.items()])
     handed_on = df.groupBy(*parts).agg(*[v.of_segment(order).alias(name) for name, v in values.items()])
-    across = Window.partitionBy(*keys).orderBy(SEGMENT)
-    inherited = handed_on.select(
-        *parts, *[v.inherited(F.col(name), across).alias(f"_in_{name}") for name, v in values.items()]
-    )
-    return local.join(inherited, parts, "left").select(
+    inherited = _carried(handed_on, keys, values).select(*parts, *[F.col(name).alias(f"_in_{name}") for name in values])
+    return join_null_safe(local, inherited, parts, "left").select(
         *df.columns, *[v.combined(F.col(name), F.col(f"_in_{name}")).alias(name) for name, v in values.items()]
     )
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, two nulls being equal; the left side's keys stay."""
+    named = right.select(*[F.col(c).alias(f"_on_{c}" if c in keys else c) for c in right.columns])
+    same = [left[k].eqNullSafe(named[f"_on_{k}"]) for k in keys]
+    return left.join(named, same, how).drop(*[f"_on_{k}" for k in keys])
+
+
+def _carried(handed_on: DataFrame, keys: Sequence[str], values: dict[str, Running]) -> DataFrame:
+    """What each segment inherits from the others of its key.
+
+    Carried in two steps, within stretches of segments and across them: a key cut by seconds or finer has millions of
+    segments, which no task sees all of.
+    """
+    rows = handed_on.withColumn("_stretch", F.floor(F.col(SEGMENT) / SEGMENTS_OF_STRETCH))
+    inside = Window.partitionBy(*keys, "_stretch").orderBy(SEGMENT)
+    across = Window.partitionBy(*keys).orderBy("_stretch")
+    near = rows.select(*keys, SEGMENT, "_stretch", *[v.inherited(F.col(n), inside).alias(n) for n, v in values.items()])
+    stretches = rows.groupBy(*keys, "_stretch").agg(*[v.of_segments(F.col(n)).alias(n) for n, v in values.items()])
+    far = stretches.select(*keys, "_stretch", *[v.inherited(F.col(n), across).alias(f"_far_{n}") for n, v in values.items()])
+    return join_null_safe(near, far, [*keys, "_stretch"]).select(
+        *keys, SEGMENT, *[v.combined(F.col(n), F.col(f"_far_{n}")).alias(n) for n, v in values.items()]
+    )

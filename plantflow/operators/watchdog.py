@@ -145,7 +145,7 @@ def _due_in_segments(rows: DataFrame, cfg: WatchdogConfig) -> DataFrame:
 
     begun = F.when(F.col("epoch") == F.col("_first"), F.col("_pieces_in")).otherwise(F.lit(0).cast("bigint"))
     judged = (
-        local.join(inherited, parts)
+        segments.join_null_safe(local, inherited, parts)
         .withColumn("pieces", F.col("_own") + begun)
         .withColumn("_due", _ready(cfg) & (F.col("pieces") >= enough))
     )

@@ -245,7 +245,14 @@ _CHUNKS = f"""
 _MODEL = 'event_id, "timestamp", machine_id, variable, type, value, event_type'
 _SPAN_KEYS = (
     "date_trunc('minute', ts) AS window_start, kind AS service_name, 'default' AS service_namespace, "
-    "COALESCE(environment, 'default') AS deployment_environment"
+    "COALESCE(environment, 'default') AS deployment_environment, host AS host_name, "
+    + ", ".join(
+        f"CAST(NULL AS VARCHAR) AS {name}"
+        for name in (
+            "collector_id service_version browser_platform browser_mobile k8s_cluster_name k8s_node_name "
+            "k8s_namespace_name host_type container_name"
+        ).split()
+    )
 )
 
 
@@ -284,10 +291,11 @@ def oracle_sql() -> dict[str, str]:
         + f"SELECT {_MODEL} FROM sent WHERE topic LIKE 'prod/plant/%'",
         "ingest_timestamp": _on("sent")
         + "SELECT event_id, variable, received AS \"timestamp\" FROM sent WHERE topic LIKE 'prod/plant/%'",
-        "ingest_valid_rows": _on("me") + f"SELECT {_MODEL} FROM me WHERE k % 17 NOT IN (3, 5, 7)",
+        "ingest_valid_rows": _on("me") + f"SELECT {_MODEL} FROM me WHERE k % 17 NOT IN (3, 5, 7) AND NOT (k % 17 = 9 AND variable = 'DataValid')",
         "ingest_quarantine": _on("sent")
-        + """SELECT event_id, topic, CASE WHEN k % 17 = 3 THEN 'no type' ELSE 'unreadable payload' END AS reject_reasons
-             FROM sent WHERE k % 17 IN (3, 5, 7)""",
+        + """SELECT event_id, topic, CASE k % 17 WHEN 3 THEN 'no type' WHEN 9 THEN 'no order of receipt'
+                                                 ELSE 'unreadable payload' END AS reject_reasons
+             FROM sent WHERE k % 17 IN (3, 5, 7) OR (k % 17 = 9 AND variable = 'DataValid')""",
         "monitored_items_filter": _on("me")
         + f"SELECT {_MODEL} FROM me WHERE variable = 'LinePieceCounter' OR variable = 'MachinePieceCounter'",
         "node_metadata_lookup": _on("ev")
@@ -340,6 +348,16 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT me.event_id, me.machine_id, me."timestamp", me.variable, CAST(o.order_id AS DOUBLE) AS order_id
              FROM me LEFT JOIN scheduled o ON me.machine_id = o.machine_id AND me."timestamp" >= o.start_date
                                           AND me."timestamp" < COALESCE(o.end_date, TIMESTAMP '9999-01-01')""",
+        "order_enrichment_overlapping": _on("me", "scheduled")
+        + """SELECT me.event_id, me.machine_id, me."timestamp", me.variable,
+                    CAST(arg_max(o.order_id, (o.start_date, o.order_id)) AS DOUBLE) AS order_id
+             FROM me LEFT JOIN (SELECT order_id, machine_id, start_date,
+                                       CASE order_id % 7 WHEN 0 THEN TIMESTAMP '9999-01-01'
+                                                         WHEN 3 THEN end_date + INTERVAL 20 DAY ELSE end_date END AS until
+                                FROM scheduled) o
+                    ON me.machine_id = o.machine_id AND me."timestamp" >= o.start_date
+                       AND me."timestamp" < COALESCE(o.until, TIMESTAMP '9999-01-01')
+             GROUP BY ALL""",
         "active_order_at": _on("scheduled")
         + """SELECT machine_id, order_id FROM scheduled
              WHERE start_date <= TIMESTAMP '2024-01-12 06:00:00'

@@ -1,4 +1,4 @@
-"""Roll-ups of logs, spans and metrics. Every function works on a batch and, with a watermark, on a stream."""
+"""Roll-ups of logs, spans and metrics. streaming.observability keeps them up to date on streams."""
 
 from __future__ import annotations
 
@@ -17,11 +17,22 @@ RECONNECT_TEXT = "New connection attempt"
 # Upper limits of the latency buckets in milliseconds.
 LATENCY_BOUNDS_MS = (0.1, 1, 2, 6, 10, 50, 100, 250, 500, 1000, 1400, 2000, 5000, 10000, 20000, 40000, 60000)
 
-# Span dimensions and what stands in for a missing one (None: stays empty).
+# Span dimensions and what stands in for a missing one (None: stays empty). The collector's id keeps series
+# of several collectors apart.
 SPAN_DIMENSIONS = {
     "service.name": None,
     "service.namespace": "default",
     "deployment.environment": "default",
+    "collector.id": None,
+    "service.version": None,
+    "browser.platform": None,
+    "browser.mobile": None,
+    "k8s.cluster.name": None,
+    "k8s.node.name": None,
+    "k8s.namespace.name": None,
+    "host.name": None,
+    "host.type": None,
+    "container.name": None,
 }
 METER_DIMENSIONS = ("service.name", "deployment.environment", "host.name")
 
@@ -53,12 +64,15 @@ def parse_logs(
     message = F.substr(rest, F.length(host) + after_bar)
     lead = F.substring_index(message, bar, 1)
     has_component = lead.isin(list(components)) & message.contains(bar)
-    return logs.filter(F.col("severity").isin(*kept) & body.startswith(prefix) & rest.contains(bar)).select(
-        *[c for c in logs.columns if c != "body"],
+    parts = F.struct(
         F.nullif(host, F.lit("")).alias("host"),
         F.when(has_component, lead).alias("component"),
         F.when(has_component, F.substr(message, F.length(lead) + after_bar)).otherwise(message).alias("text"),
     )
+    # As a generator, so that later filters see finished columns instead of taking the line apart once more.
+    return logs.filter(F.col("severity").isin(*kept) & body.startswith(prefix) & rest.contains(bar)).select(
+        *[c for c in logs.columns if c != "body"], F.inline(F.array(parts))
+    )
 
 
 def roll_up_logs(parsed: DataFrame, every: str = "1 hour") -> DataFrame:

@@ -257,6 +257,14 @@ def order_enrichment(spark, sf_dir):
     return _optional(found.select("event_id", "machine_id", "timestamp", "variable", "order_id"), "order_id")
 
 
+def order_enrichment_overlapping(spark, sf_dir):
+    """The same with orders that stay open or run on into the next ones."""
+    number, end = F.col("order_id"), F.col("end_date")
+    longer = F.when(number % 7 == 0, F.lit(None)).when(number % 7 == 3, end + F.expr("INTERVAL 20 DAY")).otherwise(end)
+    found = orders.enrich(_events(spark, sf_dir), _orders(spark, sf_dir).withColumn("end_date", longer), machine_plan(spark, sf_dir))
+    return _optional(found.select("event_id", "machine_id", "timestamp", "variable", "order_id"), "order_id")
+
+
 def active_order_at(spark, sf_dir):
     return orders.active_at(_orders(spark, sf_dir), instant(to_micros(MOMENT)))
 
@@ -370,6 +378,7 @@ _QUERIES: dict[str, Query] = {
             watchdog_raised,
             watchdog_events,
             order_enrichment,
+            order_enrichment_overlapping,
             active_order_at,
             order_dates,
             order_completion,

@@ -1,4 +1,7 @@
-"""The stored event table: Parquet, kept by date and variable.
+"""The stored event table: Parquet, kept by date, variable and batch.
+
+Loads, streams, retention and compaction share it. Every batch writes into places of its own, named by its label, and a
+batch that is repeated after a failure overwrites them; what is there is what is read, without a log besides.
 
 A report over a range opens only the dates and variables it needs; in particular the state before the range comes
 from the few validity and anomaly files, not from the counters. Within a file rows are sorted by machine, so a single
@@ -7,6 +10,7 @@ machine's report skips most row groups.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +22,8 @@ from plantflow.functions import timecols
 from plantflow.params import instant, to_micros
 
 PARTITIONS = ("event_date", "variable")
+BATCH = "batch"
+ORDER = "order_id"
 CHUNK_DAYS = 7
 RETENTION_MONTHS = 13
 
@@ -35,21 +41,60 @@ def with_date(events: DataFrame) -> DataFrame:
     )
 
 
-def append(events: DataFrame, path: str) -> None:
-    """Append a batch. Rebalancing splits a large date or variable over several files and merges small ones."""
-    dated = with_date(events.select(*schema.MODEL_COLUMNS))
+def append(events: DataFrame, path: str, label: str | None = None) -> None:
+    """Append a batch, with the order of each event if it has one; a batch of the same label replaces the earlier one.
+
+    Rebalancing splits a large date or variable over several files and merges small ones.
+    """
+    dated = with_date(events.select(*schema.MODEL_COLUMNS, *([ORDER] if ORDER in events.columns else [])))
+    _write(dated, path, label or f"load-{uuid.uuid4().hex}")
+
+
+def _write(dated: DataFrame, path: str, label: str) -> None:
     (
-        dated.hint("rebalance", *[F.col(c) for c in PARTITIONS])
+        dated.withColumn(BATCH, F.lit(label))
+        .hint("rebalance", *[F.col(c) for c in PARTITIONS])
         .sortWithinPartitions(*PARTITIONS, "machine_id", "timestamp")
-        .write.mode("append")
-        .partitionBy(*PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS, BATCH)
         .parquet(path)
     )
 
 
-def read(spark: SparkSession, path: str, as_of: datetime | str | None = None, months: int = RETENTION_MONTHS) -> DataFrame:
-    """The table; with `as_of`, only the dates retention has not yet removed by then."""
-    stored = spark.read.schema(STORED).parquet(path)
+def compact(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Rewrite the dates before an ISO date, which nothing writes to any more, with one batch each; returns the dates.
+
+    Streams leave a file per date, variable and micro-batch. The new files are complete before they take the place of
+    the old ones; between the two renames a reader may miss a date, so run it when no report runs.
+    """
+    jvm, root = spark.sparkContext._jvm, path.rstrip("/")
+    files = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    at = jvm.org.apache.hadoop.fs.Path
+    names = [s.getPath().getName() for s in files.listStatus(at(root))]
+    dates = sorted(n for n in names if n.startswith("event_date=") and n.removeprefix("event_date=") < before)
+    label = f"compacted-{uuid.uuid4().hex}"
+    for date in dates:
+        day = spark.read.schema(T.StructType([*STORED.fields, T.StructField(ORDER, T.LongType())])).parquet(root)
+        chosen = day.filter(F.col("event_date") == date.removeprefix("event_date=")).drop(BATCH)
+        _write(chosen, f"{root}/_compacting", label)
+        old, new = at(f"{root}/{date}"), at(f"{root}/_compacting/{date}")
+        files.rename(old, at(f"{root}/_old-{label}-{date}"))
+        files.rename(new, old)
+        files.delete(at(f"{root}/_old-{label}-{date}"), True)
+    return dates
+
+
+def read(
+    spark: SparkSession,
+    path: str,
+    as_of: datetime | str | None = None,
+    months: int = RETENTION_MONTHS,
+    with_orders: bool = False,
+) -> DataFrame:
+    """The table; with `as_of`, only the dates retention has not yet removed by then; with the stored order if asked."""
+    fields = [*STORED.fields, *([T.StructField(ORDER, T.LongType())] if with_orders else [])]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path).drop(BATCH)
     if as_of is not None:
         # Dates of chunks that ended by the cutoff. A literal date, so their directories are not even listed.
         stored = stored.filter(F.col("event_date") >= F.lit(first_kept_date(as_of, months)))
@@ -80,13 +125,12 @@ def retain(
     events: DataFrame, as_of: datetime | str, months: int = RETENTION_MONTHS, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
     """Rows whose chunk ends after `as_of` less the retention time."""
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    now = epoch + timedelta(microseconds=to_micros(as_of))
-    cutoff = instant(to_micros(_months_before(now, months)))
-    start = timecols.chunk_start(F.col("timestamp"), chunk_days)
-    kept = events.filter(timecols.chunk_end(start, chunk_days) > cutoff)
+    first = first_kept_date(as_of, months, chunk_days)
+    # The oldest chunk kept begins at midnight UTC of its first date: a plain condition, which the scan takes.
+    start = datetime(first.year, first.month, first.day, tzinfo=timezone.utc)
+    kept = events.filter(F.col("timestamp") >= instant(to_micros(start)))
     if "event_date" in events.columns:
-        kept = kept.filter(F.col("event_date") >= F.lit(first_kept_date(as_of, months, chunk_days)))
+        kept = kept.filter(F.col("event_date") >= F.lit(first))
     return kept
 
 

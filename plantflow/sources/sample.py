@@ -138,7 +138,7 @@ def messages(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None = None)
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None = None) -> DataFrame:
-    """Messages of which some lack a field, are cut short or carry a machine name instead of its number."""
+    """Messages of which some lack a field or the order of receipt, are cut short or carry a machine's name."""
     turn = F.col("k") % 17
     payload = F.col("payload")
     broken = (
@@ -147,7 +147,8 @@ def damaged_messages(spark: SparkSession, sf_dir: str, plan: SegmentPlan | None
         .when(turn == 7, F.regexp_replace(payload, '"machine_id":([0-9]+)', '"machine_id":"M$1"'))
         .otherwise(payload)
     )
-    return messages(spark, sf_dir, plan).withColumn("payload", broken)
+    damaged = messages(spark, sf_dir, plan).withColumn("payload", broken)
+    return damaged.withColumn("_unordered", F.col("k") % 17 == 9)
 
 
 def value_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

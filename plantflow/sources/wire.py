@@ -13,6 +13,8 @@ from plantflow import schema
 from plantflow.functions import timecols, values
 
 _UNREADABLE = "_unreadable"
+# Whether a message came without what orders it, the time or the number of its receipt.
+UNORDERED = "_unordered"
 _FIELDS = tuple(f.name for f in schema.PAYLOAD)
 
 
@@ -69,6 +71,9 @@ def check(
     reasons = [F.when(unreadable, F.lit("unreadable payload"))]
     for name in _FIELDS:
         reasons.append(F.when(~unreadable & F.col(name).isNull(), F.lit(f"no {name}")))
+    if UNORDERED in events.columns:
+        # Validity has no time of its own: without the order of receipt a 0 and a 1 could change places.
+        reasons.append(F.when((F.col("variable") == schema.DATA_VALID) & F.col(UNORDERED), F.lit("no order of receipt")))
     reasons.append(F.when(F.length("event_type") > 1, F.lit("event_type too long")))
     if max_name_length is not None:
         for name in ("variable", "type"):

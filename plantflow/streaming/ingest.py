@@ -5,17 +5,22 @@ The micro-batch size is set at the source. Nothing is dropped under load: messag
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from plantflow import schema
-from plantflow.functions import timecols
+from plantflow.operators import orders as order_log
 from plantflow.params import WatchdogConfig
 from plantflow.sources import eventtable, wire
 from plantflow.streaming import watchdog
 
+TRIGGER = {"processingTime": "10 seconds"}
+
 
 def read_json(
     spark: SparkSession,
@@ -36,16 +41,17 @@ def read_samples(spark: SparkSession, path: str, items: str | None = None, **lim
 
 
 def received(messages: DataFrame) -> DataFrame:
-    """Messages with the time and number that order them.
+    """Messages with the time and number that order them, and whether both came with the message.
 
-    Without a time of receipt the micro-batch's own time stands in; it is kept in the checkpoint, so a repeated batch
-    gets it again. Without a number a hash of the message does.
+    Samples carry their own time; for them the micro-batch's time, kept in the checkpoint, and a hash of the message
+    stand in. Validity messages without the real ones go to the quarantine (`wire.check`).
     """
     return messages.select(
         "topic",
         "payload",
         F.coalesce(F.col("received_at"), F.current_timestamp()).alias("ingest_ts"),
         F.coalesce(F.col("message_id"), F.xxhash64("topic", "payload")).alias("event_id"),
+        (F.col("received_at").isNull() | F.col("message_id").isNull()).alias(wire.UNORDERED),
     )
 
 
@@ -55,96 +61,92 @@ def checked(messages: DataFrame, root: str, lifecycle_event_type: str = schema.R
     return wire.check(wire.normalise_time(parsed, F.col("ingest_ts")), lifecycle_event_type, strict)
 
 
-def with_anomalies(events: DataFrame, cfg: WatchdogConfig) -> DataFrame:
-    """Raw events and the anomalies the watchdog derives from them, as one log."""
-    return events.unionByName(watchdog.stream(events, cfg))
-
-
-def with_current_order(events: DataFrame, orders: DataFrame, since: Column) -> DataFrame:
-    """Events of a stream with the order running on their machine, null where none runs.
-
-    Orders that ended before `since` are left out, so that each event meets only its machine's latest few.
-    """
-    recent = orders.filter(F.col("end_date").isNull() | (F.col("end_date") > since)).select(
-        F.col("machine_id").alias("_machine"), "order_id", "start_date", "end_date"
-    )
-    runs = timecols.contains(F.col("start_date"), F.col("end_date"), F.col("timestamp"))
-    return events.join(recent, (F.col("machine_id") == F.col("_machine")) & runs, "left").drop(
-        "_machine", "start_date", "end_date"
-    )
-
-
 def append_to_table(
     events: DataFrame,
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
-    files: int = 1,
+    orders: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append a stream to the event table; every row arrives once, also after a restart from the checkpoint.
 
-    Rows of one date and variable meet before they are written, in `files` files per micro-batch: otherwise every task
-    would leave a small file per date and variable.
+    A micro-batch is written like any other batch, in a place named by the stream and the batch's number, which a
+    repetition overwrites. `orders` reads the order schedule; it is asked anew for each micro-batch, and the order
+    running on its machine is stored with each event.
     """
-    part = F.pmod(F.xxhash64("event_id"), F.lit(files))
-    gathered = eventtable.with_date(events).repartition(*eventtable.PARTITIONS, part)
-    return _append(gathered, path, checkpoint, eventtable.PARTITIONS, trigger, name)
+    return _each_batch(events, checkpoint, trigger, name, lambda rows, label: _store(rows, path, label, orders))
 
 
-def append_to_quarantine(
-    rejected: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None
+def _store(events: DataFrame, path: str, label: str, orders: Callable[[], DataFrame] | None) -> None:
+    rows = events if orders is None else order_log.enrich(events, orders())
+    eventtable.append(rows, path, label)
+
+
+def _each_batch(
+    df: DataFrame, checkpoint: str, trigger: dict | None, name: str | None, write: Callable[[DataFrame, str], None]
 ) -> StreamingQuery:
-    """Keep rejected messages with their reasons, by date of receipt."""
-    return _append(
-        rejected.withColumn("ingest_date", F.to_date("ingest_ts")), path, checkpoint, ("ingest_date",), trigger, name
+    """`write` gets each micro-batch with a label that is the same if the batch is repeated."""
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    writer = (
+        df.writeStream.foreachBatch(lambda rows, number: write(rows, f"{stream}-{number}"))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or TRIGGER))
     )
+    return (writer.queryName(name) if name else writer).start()
 
 
-def publish(events: DataFrame, root: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Publish events as JSON messages below a topic root."""
-    return _append(wire.publish(events, root), path, checkpoint, (), trigger, None, "json")
+def quarantine(rejected: DataFrame, path: str, label: str) -> None:
+    """Keep rejected messages with their reasons, by date of receipt and batch."""
+    (
+        rejected.withColumns({"ingest_date": F.to_date("ingest_ts"), eventtable.BATCH: F.lit(label)})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingest_date", eventtable.BATCH)
+        .parquet(path)
+    )
 
 
-def _append(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    partitions: tuple[str, ...],
-    trigger: dict | None,
-    name: str | None,
-    file_format: str = "parquet",
-) -> StreamingQuery:
-    writer = (
-        df.writeStream.format(file_format)
+def publish(events: DataFrame, root: str, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Publish events as JSON messages below a topic root."""
+    return (
+        wire.publish(events, root)
+        .writeStream.format("json")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .trigger(**(trigger or TRIGGER))
+        .start(path)
     )
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    return (writer.queryName(name) if name else writer).start(path)
 
 
 def start(
     spark: SparkSession,
     landing: str,
     table: str,
-    quarantine: str,
+    quarantined: str,
     checkpoints: str,
     root: str,
     cfg: WatchdogConfig | None = None,
     trigger: dict | None = None,
     strict: bool = False,
+    orders: Callable[[], DataFrame] | None = None,
     **limits,
 ) -> list[StreamingQuery]:
-    """The whole ingest: messages landing as files go to the event table, with derived anomalies if `cfg` is given, and
-    those the table does not take to the quarantine. Each of the two queries has its own checkpoint."""
+    """The whole ingest: messages landing as files go to the event table, and those the table does not take to the
+    quarantine, both from one parse. If `cfg` is given, a second query derives anomalies from the counters and appends
+    them to the same table. Each query has its own checkpoint."""
     found = checked(read_json(spark, landing, **limits), root, strict=strict)
-    events = wire.accepted(found)
+
+    def write(rows: DataFrame, label: str) -> None:
+        parsed = rows.persist()
+        try:
+            _store(wire.accepted(parsed), table, label, orders)
+            quarantine(wire.quarantined(parsed), quarantined, label)
+        finally:
+            parsed.unpersist()
+
+    queries = [_each_batch(found, f"{checkpoints}/table", trigger, "events", write)]
     if cfg is not None:
-        events = with_anomalies(events, cfg)
-    return [
-        append_to_table(events, table, f"{checkpoints}/table", trigger, "events"),
-        append_to_quarantine(wire.quarantined(found), quarantine, f"{checkpoints}/quarantine", trigger, "quarantine"),
-    ]
+        derived = watchdog.stream(wire.accepted(found), cfg)
+        queries.append(append_to_table(derived, table, f"{checkpoints}/anomalies", trigger, "anomalies", orders))
+    return queries

@@ -1,29 +1,71 @@
-"""Roll-ups over streams: a window is given out once the watermark has passed it.
+"""Roll-ups over streams that lose no late record.
 
-`delay` is how much later than the newest record another may come. The reports themselves are those of the batch.
+Records are kept by day. Each micro-batch adds its own and then counts the days it touches anew, so a record counts
+whenever it comes, and the roll-up is always that of a batch over all records received. A repeated micro-batch
+overwrites what it left before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from plantflow.functions import timecols
 from plantflow.plans import observability
+from plantflow.streaming import ingest
+
+
+def _day(ts: Column) -> Column:
+    """UTC day, in which every window up to a day lies whole."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(timecols.DAY_US)).cast("int"))
+
+
+def _replace(df: DataFrame, path: str, *by: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def _kept(
+    records: DataFrame, report: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    fields = records.schema
+
+    def write(rows: DataFrame, label: str) -> None:
+        dated = rows.withColumns({"_day": _day(F.col("ts")), "_batch": F.lit(label)}).persist()
+        try:
+            _replace(dated.hint("rebalance", "_day"), f"{path}/records", "_day", "_batch")
+            days = [r[0] for r in dated.filter("_day IS NOT NULL").select("_day").distinct().collect()]
+        finally:
+            dated.unpersist()
+        if days:
+            stored = rows.sparkSession.read.schema(T.StructType([*fields.fields, T.StructField("_day", T.DateType())])).parquet(f"{path}/records")
+            fresh = report(stored.filter(F.col("_day").isin(days)).drop("_day", "_batch"))
+            _replace(fresh.withColumn("_day", _day(F.col("window_start"))), f"{path}/rollup", "_day")
+
+    return ingest._each_batch(records, checkpoint, trigger, None, write)
+
 
-METER_DELAY = "1 hour"
-SPAN_DELAY = "5 minutes"
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The roll-up as it stands."""
+    return spark.read.parquet(f"{path}/rollup").drop("_day")
 
 
-def meter_usage(records: DataFrame, delay: str = METER_DELAY) -> DataFrame:
-    return observability.meter_usage(records.withWatermark("ts", delay))
+def meter_usage(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return _kept(records, observability.meter_usage, path, checkpoint, trigger)
 
 
-def latency_histogram(spans: DataFrame, delay: str = SPAN_DELAY) -> DataFrame:
-    return observability.latency_histogram(spans.withWatermark("ts", delay))
+def latency_histogram(spans: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return _kept(spans, observability.latency_histogram, path, checkpoint, trigger)
 
 
-def exponential_histogram(spans: DataFrame, scale: int = 3, delay: str = SPAN_DELAY) -> DataFrame:
-    return observability.exponential_histogram(spans.withWatermark("ts", delay), scale)
+def exponential_histogram(
+    spans: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, scale: int = 3
+) -> StreamingQuery:
+    return _kept(spans, lambda rows: observability.exponential_histogram(rows, scale), path, checkpoint, trigger)
 
 
-def roll_up_logs(parsed: DataFrame, delay: str = METER_DELAY) -> DataFrame:
-    return observability.roll_up_logs(parsed.withWatermark("ts", delay))
+def roll_up_logs(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return _kept(parsed, observability.roll_up_logs, path, checkpoint, trigger)

@@ -177,3 +177,62 @@ def test_one_machine_holds_most_rows(spark):
     assert compare.spark_rows(kpis.kpi_summary(log, within, plan=plan)) == compare.spark_rows(
         kpis.kpi_summary(log, within)
     )
+
+
+def _with_nulls(df, key, ts, every=9):
+    """Some rows without key, some without time, and a dense second."""
+    number = F.abs(F.xxhash64(*df.columns)) % every
+    dense = F.lit(dt.datetime(2024, 1, 9, 1)).cast("timestamp")
+    return df.withColumns(
+        {
+            key: F.when(number == 0, F.lit(None)).otherwise(F.col(key)),
+            ts: F.when(number == 1, F.lit(None)).when(number.isin(2, 3), dense).otherwise(F.col(ts)),
+        }
+    )
+
+
+CUTS = {
+    "listed": lambda key, ts: segments.SegmentPlan(key, ts, ((HOUR, (1, 2, 3)), (1_000_000, (4, 5, 6)), (1, (7, 8)))),
+    "others": lambda key, ts: segments.SegmentPlan(key, ts, others=DAY),
+    "finest": lambda key, ts: segments.SegmentPlan(key, ts, others=1),
+}
+
+
+@pytest.mark.parametrize("cut", CUTS)
+@pytest.mark.parametrize("name", ["epochs", "line_pieces", "raised", "watchdog"])
+def test_nulls_and_dense_seconds(events, name, cut):
+    odd = _with_nulls(events, "machine_id", "timestamp").persist()
+    got = compare.spark_rows(REPORTS[name](odd, CUTS[cut]("machine_id", "timestamp")))
+    assert got == compare.spark_rows(REPORTS[name](odd, None)) and len(got[1]) > 5
+
+
+@pytest.mark.parametrize("cut", CUTS)
+def test_nulls_in_orders(spark, events, cut):
+    statements = _with_nulls(sample.order_progress(spark, SF), "order_id", "timestamp").persist()
+    plan = CUTS[cut]("order_id", "timestamp")
+    assert compare.spark_rows(orders.progress(statements, plan=plan)) == compare.spark_rows(orders.progress(statements))
+    odd, plan = _with_nulls(events, "machine_id", "timestamp").persist(), CUTS[cut]("machine_id", "timestamp")
+    scheduled = sample.production_orders(spark, SF)
+    assert compare.spark_rows(orders.enrich(odd, scheduled, plan)) == compare.spark_rows(orders.enrich(odd, scheduled))
+
+
+def test_stretches_of_segments(spark, monkeypatch):
+    """Values carried over many stretches, some of them without any."""
+    monkeypatch.setattr(segments, "SEGMENTS_OF_STRETCH", 3)
+    rows = [(k % 2, dt.datetime(2024, 1, 1) + dt.timedelta(hours=5 * k), k, k if k % 7 == 0 else None) for k in range(60)]
+    df = spark.createDataFrame(rows, "machine_id int, timestamp timestamp, n int, v int")
+    order = [F.col("timestamp"), F.col("n")]
+    values = {
+        "last": segments.last(F.col("v")),
+        "before": segments.previous(F.col("v")),
+        "first": segments.first(F.col("v")),
+        "next": segments.following(F.col("n")),
+        "sum": segments.total(F.col("n")),
+    }
+
+    def run(plan):
+        return compare.spark_rows(
+            segments.by_heat(df, ["machine_id"], order, plan, lambda r, c: segments.running(r, ["machine_id"], order, values, c))
+        )
+
+    assert run(segments.SegmentPlan("machine_id", "timestamp", others=HOUR)) == run(None)

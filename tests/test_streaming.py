@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plantflow import WatchdogConfig, registry
 from plantflow.operators import orders, watchdog
-from plantflow.plans import observability
+from plantflow.plans import kpis, observability
 from plantflow.sources import eventtable, sample, wire
 from plantflow.streaming import ingest
 from plantflow.streaming import observability as live
@@ -105,8 +105,9 @@ def _write_messages(rows, path):
                     {
                         "topic": r.topic,
                         "payload": r.payload,
-                        "received_at": r.ingest_ts.isoformat(),
                         "message_id": r.event_id,
+                        # samples of these say when they were taken, validity would go by the order of receipt
+                        **({} if r["_unordered"] else {"received_at": r.ingest_ts.isoformat()}),
                     }
                 )
                 + "\n"
@@ -150,15 +151,40 @@ def test_ingest_with_restart(spark, tmp_path):
     assert sorted(r.event_id for r in back.collect()) == sorted(r.event_id for r in quarantine.collect())
 
 
-def test_time_of_receipt_is_optional(spark, tmp_path):
-    payload = json.dumps({"timestamp": 0.0, "machine_id": 7, "variable": "DataValid", "type": "Boolean", "value": 1})
+def _received(spark, tmp_path, records):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text(json.dumps({"topic": "prod/plant/7/", "payload": payload}) + "\n")
-    events = wire.accepted(ingest.checked(ingest.read_json(spark, str(tmp_path / "in")), "prod/plant"))
-    ingest.append_to_table(events, str(tmp_path / "t"), str(tmp_path / "cp"), NOW).awaitTermination()
+    (tmp_path / "in" / "a.json").write_text("".join(json.dumps(r) + "\n" for r in records))
+    run = ingest.start(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "q"), str(tmp_path / "cp"), "prod/plant", trigger=NOW)
+    for query in run:
+        query.awaitTermination()
+
+
+def _payload(variable, value, machine=7):
+    kind = "Boolean" if variable == "DataValid" else "Int32"
+    fields = {"timestamp": 1704067200.0, "machine_id": machine, "variable": variable, "type": kind, "value": value, "event_type": "R"}
+    return {"topic": "prod/plant/7/", "payload": json.dumps(fields)}
+
+
+def test_time_of_receipt_is_optional_for_samples_only(spark, tmp_path):
+    _received(spark, tmp_path, [_payload("DataValid", 1), _payload("LinePieceCounter", 5), _payload("LinePieceCounter", "12d")])
     (row,) = eventtable.read(spark, str(tmp_path / "t")).collect()
-    assert (row.variable, row.value, row.event_type) == ("DataValid", 1, "R")
-    assert row.timestamp.year >= 2024
+    assert (row.variable, row.value, row.timestamp.year) == ("LinePieceCounter", 5, 2024)
+    reasons = sorted(r.reject_reasons[0] for r in spark.read.parquet(str(tmp_path / "q")).collect())
+    assert reasons == ["no order of receipt", "no value"]
+
+
+@pytest.mark.parametrize("sent", [(0, 1), (1, 0)])
+def test_validity_keeps_the_order_of_receipt(spark, tmp_path, sent):
+    """Two changes of many machines in one micro-batch end as they were sent."""
+    records = [
+        {**_payload("DataValid", value, machine), "received_at": "2024-01-01T00:00:00", "message_id": 1000 * turn + machine}
+        for machine in range(50)
+        for turn, value in enumerate(sent)
+    ]
+    random.Random(1).shuffle(records)
+    _received(spark, tmp_path, records)
+    last = eventtable.read(spark, str(tmp_path / "t")).groupBy("machine_id").agg(F.max_by("value", "event_id").alias("v"))
+    assert [r.v for r in last.collect()] == [sent[1]] * 50
 
 
 def test_samples_and_publishing(spark, tmp_path):
@@ -176,17 +202,32 @@ def test_samples_and_publishing(spark, tmp_path):
     assert json.loads(row.payload) == {**record, "variable": "LinePieceCounter"}
 
 
-def test_current_order_on_a_stream(spark, tmp_path):
+def test_orders_are_stored_with_events(spark, tmp_path):
+    """Open, overlapping and late ones, and orders that come while the stream runs."""
     sf = compare.data("sf0.001")
     events = sample.machine_events(spark, sf)
-    events.write.parquet(str(tmp_path / "in"))
-    arriving = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     scheduled = sample.production_orders(spark, sf)
-    enriched = ingest.with_current_order(arriving, scheduled, F.lit("2024-01-01").cast("timestamp"))
-    enriched.writeStream.format("memory").queryName("enriched").option(
-        "checkpointLocation", str(tmp_path / "cp")
-    ).trigger(**NOW).start().awaitTermination()
-    assert compare.spark_rows(spark.table("enriched")) == compare.spark_rows(orders.enrich(events, scheduled))
+    until = F.when(F.col("order_id") % 7 == 0, F.lit(None)).otherwise(F.col("end_date") + F.expr("INTERVAL 9 DAYS"))
+    scheduled = scheduled.withColumn("end_date", until).persist()
+    known = str(tmp_path / "orders")
+    arriving = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in" / "*"))
+
+    def run():
+        ingest.append_to_table(
+            arriving, str(tmp_path / "t"), str(tmp_path / "cp"), NOW, orders=lambda: spark.read.parquet(known)
+        ).awaitTermination()
+
+    scheduled.filter("order_id % 2 = 0").write.parquet(known)
+    events.filter("event_id % 3 = 0").write.parquet(str(tmp_path / "in" / "a"))
+    run()
+    scheduled.filter("order_id % 2 = 1").write.mode("append").parquet(known)
+    events.filter("event_id % 3 > 0").write.parquet(str(tmp_path / "in" / "b"))
+    run()
+    stored = eventtable.read(spark, str(tmp_path / "t"), with_orders=True).select("event_id", "order_id")
+    first = orders.enrich(events.filter("event_id % 3 = 0"), scheduled.filter("order_id % 2 = 0"))
+    later = orders.enrich(events.filter("event_id % 3 > 0"), scheduled)
+    assert compare.spark_rows(stored) == compare.spark_rows(first.union(later).select("event_id", "order_id"))
+    assert orders.overlaps(scheduled).count() > 0
 
 
 def test_one_file_per_date_and_variable(spark, tmp_path):
@@ -200,26 +241,45 @@ def test_one_file_per_date_and_variable(spark, tmp_path):
     assert stored.count() == events.count()
 
 
-def test_rollups_on_a_stream(spark, tmp_path):
-    """Every window the watermark has passed, as in the batch."""
+def test_late_records_count(spark, tmp_path):
+    """Roll-ups kept over files that come in any order are those of one batch."""
     sf = compare.data("sf0.001")
-    spans = sample.spans(spark, sf)
-    spans.write.parquet(str(tmp_path / "spans"))
-    arriving = spark.readStream.schema(spans.schema).parquet(str(tmp_path / "spans"))
-    for number, (on_stream, on_batch) in enumerate(
-        (
-            (live.latency_histogram(arriving), observability.latency_histogram(spans)),
-            (
-                live.meter_usage(observability.meter_records(spans=arriving)),
-                observability.meter_usage(observability.meter_records(spans=spans)),
-            ),
-        )
-    ):
-        name = f"rollup_{number}"
-        on_stream.writeStream.format("memory").queryName(name).outputMode("append").option(
-            "checkpointLocation", str(tmp_path / name)
-        ).trigger(**NOW).start().awaitTermination()
-        got = compare.spark_rows(spark.table(name))[1]
-        whole = compare.spark_rows(on_batch)[1]
-        assert set(got) <= set(whole)
-        assert len(whole) * 0.9 < len(got) == len(set(got))
+    spans = sample.spans(spark, sf).persist()
+    logs = observability.parse_logs(sample.log_records(spark, sf), "PLANT").drop("resource").persist()
+    kinds = {
+        "latency": (live.latency_histogram, observability.latency_histogram, spans),
+        "exponential": (live.exponential_histogram, observability.exponential_histogram, spans),
+        "meter": (live.meter_usage, observability.meter_usage, observability.meter_records(spans=spans)),
+        "logs": (live.roll_up_logs, observability.roll_up_logs, logs),
+    }
+    for name, (on_stream, on_batch, records) in kinds.items():
+        source, place = tmp_path / name / "in", str(tmp_path / name / "out")
+        for turn in (2, 0, 1):  # the same hours come again and again, and older ones after newer ones
+            records.filter(F.pmod(F.xxhash64("ts"), F.lit(3)) == turn).write.parquet(str(source / str(turn)))
+            arriving = spark.readStream.schema(records.schema).parquet(str(source / "*"))
+            on_stream(arriving, place, str(tmp_path / name / "cp"), NOW).awaitTermination()
+        assert compare.spark_rows(live.read(spark, place)) == compare.spark_rows(on_batch(records))
+
+
+def test_one_table_for_all(spark, tmp_path):
+    """Streamed, restarted, backfilled, retained and compacted, with a repeated batch, and read as a whole."""
+    events = sample.machine_events(spark, compare.data("sf0.001")).persist()
+    table, source = str(tmp_path / "t"), tmp_path / "in"
+    arriving = spark.readStream.schema(events.schema).parquet(str(source / "*"))
+    for turn in (0, 1):
+        events.filter(f"event_id % 4 = {turn}").write.parquet(str(source / str(turn)))
+        ingest.append_to_table(arriving, table, str(tmp_path / "cp"), NOW).awaitTermination()
+    eventtable.append(events.filter("event_id % 4 = 2"), table)
+    for _ in range(2):
+        eventtable.append(events.filter("event_id % 4 = 3"), table, "backfill-7")
+    assert compare.spark_rows(eventtable.read(spark, table).drop("event_date")) == compare.spark_rows(events)
+    assert eventtable.drop_expired(spark, table, registry.AS_OF)
+    kept = compare.spark_rows(eventtable.retain(events, registry.AS_OF))
+    assert compare.spark_rows(eventtable.read(spark, table).drop("event_date")) == kept
+    assert len(eventtable.compact(spark, table, "2024-01-21")) > 5
+    assert compare.spark_rows(eventtable.read(spark, table).drop("event_date")) == kept
+    closed = eventtable.read(spark, table).filter("event_date < '2024-01-21'")
+    files = closed.select("_metadata.file_path").distinct().count()
+    assert files == closed.select("event_date", "variable").distinct().count()
+    summary = kpis.kpi_summary(eventtable.read(spark, table), registry.RANGE)
+    assert compare.spark_rows(summary) == compare.spark_rows(kpis.kpi_summary(eventtable.retain(events, registry.AS_OF), registry.RANGE))
