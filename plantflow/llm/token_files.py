@@ -71,7 +71,7 @@ def write(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int = EN
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = vocabularies.IdCache(vocabularies.from_json(path))
+        cache = vocabularies.ids_of_worker(vocabularies.from_json, path)
         width = width_of(max(len(cache.lengths), end_id + 1))
         part, number = TaskContext.get().partitionId(), 0
         ids: list = []

@@ -173,3 +173,9 @@ class IdCache(PieceCache):
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.of(text)), dtype=self.dtype)
+
+
+@lru_cache(maxsize=4)
+def ids_of_worker(open_: Callable[[str], Tokenizer], path: str) -> IdCache:
+    """One cache for all tasks of a Python worker."""
+    return IdCache(open_(path))
