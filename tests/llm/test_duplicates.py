@@ -168,3 +168,51 @@ def test_one_line_everywhere(spark):
     found = line_dedup.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     kept = {r["doc_id"]: r["removed"] for r in found}
     assert kept[0] == [] and all(0 in kept[k] for k in range(1, 300)) and all(kept[1000 + k] == [0] for k in range(40))
+
+
+@pytest.mark.parametrize("most", [3, 12, 40])
+def test_edit_distance_with_a_limit_for_each_pair(most):
+    draw = random.Random(most)
+    pairs, limits = [], []
+    for _ in range(150):
+        a = "".join(draw.choices("abc", k=draw.randint(1, 90)))
+        pairs.append((a, mutated(draw, a + "c", most)))
+        limits.append(draw.randint(0, most))
+    assert edit_distance.within(pairs, np.array(limits)).tolist() == [levenshtein(*p) <= m for p, m in zip(pairs, limits, strict=True)]
+
+
+@pytest.fixture(scope="module")
+def reworded():
+    """Lines of 60 to 400 characters, each followed by copies with one or two words replaced, added or left out."""
+    draw = random.Random(31)
+    word = lambda: "".join(draw.choices("aeinorst", k=draw.randint(2, 9)))
+    lines = []
+    for _ in range(24):
+        line = word()
+        size = draw.randint(60, 400)
+        while len(line) < size:
+            line += f" {word()}"
+        lines.append(line)
+        for _ in range(3):
+            words = line.split()
+            for _ in range(draw.randint(1, 2)):
+                k = draw.randrange(len(words))
+                words[k : k + draw.choice([0, 1, 1, 1])] = draw.choice([[word()], [word()], []])
+            lines.append(" ".join(words))
+    draw.shuffle(lines)
+    return lines
+
+
+@pytest.mark.parametrize("chunk", [512, 3])
+def test_limit_grows_with_the_line(spark, reworded, chunk, monkeypatch):
+    monkeypatch.setattr(line_dedup.edit_links, "__defaults__", (2, chunk))
+    near = [
+        (i, j)
+        for i, x in enumerate(reworded)
+        for j, y in enumerate(reworded[:i])
+        if abs(len(x) - len(y)) <= 25 and levenshtein(x, y) <= max(2, max(len(x), len(y)) // 20)
+    ]
+    want = merged(len(reworded), near)
+    found = line_dedup.scan(spark.createDataFrame(list(enumerate(reworded)), "doc_id long, text string")).collect()
+    removed = {r["doc_id"] for r in found if r["n_removed"]}
+    assert removed == {k for k, w in enumerate(want) if w != k} and len(removed) > 20
