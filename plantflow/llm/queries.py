@@ -50,7 +50,7 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.scan(common.table(spark, sf_dir, "documents"))
+    return line_dedup.scan(common.table(spark, sf_dir, "documents"), short_lines=True)
 
 
 def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from plantflow.llm import components, edit_distance, line_dedup, simhash_dedup
+from plantflow.llm import components, edit_distance, line_dedup, queries, simhash_dedup
 from tests.compare import data
 
 
@@ -216,3 +216,11 @@ def test_limit_grows_with_the_line(spark, reworded, chunk, monkeypatch):
     found = line_dedup.scan(spark.createDataFrame(list(enumerate(reworded)), "doc_id long, text string")).collect()
     removed = {r["doc_id"] for r in found if r["n_removed"]}
     assert removed == {k for k, w in enumerate(want) if w != k} and len(removed) > 20
+
+
+def test_short_lines_repeat_exactly(spark, tmp_path):
+    rows = [(1, "Read more\n\nown line of the first document here"), (2, "Read more\nRead mora\n\n \n"), (3, " \nx\nx"), (None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.lines(spark, str(tmp_path)).collect()}
+    assert {d: r["removed"] for d, r in found.items()} == {1: [], 2: [0], 3: [2], None: [0]}
+    assert (found[2]["kept_in"], found[3]["kept_in"], found[None]["kept_in"]) == ([1], [3], [3])
