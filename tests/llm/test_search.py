@@ -99,6 +99,31 @@ def test_blocks(source, want):
         assert page.open == ["body"] and page.outside == ["We use", "body"]
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<section id="related-work">', '<section id="search">', '<h2 id="login">', '<h2 id="notification-api">', '<h2 id="copyright">',
+        '<div class="ad-hoc">', '<div class="section" id="search">', '<div id="related-work">', '<div class="social-science">',
+    ],
+)
+def test_slugs_inside_articles_are_no_hints(opening):
+    name = opening[1:].split()[0]
+    for part in ("article", "main"):
+        assert Page(f"<{part}><p>a</p>{opening}kept</{name}><p>z</p></{part}>").text == ["a", "kept", "z"]
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<div class="x comments">', '<div class="comment-list">', '<div class="share-buttons">', '<div id="ad-slot-2">', '<div id="comments">',
+        '<section class="related-posts">', '<div class="cookie-notice">', '<ul class="social__links">', '<section class="newsletter" id="x">',
+    ],
+)
+def test_marked_parts_inside_articles_go(opening):
+    name = opening[1:].split()[0]
+    assert Page(f"<article><p>a</p>{opening}gone</{name}><p>z</p></article>").text == ["a", "z"]
+
+
 @pytest.mark.parametrize("chunk", [8 << 20, 100])
 def test_repeated_stretches_go_from_open_pages(spark, chunk, monkeypatch):
     monkeypatch.setattr(html_extraction, "CHUNK_BYTES", chunk)
