@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates, and exact phrase places.
 
-A block is a line. A template is a set of words; a block matches it if it holds at least `threshold` of them
-(containment, counted on sets). Words are ordered by how often they occur in the whole corpus, rarest first, and a
+In scan() a block is any run of consecutive words of the document, wherever its lines break, that is a quarter (two
+words at least) longer than the template it is held against. In matches() a block is a line. A template is a set of
+words; a block matches it if it holds at least `threshold` of them (containment, counted on sets). Words are ordered by how often they occur in the whole corpus, rarest first, and a
 block can only match if
 
 * it holds one of the template's first `size - needed + 1` words in that order (prefix filter),
@@ -9,7 +10,8 @@ block can only match if
 * the words of the template from the shared one on can still reach `needed` (positional filter: the shared one is the
   template's first, in the order, that the block has),
 
-where `needed` is the smallest count that reaches the threshold. What passes is counted out, so the result is exact.
+where `needed` is the smallest count that reaches the threshold. What passes is counted out, so the result is exact. Of
+runs of words only those around an occurrence of a prefix word are looked at, all of them, one word apart.
 Templates are a parameter; their number is checked, as they travel with the plan. Blocks are never compared with each
 other, and only blocks with a prefix word leave the row of their document.
 
@@ -82,14 +84,20 @@ def frequencies(docs: DataFrame, vocabulary: list[str], text_col: str = "text")
     return {r["word"]: r["count"] for r in rows}
 
 
-def ordered(docs: DataFrame, templates: tuple[Template, ...], text_col: str = "text") -> list[tuple[str, list[str]]]:
-    """Labels and word sets of the templates, rarest word of the corpus first, ties by the word."""
+def ordered(docs: DataFrame, templates: tuple[Template, ...], text_col: str = "text") -> list[tuple[str, list[str], int]]:
+    """Labels, word sets and run lengths of the templates, rarest word of the corpus first, ties by the word."""
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    sets = [(t.label, sorted(set(words_of(t.text)))) for t in templates]
-    sets = [(label, words) for label, words in sets if words]
-    seen = frequencies(docs, sorted({w for _, words in sets for w in words}), text_col) if sets else {}
-    return [(label, sorted(words, key=lambda w: (seen.get(w, 0), w))) for label, words in sets]
+    sets = [(t.label, sorted(set(words_of(t.text))), run_length(t.text)) for t in templates]
+    sets = [x for x in sets if x[1]]
+    seen = frequencies(docs, sorted({w for _, words, _ in sets for w in words}), text_col) if sets else {}
+    return [(label, sorted(words, key=lambda w: (seen.get(w, 0), w)), length) for label, words, length in sets]
+
+
+def run_length(text: str) -> int:
+    """Words of the runs that are held against a template."""
+    n = len(words_of(text))
+    return n + max(2, n // 4)
 
 
 class _Join:
@@ -99,13 +107,14 @@ class _Join:
         if not 0 < threshold <= 1:
             raise ValueError("threshold must be above 0, and 1 at most")
         rows, details = [], []
-        for number, (label, words) in enumerate(ordered(docs, templates, text_col)):
+        for number, (label, words, length) in enumerate(ordered(docs, templates, text_col)):
             needed = math.ceil(threshold * len(words) - 1e-9)
-            details.append((number, label, words, needed))
+            details.append((number, label, words, needed, length))
             rows += [(w, number, place) for place, w in enumerate(words[: len(words) - needed + 1])]
         spark = docs.sparkSession
         self.prefixes = spark.createDataFrame(rows, "word string, template int, place int")
-        self.details = spark.createDataFrame(details, "template int, label string, words array<string>, needed int")
+        self.details = spark.createDataFrame(details, "template int, label string, words array<string>, needed int, length int")
+        self.longest = max((d[4] for d in details), default=1)
         self.least = min((d[3] for d in details), default=1)
         self.rare = F.array(*map(F.lit, sorted({r[0] for r in rows}))).cast("array<string>")
 
@@ -128,6 +137,37 @@ class _Join:
             .select(*keys, "line", "template", "label", (shared / F.size("words")).alias("containment"))
         )
 
+    def runs(self, candidates: DataFrame, *keys: str) -> DataFrame:
+        """Like pairs, with a row for each occurrence of a prefix word that has a matching run around it."""
+        most = self.longest
+
+        def around(words: Column) -> Column:
+            places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(self.rare, words[i]))
+            first = lambda i: F.greatest(i - (most - 1), F.lit(0))
+            return F.transform(
+                places,
+                lambda i: F.struct(words[i].alias("word"), (i - first(i)).alias("at"), F.slice(words, first(i) + 1, i - first(i) + most).alias("around")),
+            )
+
+        found = candidates.select(*keys, F.explode(common.let(_words(F.col("__text")), around)).alias("__place"))
+        placed = (
+            found.select(*keys, "__place.word", F.col("__place.at").alias("__at"), F.col("__place.around").alias("__around"))
+            .join(F.broadcast(self.prefixes), "word")
+            .join(F.broadcast(self.details), "template")
+            .filter(F.size("words") - F.col("place") >= F.col("needed"))
+            .withColumn("__near", F.expr("slice(__around, greatest(__at - length + 1, 0) + 1, least(__at, length - 1) + length)"))
+            .filter(F.size("__near") >= F.col("needed"))
+            .filter(F.size(F.array_intersect("words", "__near")) >= F.col("needed"))
+        )
+        shared = F.expr(
+            "array_max(transform(sequence(0, greatest(size(__near) - length, 0)), k -> size(array_intersect(words, slice(__near, k + 1, length)))))"
+        )
+        return (
+            placed.withColumn("__shared", shared)
+            .filter(F.col("__shared") >= F.col("needed"))
+            .select(*keys, "template", "label", (F.col("__shared") / F.size("words")).alias("containment"))
+        )
+
 
 def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_col="doc_id", text_col="text") -> DataFrame:
     """A row for each document, line and template whose containment reaches the threshold.
@@ -176,7 +216,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_
     rows = common.cut(phrases(docs, id_col, text_col, join.rare))
     candidates = rows.filter(F.col("__text").isNotNull()).select(F.col(id_col).alias("__id"), F.col("__key").alias("__of"), "__text")
     per_doc = (
-        join.pairs(candidates, "__id", "__of")
+        join.runs(candidates, "__id", "__of")
         .groupBy("__id", "__of")
         .agg(F.collect_set("label").alias("__labels"), F.max("containment").alias("__best"))
     )

@@ -98,3 +98,34 @@ def test_labels_of_the_method(spark):
     found = {r["doc_id"]: r for r in license_scan.scan(rows(spark, texts)).collect()}
     assert [found[k]["labels"] for k in range(3)] == ["mit", "apache-2.0", ""]
     assert found[0]["base_labels"] == "" and found[0]["score"] == 1.0 and found[2]["score"] == 0.0
+
+
+def test_runs_against_brute_force(spark):
+    draw = random.Random(17)
+    texts = ["".join(draw.choice("abcdefghijxyz") + draw.choice(" \n") for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    found = {r["doc_id"]: r for r in license_scan.scan(rows(spark, texts), TEMPLATES, 0.75).collect()}
+    for k, text in enumerate(texts):
+        best = {}
+        for t in TEMPLATES:
+            own, words = set(t.text.split()), text.split()
+            size = len(t.text.split()) + max(2, len(t.text.split()) // 4)
+            share = max(len(own & set(words[i : i + size])) / len(own) for i in range(len(words) + 1))
+            if share >= 0.75:
+                best[t.label] = max(best.get(t.label, 0), share)
+        assert found[k]["labels"] == ",".join(sorted(best)) and found[k]["score"] == pytest.approx(max(best.values(), default=0))
+
+
+def test_notices_are_found_however_lines_break(spark):
+    texts, want = [], []
+    for t in license_scan.TEMPLATES:
+        words = t.text.split()
+        for step in (1, 2, 5, len(words)):
+            wrapped = "\n".join(" ".join(words[i : i + step]) for i in range(0, len(words), step))
+            texts.append(f"Some words ahead\n{wrapped}\nand some after it")
+            texts.append(f"Some words ahead {wrapped} and some after it. " * 3)
+            want += [t.label] * 2
+    scattered = "The report was released in May under embargo. A license for MIT staff was not part of the whole deal."
+    found = {r["doc_id"]: r for r in license_scan.scan(rows(spark, [*texts, scattered])).collect()}
+    for k, label in enumerate(want):
+        assert label in found[k]["labels"].split(",") and found[k]["score"] == 1.0
+    assert found[len(texts)]["labels"] == "" and found[len(texts)]["score"] == 0.0
