@@ -137,6 +137,26 @@ def test_repeated_stretches_go_from_open_pages(spark, chunk, monkeypatch):
     assert found[51]["declared"] and not found[50]["declared"] and found[50]["n_chars"] == len(notice)
 
 
+@pytest.mark.parametrize("chunk", [8 << 20, 100])
+def test_declared_pages_count_for_open_ones(spark, chunk, monkeypatch):
+    """Pages with one chrome count each; windows go over marked blocks; short blocks count as a whole."""
+    monkeypatch.setattr(html_extraction, "CHUNK_BYTES", chunk)
+    menu, foot = "home world sport money weather travel books music", "all of our rights are kept by the paper of record"
+    chrome = lambda x: f"<div>{menu}</div>{x}<div>{foot}</div><div>Top of page</div>"
+    rows = [(k, f"http://a/{k}", chrome(f"<article>text {k}</article>")) for k in range(5)]
+    rows += [(10, "http://a/open", chrome("<div>an own text of one page</div>"))]
+    split = "<div>one two three four</div><div class='ad'>buy this</div><div>five six seven eight</div>"
+    rows += [(20 + k, f"http://b/{k}", f"{split}<div>{'own words of page number ' + str(k)}</div>") for k in range(3)]
+    rows += [(30 + k, f"http://c/{k}", "<div>the same page crawled again and again and again</div><div>Top</div>") for k in range(4)]
+    found = {r["page_id"]: r["text"] for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {
+        **{k: f"text {k}" for k in range(5)},
+        10: "an own text of one page",
+        **{20 + k: f"own words of page number {k}" for k in range(3)},
+        **{30 + k: "the same page crawled again and again and again\nTop" for k in range(4)},
+    }
+
+
 def test_articles_of_the_sample(spark):
     pages = spark.read.parquet(f"{data('sf0.001')}/pages.parquet")
     sources = {r["page_id"]: r["html"] for r in pages.collect()}
