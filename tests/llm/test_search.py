@@ -124,6 +124,11 @@ def test_marked_parts_inside_articles_go(opening):
     assert Page(f"<article><p>a</p>{opening}gone</{name}><p>z</p></article>").text == ["a", "z"]
 
 
+def test_a_paragraph_ends_whatever_it_leaves_open():
+    assert Page(f"<article><p class='ad'>{'<b>' * 30}buy<p>kept<p>too</article>").text == ["kept", "too"]
+    assert Page("<article><p>a<button><p>x</button>b<table><tr><td><p>c<p>d</table><p>e</article>").text[-3:] == ["c", "d", "e"]
+
+
 @pytest.mark.parametrize("chunk", [8 << 20, 100])
 def test_repeated_stretches_go_from_open_pages(spark, chunk, monkeypatch):
     monkeypatch.setattr(html_extraction, "CHUNK_BYTES", chunk)
