@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, quality_ledger, simhash_dedup, token_counts, token_files
+from plantflow.llm import bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, periodic_runs, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,38 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.table(spark, sf_dir, "documents"))
 
 
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of one document in ten, by its checksum, the words from some place on repeat with a period."""
+    text, h = F.coalesce("text", F.lit("")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(words):
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = (F.floor((n - first) / (3 + g % 8)) + 1).cast("int")
+        turned = F.transform(words, lambda word, i: F.when(i < first, word).otherwise(words[first + (i - first) % period]))
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(turned, " "))
+
+    words = F.filter(F.split(text, common.WHITE_RUN), lambda w: w != "")
+    return docs.select("doc_id", F.when(h % 10 == 0, common.let(words, tail)).otherwise(text).alias("text"))
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(_with_periodic_tails(common.table(spark, sf_dir, "documents")), keep=["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    shown = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(shown.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": pages,
@@ -82,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": lines,
         "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
+        "op13_periodic_runs": periodic,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -15,6 +15,7 @@ from plantflow.llm import (
     language_id,
     license_scan,
     line_dedup,
+    periodic_runs,
     quality_ledger,
     queries,
     simhash_dedup,
@@ -36,9 +37,10 @@ ON_DOCS = {
     "codec": lambda d, b: bpe_codec.decode(bpe_codec.encode(d, offsets=True)),
     "files": lambda d, b: token_files.round_trip(d),
     "counts": lambda d, b: token_counts.count(d),
+    "periodic": lambda d, b: periodic_runs.find(d),
 }
 #: Those that return all rows.
-SAME_ROWS = {"verdicts", "licenses", "line_scan", "line_dedup", "simhash", "search", "codec", "files", "counts"}
+SAME_ROWS = {"verdicts", "licenses", "line_scan", "line_dedup", "simhash", "search", "codec", "files", "counts", "periodic"}
 ON_PAGES = {
     "html": lambda p, d: html_extraction.extract(p),
     "language": lambda p, d: language_id.identify(p, d),
@@ -55,7 +57,7 @@ TEXT = "quick brown fox jumps over the lazy dog near the river bank today all ri
 
 def test_one_query_an_operator():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14) if k not in (11, 12)] == [1] * 11
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
