@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, periodic_runs, quality_ledger, simhash_dedup, token_counts, token_files
+from plantflow.llm import alignment, bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, periodic_runs, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,13 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.table(spark, sf_dir, "documents"))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digest = F.when(F.col("n_groups") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    documents = found.documents.select("block", "row", "doc_id", *alignment.COUNTS, digest.alias("groups_sha256"))
+    return alignment.scored(found, documents)
+
+
 def _with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text; of one document in ten, by its checksum, the words from some place on repeat with a period."""
     text, h = F.coalesce("text", F.lit("")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -114,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": lines,
         "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
+        "op11_tokenizer_alignment": aligned,
         "op13_periodic_runs": periodic,
         "pipeline": corpus_pipeline.run,
     }

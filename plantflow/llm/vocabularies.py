@@ -27,11 +27,11 @@ MAX_CACHED_CHARS = 48
 BATCH_CHARS = 65_536
 
 #: Characters that some definition calls white space, other than ASCII space and line breaks.
-_ODD_WHITE = "\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿"
+ODD_WHITE = "\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿"
 #: A space after white space: split(" ") would cut inside a run.
-_RUN = re.compile(f"[{_ODD_WHITE} \n\t\r] ")
-_CUT = re.compile(f"(?<=[^{_ODD_WHITE} \n\t\r])(?=[ \n\t\r])")
-_WHITE = frozenset(c for c in map(chr, range(0x10000)) if re.match(f"[{_ODD_WHITE} \n\t\r]", c))
+_RUN = re.compile(f"[{ODD_WHITE} \n\t\r] ")
+_CUT = re.compile(f"(?<=[^{ODD_WHITE} \n\t\r])(?=[ \n\t\r])")
+_WHITE = frozenset(c for c in map(chr, range(0x10000)) if re.match(f"[{ODD_WHITE} \n\t\r]", c))
 
 
 def byte_characters() -> dict[int, str]:
@@ -109,19 +109,27 @@ def batched(texts: list[str]) -> Iterator[list[str]]:
         start = end
 
 
+_ABSENT = object()
+
+
 class PieceCache:
     """Values of pieces, looked up, or made by `learn` where not known yet.
 
-    learn(texts) gets pieces with what stands before them and whether they may be read as one text, one after the
-    other. A full cache starts anew, so memory is bounded whatever the corpus holds; longer pieces are never kept.
+    learn(texts, joined) gets pieces with what stands before them, and whether they may be read as one text, one after
+    the other. Pieces are kept in two generations: when the younger is full it becomes the older, whose pieces move back
+    as they are met again. So memory is bounded whatever the corpus holds, and frequent pieces stay; long ones are never
+    kept.
     """
 
     def __init__(self, learn: Callable[[list[str], bool], list]):
         self.learn = learn
-        self.whole: dict[str, object] = {}
-        self.spaced: dict[str, object] = {}
+        self.whole: list[dict[str, object]] = [{}, {}]
+        self.spaced: list[dict[str, object]] = [{}, {}]
+
+    def pieces(self, text: str) -> tuple[list[str], list[str]]:
+        return pieces(text)
 
-    def _learn(self, known: dict, new: list[str], prefix: str) -> dict:
+    def _learn(self, new: list[str], prefix: str) -> dict:
         fresh: dict[str, object] = {}
         for own in batched(new):
             chained = [x for x in own if prefix and x and x[-1] not in _WHITE]
@@ -129,25 +137,42 @@ class PieceCache:
             for texts, joined in ((chained, True), (apart, False)):
                 if texts:
                     fresh.update(zip(texts, self.learn([prefix + x for x in texts], joined), strict=True))
-        if len(known) + len(fresh) > MAX_CACHED:
-            known.clear()
-        known.update((k, v) for k, v in fresh.items() if len(k) <= MAX_CACHED_CHARS)
         return fresh
 
-    def _of(self, known: dict, parts: list[str], prefix: str) -> list:
+    def _known(self, kept: list[dict], parts: list[str], prefix: str) -> dict:
+        """Values of all parts, of which those that may be kept are in the younger generation afterwards."""
+        younger, older = kept
+        met = {x: younger.get(x, _ABSENT) for x in set(parts)}
+        missing = [x for x, value in met.items() if value is _ABSENT]
+        moved = {x: older[x] for x in missing if x in older}
+        fresh = moved | self._learn([x for x in missing if x not in moved], prefix)
+        if len(younger) + len(fresh) > MAX_CACHED // 2:
+            kept[:] = [{}, younger]
+        kept[0].update((x, value) for x, value in fresh.items() if len(x) <= MAX_CACHED_CHARS)
+        return met | fresh
+
+    def _of(self, kept: list[dict], parts: list[str], prefix: str) -> list:
         try:
+            known = kept[0]
             return [known[x] for x in parts]
         except KeyError:
-            distinct = set(parts)
-            had = {x: known[x] for x in distinct if x in known}
-            had |= self._learn(known, [x for x in distinct if x not in had], prefix)
-            return [had[x] for x in parts]
+            known = self._known(kept, parts, prefix)
+            return [known[x] for x in parts]
 
     def of(self, text: str) -> list:
         """The values of the text's pieces, in order."""
-        whole, spaced = pieces(text)
+        whole, spaced = self.pieces(text)
         return self._of(self.whole, whole, "") + self._of(self.spaced, spaced, " ")
 
+    def of_texts(self, texts: list[str]) -> list[list]:
+        """The same for many texts, whose new pieces are learned together."""
+        cut = [self.pieces(t) for t in texts]
+        for kept, prefix, parts in ((self.whole, "", [x for w, _ in cut for x in w]), (self.spaced, " ", [x for _, s in cut for x in s])):
+            known = kept[0]
+            if not all(map(known.__contains__, parts)):
+                self._known(kept, parts, prefix)
+        return [self._of(self.whole, w, "") + self._of(self.spaced, s, " ") for w, s in cut]
+
 
 class IdCache(PieceCache):
     """Ids of pieces by the library, as bytes of a little-endian type that holds the vocabulary."""

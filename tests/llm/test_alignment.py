@@ -1,0 +1,123 @@
+"""Alignment against the libraries on whole texts, and bitmaps against sets."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from plantflow.llm import alignment, postings, queries, vocabularies
+from tests.compare import data
+from tests.llm.test_tokens import PARTS
+
+
+class Whole:
+    """Both libraries on whole texts, groups by the plain definition."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(alignment.BYTE_BPE)
+        self.a.encode_special_tokens = True
+        back = {c: b for b, c in vocabularies.byte_characters().items()}
+        self.of_a = {i: bytes(back[c] for c in t) for t, i in self.a.get_vocab().items() if all(c in back for c in t)}
+        self.b = sentencepiece.SentencePieceProcessor(model_file=alignment.PIECE_BPE)
+
+    def bytes_b(self, i):
+        piece = self.b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def groups(self, text):
+        if not text:
+            return []
+        a, b, raw = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), (" " + text).encode()
+        if b"".join(self.of_a[i] for i in a) != raw or b"".join(map(self.bytes_b, b)) != raw:
+            return []
+        at, found, own = [0, 0], [], ([], [])
+        ends = [list(np.cumsum([len(self.of_a[i]) for i in a])), list(np.cumsum([len(self.bytes_b(i)) for i in b]))]
+        for end in sorted({*ends[0], *ends[1]}):
+            for side, ids in enumerate((a, b)):
+                if at[side] < len(ids) and ends[side][at[side]] == end:
+                    own[side].append(ids[at[side]])
+                    at[side] += 1
+            if end in ends[0] and end in ends[1]:
+                found.append(own)
+                own = ([], [])
+        return found
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return Whole()
+
+
+def expected(rows, whole):
+    groups = [whole.groups(text) for _, text in rows]
+    links = [Counter((x, y) for a, b in own for x in a for y in b) for own in groups]
+    documents = Counter(pair for own in links for pair in own)
+    best = defaultdict(int)
+    for (x, _), n in documents.items():
+        best[x] = max(best[x], n)
+    for (doc_id, _), own, linked in zip(rows, groups, links, strict=True):
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in own)
+        yield (
+            doc_id, sum(len(a) for a, _ in own), sum(len(b) for _, b in own), len(own), sum(linked.values()),
+            hashlib.sha256(shown.encode()).hexdigest() if own else "",
+            sum(n for p, n in linked.items() if documents[p] == best[p[0]]), sum(n * documents[p] for p, n in linked.items()),
+        )
+
+
+def test_pieces_align_as_whole_texts(whole):
+    draw = random.Random(5)
+    parts = [*PARTS, "▁", "x▁y", ";\r", "{\r", "<0x41>", "<s>", "é", "\r\n"]
+    aligner = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE)
+    assert aligner.cuts == " \n\t"
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 14))) for _ in range(4000)]
+    for text in [*texts, " ", "\n", "  ", "a ", "x" * 3000]:
+        found = ";".join(p.groups for p in aligner.of_text(text))
+        assert found == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in whole.groups(text)), repr(text)
+
+
+def test_query(spark, whole):
+    docs = spark.read.parquet(f"{data('sf0.001')}/documents.parquet").select("doc_id", "text").collect()
+    found = queries.queries()["op11_tokenizer_alignment"](spark, data("sf0.001"))
+    assert found.columns == ["doc_id", *alignment.COUNTS, "groups_sha256", "n_best", "count_sum"]
+    assert sorted(map(tuple, found.collect())) == sorted(expected([tuple(r) for r in docs], whole))
+
+
+def test_odd_rows_and_parts_of_blocks(spark, whole, monkeypatch):
+    """Null, empty and repeated rows, texts that are not given back, small blocks written in many parts."""
+    monkeypatch.setattr(alignment, "MOST_LINKS", 10)
+    rows = [(1, "the cat the cat sat"), (1, "the cat the cat sat"), (None, "a dog"), (2, None), (3, ""), (4, "x▁y"), (5, " of the " * 40), (6, "\ta\r\nb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("pair", "block", "row", "groups", "n_a")})
+    found = alignment.align(docs.coalesce(1), keep=["doc_id", "pair"])
+    told = alignment.scored(found, found.documents.withColumn("digest", F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")))
+    columns = ["doc_id", *alignment.COUNTS, "digest", "n_best", "count_sum"]
+    key = lambda r: (r[0] is None, r[0] or 0, r)
+    assert sorted((tuple(r) for r in told.select(columns).collect()), key=key) == sorted(expected(rows, whole), key=key)
+    counts = {(r["a"], r["b"]): (r["documents"], r["links"]) for r in alignment.pair_counts(found).collect()}
+    links = [Counter((x, y) for a, b in whole.groups(t) for x in a for y in b) for _, t in rows]
+    assert counts == {p: (sum(p in own for own in links), sum(own[p] for own in links)) for p in set().union(*links)}
+    none = alignment.align(docs.limit(0), keep=["doc_id"])
+    assert alignment.scored(none, none.documents).collect() == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.lists(st.sets(st.integers(0, postings.BLOCK - 1), min_size=1, max_size=6), min_size=1, max_size=3)), min_size=1, max_size=6))
+def test_bitmaps(shapes):
+    """Short lists and, every third, bitmaps of many rows."""
+    lists = [[(set(range(3, 2000)) if k % 3 == 0 else set()) | own for own in sets] for k, sets in shapes]
+    flat = [own for sets in lists for own in sets]
+    rows = np.concatenate([np.array(sorted(own)) for own in flat])
+    bitmaps = postings.packed(rows, np.array([len(own) for own in flat]))
+    back, counts = postings.unpacked(bitmaps)
+    assert back.tolist() == rows.tolist() and counts.tolist() == [len(own) for own in flat]
+    offsets = np.cumsum([0, *(len(sets) for sets in lists)])
+    united, counts = postings.unpacked(postings.union(pa.ListArray.from_arrays(offsets, bitmaps)))
+    assert np.split(united, np.cumsum(counts)[:-1])[0].tolist() == sorted(set().union(*lists[0]))
+    assert counts.tolist() == [len(set().union(*sets)) for sets in lists]
