@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantflow.llm import alignment, bpe_codec, common, decontamination, html_extraction, language_id, license_scan, line_dedup, periodic_runs, quality_ledger, simhash_dedup, token_counts, token_files
+from plantflow.llm import alignment, bpe_codec, common, decontamination, html_extraction, language_id, language_model, license_scan, line_dedup, periodic_runs, quality_ledger, simhash_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,11 @@ def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.scored(found, documents)
 
 
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    return language_model.score(common.table(spark, sf_dir, "documents"), trained, keep=["doc_id"])
+
+
 def _with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text; of one document in ten, by its checksum, the words from some place on repeat with a period."""
     text, h = F.coalesce("text", F.lit("")), F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -122,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op9_benchmark_decontamination": benchmark_hits,
         "op10_license_scans": licenses,
         "op11_tokenizer_alignment": aligned,
+        "op12_language_model": model_scores,
         "op13_periodic_runs": periodic,
         "pipeline": corpus_pipeline.run,
     }
