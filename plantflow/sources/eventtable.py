@@ -1,7 +1,8 @@
 """The stored event table: Parquet, kept by date, variable and batch.
 
 Loads, streams, retention and compaction share it. Every batch writes into places of its own, named by its label, and a
-batch that is repeated after a failure overwrites them; what is there is what is read, without a log besides.
+batch that is repeated after a failure overwrites them. What is there is what is read, but for batches that compaction
+has replaced (`labels`).
 
 A report over a range opens only the dates and variables it needs; in particular the state before the range comes
 from the few validity and anomaly files, not from the counters. Within a file rows are sorted by machine, so a single
@@ -11,6 +12,7 @@ machine's report skips most row groups.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from pyspark.sql import types as T
 from plantflow import schema
 from plantflow.functions import timecols
 from plantflow.params import instant, to_micros
+from plantflow.sources import labels
 
 PARTITIONS = ("event_date", "variable")
 BATCH = "batch"
@@ -47,6 +50,10 @@ def append(events: DataFrame, path: str, label: str | None = None) -> None:
     Rebalancing splits a large date or variable over several files and merges small ones.
     """
     dated = with_date(events.select(*schema.MODEL_COLUMNS, *([ORDER] if ORDER in events.columns else [])))
+    if label is not None:  # a repeated batch: dates that were compacted have its rows already
+        done = labels.read(events.sparkSession, path).parts_without(label)
+        if done:
+            dated = dated.filter(~F.col("event_date").isin([_as_date(d) for d in done]))
     _write(dated, path, label or f"load-{uuid.uuid4().hex}")
 
 
@@ -65,24 +72,45 @@ def _write(dated: DataFrame, path: str, label: str) -> None:
 def compact(spark: SparkSession, path: str, before: str) -> list[str]:
     """Rewrite the dates before an ISO date, which nothing writes to any more, with one batch each; returns the dates.
 
-    Streams leave a file per date, variable and micro-batch. The new files are complete before they take the place of
-    the old ones; between the two renames a reader may miss a date, so run it when no report runs.
+    Streams leave a file per date, variable and micro-batch. The new batch is written beside the old ones and counts from
+    the moment the table's log says so (`labels`); the old ones stay for readers that have begun, until `clean`. It may
+    end after any step and be run again. Dates with a single batch are left as they are.
     """
-    jvm, root = spark.sparkContext._jvm, path.rstrip("/")
-    files = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    at = jvm.org.apache.hadoop.fs.Path
-    names = [s.getPath().getName() for s in files.listStatus(at(root))]
-    dates = sorted(n for n in names if n.startswith("event_date=") and n.removeprefix("event_date=") < before)
-    label = f"compacted-{uuid.uuid4().hex}"
-    for date in dates:
-        day = spark.read.schema(T.StructType([*STORED.fields, T.StructField(ORDER, T.LongType())])).parquet(root)
-        chosen = day.filter(F.col("event_date") == date.removeprefix("event_date=")).drop(BATCH)
-        _write(chosen, f"{root}/_compacting", label)
-        old, new = at(f"{root}/{date}"), at(f"{root}/_compacting/{date}")
-        files.rename(old, at(f"{root}/_old-{label}-{date}"))
-        files.rename(new, old)
-        files.delete(at(f"{root}/_old-{label}-{date}"), True)
-    return dates
+    seen, known = labels.current(spark, path)
+    store = labels._Store(spark, path)
+    batches: dict[str, set[str]] = {}
+    for date, label, _ in _folders(store):
+        if date < before and not known.is_replaced(date, label) and (not label.startswith(labels.MERGED) or known.merged.get(date) == label):
+            batches.setdefault(date, set()).add(label)
+    dates = sorted(date for date, own in batches.items() if len(own) > 1)
+    if not dates:
+        return []
+    label = labels.new_label()
+    day = spark.read.schema(T.StructType([*STORED.fields, T.StructField(BATCH, T.StringType()), T.StructField(ORDER, T.LongType())])).parquet(path)
+    taken = labels.in_batches(F.col("event_date").cast("string"), F.col(BATCH), {d: batches[d] for d in dates})
+    _write(day.filter(F.col("event_date").isin([_as_date(d) for d in dates]) & taken).drop(BATCH), path, label)
+    replaced = known.replaced | {d: sorted({*known.replaced.get(d, ()), *batches[d]}) for d in dates}
+    labels.publish(spark, path, seen, labels.Labels(known.merged | dict.fromkeys(dates, label), replaced))
+    return [f"event_date={d}" for d in dates]
+
+
+def _as_date(text: str):
+    return datetime.fromisoformat(text).date()
+
+
+def _folders(store: labels._Store) -> Iterator[tuple[str, str, str]]:
+    """(date, label, folder) of every batch. Only names reach the driver."""
+    for status in store.files.globStatus(store.at(f"event_date=*/variable=*/{BATCH}=*")) or ():
+        folder = status.getPath()
+        date = folder.getParent().getParent().getName().removeprefix("event_date=")
+        label = folder.getName().removeprefix(f"{BATCH}=")
+        yield date, label, f"event_date={date}/{folder.getParent().getName()}/{folder.getName()}"
+
+
+def clean(spark: SparkSession, path: str) -> list[str]:
+    """Delete the batches that compaction has replaced, and what an unfinished compaction left. Run it when nobody still
+    reads the table as it was before the last compaction, and none is under way."""
+    return labels.clean(spark, path, _folders)
 
 
 def read(
@@ -93,8 +121,9 @@ def read(
     with_orders: bool = False,
 ) -> DataFrame:
     """The table; with `as_of`, only the dates retention has not yet removed by then; with the stored order if asked."""
-    fields = [*STORED.fields, *([T.StructField(ORDER, T.LongType())] if with_orders else [])]
-    stored = spark.read.schema(T.StructType(fields)).parquet(path).drop(BATCH)
+    fields = [*STORED.fields, T.StructField(BATCH, T.StringType()), *([T.StructField(ORDER, T.LongType())] if with_orders else [])]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    stored = stored.filter(labels.read(spark, path).counting(F.col("event_date").cast("string"), F.col(BATCH))).drop(BATCH)
     if as_of is not None:
         # Dates of chunks that ended by the cutoff. A literal date, so their directories are not even listed.
         stored = stored.filter(F.col("event_date") >= F.lit(first_kept_date(as_of, months)))

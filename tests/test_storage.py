@@ -140,3 +140,73 @@ def test_views(spark, stored):
     assert all("EqualTo(machine_id,7)" in s["PushedFilters"] for s in _scans(found))
     share = spark.sql("SELECT count(*) FROM kpi_summary k JOIN pieces_total p USING (machine_id)").first()[0]
     assert share == 15
+
+
+def _in_three_batches(spark, path):
+    events = sample.machine_events(spark, compare.data("sf0.001"))
+    for k in range(3):
+        eventtable.append(events.filter(F.pmod("event_id", F.lit(3)) == k), path, f"part-{k}")
+    return compare.spark_rows(events)
+
+
+class _Stopped(Exception):
+    pass
+
+
+def _stop(*_, **__):
+    raise _Stopped
+
+
+def test_compaction_may_stop_after_any_step(spark, tmp_path, monkeypatch):
+    """Stopped after the new batch, inside the log, and after it; run again; read equal rows each time."""
+    from plantflow.sources import labels
+
+    path = str(tmp_path / "t")
+    rows = _in_three_batches(spark, path)
+
+    def same():
+        return compare.spark_rows(eventtable.read(spark, path).drop("event_date")) == rows
+
+    for stopped in ((labels, "publish"), (labels._Store, "rename")):
+        with monkeypatch.context() as patch:
+            patch.setattr(*stopped, _stop)
+            with pytest.raises(_Stopped):
+                eventtable.compact(spark, path, "2024-01-20")
+        assert same()
+    before = eventtable.read(spark, path).drop("event_date")  # a reader that began earlier
+    assert len(eventtable.compact(spark, path, "2024-01-20")) == 19
+    assert same() and compare.spark_rows(before) == rows
+    eventtable.append(sample.machine_events(spark, compare.data("sf0.001")).filter("event_id % 3 = 1"), path, "part-1")  # repeated
+    assert same()
+    assert eventtable.compact(spark, path, "2024-01-20") == []
+    with monkeypatch.context() as patch:
+        patch.setattr(labels._Store, "delete", _stop)
+        with pytest.raises(_Stopped):
+            eventtable.clean(spark, path)
+    assert same()
+    assert eventtable.clean(spark, path) and same()
+    assert eventtable.clean(spark, path) == []
+    late = sample.machine_events(spark, compare.data("sf0.001")).limit(20).withColumn("event_id", -F.col("event_id") - 1)
+    eventtable.append(late, path, "late")
+    assert eventtable.read(spark, path).count() == 1020
+    eventtable.compact(spark, path, "2024-02-20")
+    eventtable.clean(spark, path)
+    assert eventtable.read(spark, path).count() == 1020
+    assert len({(d, b) for d, b, _ in eventtable._folders(labels._Store(spark, path))}) == 30
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    """The second to publish fails and changes nothing."""
+    from plantflow.sources import labels
+
+    path = str(tmp_path / "t")
+    rows = _in_three_batches(spark, path)
+    seen = labels.current(spark, path)
+    eventtable.compact(spark, path, "2024-01-20")
+    monkeypatch.setattr(labels, "current", lambda *_: seen)
+    with pytest.raises(RuntimeError):
+        eventtable.compact(spark, path, "2024-01-20")
+    monkeypatch.undo()
+    assert compare.spark_rows(eventtable.read(spark, path).drop("event_date")) == rows
+    eventtable.clean(spark, path)
+    assert compare.spark_rows(eventtable.read(spark, path).drop("event_date")) == rows
