@@ -12,8 +12,8 @@ _FROM = "TIMESTAMP '2024-01-05 00:00:00'"
 _TO = "TIMESTAMP '2024-01-25 00:00:00'"
 _TIMEOUT = "INTERVAL 43200 SECOND"
 _MIN_PIECES = 30
-# What a reading adds: all of it unless the one before is no higher, which is then taken off; `opening` without one.
-_STEP = "COALESCE(value - previous_value * CAST(previous_value <= value AS INTEGER), opening)"
+# What a reading adds: the difference to the one before, all of it after a restart, `opening` without one before.
+_STEP = "CASE WHEN previous_value IS NULL THEN opening WHEN value < previous_value THEN value ELSE value - previous_value END"
 
 _CTES = {
     "ev": """
@@ -283,6 +283,12 @@ def oracle_sql() -> dict[str, str]:
         "anomaly_starts": _on("figures") + "SELECT machine_id, total_anomalies FROM figures",
         "anomaly_seconds": _on("figures") + "SELECT machine_id, total_anomaly_seconds FROM figures",
         "kpi_summary": _on("figures") + "SELECT * FROM figures",
+        "kpi_summary_from_days": (_on("figures") + "SELECT * FROM figures")
+        .replace(_FROM, "TIMESTAMP '2024-01-05 07:30:00'")
+        .replace(_TO, "TIMESTAMP '2024-01-24 15:45:00'"),
+        "kpi_summary_stored": _on("figures") + "SELECT * FROM figures",
+        "machine_register": _on("me")
+        + 'SELECT machine_id, MIN("timestamp") AS first_seen, MAX("timestamp") AS last_seen FROM me GROUP BY machine_id',
         "pieces_total_one_machine": _on("figures")
         + "SELECT machine_id, total_pieces_counted FROM figures WHERE machine_id = 7",
         "ingest_topic_filter": _on("sent")
@@ -385,11 +391,14 @@ def oracle_sql() -> dict[str, str]:
         "reconnects_per_host": _on("logged")
         + """SELECT host, COUNT(*) AS reconnects FROM logged WHERE text LIKE '%New connection attempt%'
              GROUP BY host""",
-        "usage_meter_hourly": _on("metered")
-        + """SELECT date_trunc('hour', ts) AS window_start, signal, service AS service_name,
-                    environment AS deployment_environment, host AS host_name, COUNT(*) AS records,
-                    CAST(SUM(size) AS BIGINT) AS size
-             FROM metered GROUP BY ALL""",
+        **dict.fromkeys(
+            ("usage_meter_hourly", "usage_meter_merged"),
+            _on("metered")
+            + """SELECT date_trunc('hour', ts) AS window_start, signal, service AS service_name,
+                        environment AS deployment_environment, host AS host_name, COUNT(*) AS records,
+                        CAST(SUM(size) AS BIGINT) AS size
+                 FROM metered GROUP BY ALL""",
+        ),
         "span_latency_histogram": _on("bucketed")
         + f"SELECT {_SPAN_KEYS}, bucket, COUNT(*) AS spans FROM bucketed GROUP BY ALL",
         "span_exp_histogram": _on("tel")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -13,12 +14,15 @@ from plantflow import schema
 from plantflow.functions import timecols
 from plantflow.operators import intervals, orders, segments, validity, watchdog
 from plantflow.params import TimeRange, WatchdogConfig, instant, to_micros
-from plantflow.plans import kpis, observability, states
-from plantflow.sources import eventtable, sample, wire
+from plantflow.plans import history, kpis, observability, states
+from plantflow.sources import eventtable, sample, shared, snapshots, summaries, wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANGE = TimeRange.of("2024-01-05", "2024-01-25")
+WHOLE_DAYS = TimeRange.of("2024-01-01", "2024-02-01")
+PART_DAYS = TimeRange.of("2024-01-05T07:30:00", "2024-01-24T15:45:00")
+SEALED = "2024-01-03"
 # The sample's lines are slow: half a day and 30 pieces instead of seconds and single pieces.
 WATCHDOG = WatchdogConfig(timeout_seconds=43_200, min_pieces=30)
 AS_OF = "2025-02-15"
@@ -221,6 +225,47 @@ def _kpi(report) -> Query:
     return query
 
 
+def kpi_summary_from_days(spark, sf_dir):
+    """A range that begins and ends within a day, from summaries of days."""
+    events, plan = _events(spark, sf_dir), machine_plan(spark, sf_dir)
+    days = history.summarise(events, WHOLE_DAYS, plan)
+    return history.kpi_summary(days, events, PART_DAYS, sample.machines(spark, sf_dir), plan)
+
+
+def kpi_summary_stored(spark, sf_dir):
+    """From the stored table: loaded in batches, the last one late, compacted; the states before the range from a snapshot,
+    the machines from the register."""
+    events, root = _events(spark, sf_dir), f"{shared.folder(spark)}/plant-{uuid.uuid4().hex}"
+    states_, register = snapshots.StateSnapshots(f"{root}/states"), snapshots.Register(f"{root}/machines")
+    for k in range(3):
+        batch = events.filter(F.pmod("event_id", F.lit(3)) == k)
+        eventtable.append(batch, f"{root}/events", f"load-{k}")
+        states_.correct(batch, f"load-{k}")
+        register.add(batch, f"load-{k}")
+        if k == 1:
+            states_.seal(spark, eventtable.read(spark, f"{root}/events"), SEALED)
+    eventtable.compact(spark, f"{root}/events", "2024-02-01")
+    register.fold(spark)
+    stored = states_.events(eventtable.read(spark, f"{root}/events"), RANGE)
+    return kpis.kpi_summary(stored, RANGE, machines=register.read(spark), plan=machine_plan(spark, sf_dir))
+
+
+def machine_register(spark, sf_dir):
+    return snapshots.sightings(_events(spark, sf_dir))
+
+
+def usage_meter_merged(spark, sf_dir):
+    """The hourly meter from partial roll-ups of three batches, one of them added twice, folded in between."""
+    records, path = _meter(spark, sf_dir), f"{shared.folder(spark)}/meter-{uuid.uuid4().hex}"
+    table = summaries.Summaries(path, {"records": "sum", "size": "sum"}, by="window_start")
+    for k in (0, 1, 1, 2):
+        partial = observability.meter_usage(records.filter(F.pmod(F.xxhash64("ts"), F.lit(3)) == k))
+        table.add(partial, f"batch-{k}")
+        if k == 1:
+            table.fold(spark, partial.schema)
+    return table.read(spark, partial.schema)
+
+
 def pieces_total_one_machine(spark, sf_dir):
     return kpis.pieces_total(_events(spark, sf_dir), RANGE, machine_id=7, plan=machine_plan(spark, sf_dir))
 
@@ -350,6 +395,10 @@ _QUERIES: dict[str, Query] = {
         query.__name__: query
         for query in (
             pieces_total_one_machine,
+            kpi_summary_from_days,
+            kpi_summary_stored,
+            machine_register,
+            usage_meter_merged,
             ingest_topic_filter,
             ingest_payload_projection,
             ingest_timestamp,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from operator import or_
 
@@ -16,8 +16,13 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 EVENT_DATE = "event_date"
 
 
+def date_of(micros: int) -> date:
+    """UTC date."""
+    return (_EPOCH + timedelta(microseconds=micros)).date()
+
+
 def _date(micros: int) -> Column:
-    return F.lit((_EPOCH + timedelta(microseconds=micros)).date())
+    return F.lit(date_of(micros))
 
 
 def of_variables(events: DataFrame, variables: Iterable[str], machine_id: int | None = None) -> DataFrame:
@@ -50,7 +55,8 @@ def relevant_changes(changes: DataFrame, keys: Sequence[str], within: TimeRange)
     """The changes of the range and, per key, the last one ahead of it: keys, timestamp, event_id and value.
 
     Of all the history ahead of the range only the state it leaves behind matters. It is condensed to one row per key
-    before anything is shuffled, so the cost of a report follows its range and not the age of the table.
+    before anything is shuffled. On the bare table all earlier dates of these variables are read for it; on events from
+    `snapshots.StateSnapshots.events` only those since the last snapshot.
     """
     slim = changes.select(*keys, "timestamp", "event_id", "value", *[c for c in changes.columns if c == EVENT_DATE])
     latest = F.max(F.struct("timestamp", "event_id", "value"))

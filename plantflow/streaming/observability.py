@@ -1,56 +1,60 @@
 """Roll-ups over streams that lose no late record.
 
-Records are kept by day. Each micro-batch adds its own and then counts the days it touches anew, so a record counts
-whenever it comes, and the roll-up is always that of a batch over all records received. A repeated micro-batch
-overwrites what it left before.
+Each micro-batch adds the partial roll-up of its own rows; reading merges them. So a micro-batch costs what its rows cost,
+a record counts whenever it comes, whatever its time, and the roll-up is always that of a batch over all records
+received. A repeated micro-batch overwrites what it left before. `fold` replaces the many small parts of a day by one, at
+any time, beside the stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from plantflow.functions import timecols
 from plantflow.plans import observability
+from plantflow.sources.summaries import BATCH, PART, Summaries
 from plantflow.streaming import ingest
 
+#: What roll-ups count; all other columns are keys.
+COUNTED = ("records", "size", "spans", "lines")
 
-def _day(ts: Column) -> Column:
-    """UTC day, in which every window up to a day lies whole."""
-    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(timecols.DAY_US)).cast("int"))
 
-
-def _replace(df: DataFrame, path: str, *by: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def _table(path: str, columns: list[str]) -> Summaries:
+    return Summaries(path, {c: "sum" for c in COUNTED if c in columns}, by="window_start")
 
 
 def _kept(
     records: DataFrame, report: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, trigger: dict | None
 ) -> StreamingQuery:
-    fields = records.schema
-
     def write(rows: DataFrame, label: str) -> None:
-        dated = rows.withColumns({"_day": _day(F.col("ts")), "_batch": F.lit(label)}).persist()
-        try:
-            _replace(dated.hint("rebalance", "_day"), f"{path}/records", "_day", "_batch")
-            days = [r[0] for r in dated.filter("_day IS NOT NULL").select("_day").distinct().collect()]
-        finally:
-            dated.unpersist()
-        if days:
-            stored = rows.sparkSession.read.schema(T.StructType([*fields.fields, T.StructField("_day", T.DateType())])).parquet(f"{path}/records")
-            fresh = report(stored.filter(F.col("_day").isin(days)).drop("_day", "_batch"))
-            _replace(fresh.withColumn("_day", _day(F.col("window_start"))), f"{path}/rollup", "_day")
+        partial = report(rows)
+        _table(path, partial.columns).add(partial, label)
 
     return ingest._each_batch(records, checkpoint, trigger, None, write)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The roll-up as it stands."""
-    return spark.read.parquet(f"{path}/rollup").drop("_day")
+def _fields(spark: SparkSession, path: str) -> StructType:
+    return StructType([f for f in spark.read.parquet(path).schema if f.name not in (PART, BATCH)])
+
+
+def read(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """The roll-up as it stands, of the days from `since` to `until` (ISO dates) if asked."""
+    fields = _fields(spark, path)
+    return _table(path, fields.names).read(spark, fields, since, until)
+
+
+def fold(spark: SparkSession, path: str, least: int = 2) -> list[str]:
+    """Merges the parts of each day that has `least` or more; returns the days."""
+    fields = _fields(spark, path)
+    return _table(path, fields.names).fold(spark, fields, least)
+
+
+def clean(spark: SparkSession, path: str) -> list[str]:
+    """Deletes what folding has replaced; see `sources.labels.clean`."""
+    return _table(path, []).clean(spark)
 
 
 def meter_usage(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -1,0 +1,211 @@
+"""Snapshots, the register, day summaries and merging tables: equal to reports over the whole log."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from plantflow import TimeRange, registry, schema
+from plantflow.operators import segments
+from plantflow.plans import history, kpis, observability, states
+from plantflow.sources import eventtable, labels, sample, summaries
+from plantflow.sources.snapshots import Register, StateSnapshots
+from plantflow.streaming import observability as live
+from tests import compare
+from tests.test_storage import _scans, _stop, _Stopped
+
+WITHIN = TimeRange.of("2024-01-20T06:00:00", "2024-01-22")
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return sample.machine_events(spark, compare.data("sf0.001")).persist()
+
+
+@pytest.fixture(scope="module")
+def plant(spark, events, tmp_path_factory):
+    """Loaded in three batches; sealed before the last, which is late; the second comes twice."""
+    root = str(tmp_path_factory.mktemp("plant"))
+    snapshots, register = StateSnapshots(f"{root}/states"), Register(f"{root}/machines")
+    for k in (0, 1, 1, 2):
+        batch = events.filter(F.pmod("event_id", F.lit(3)) == k)
+        eventtable.append(batch, f"{root}/events", f"b{k}")
+        snapshots.correct(batch, f"b{k}")
+        register.add(batch, f"b{k}")
+        if k == 1:
+            for day in ("2024-01-10", "2024-01-18"):
+                snapshots.seal(spark, eventtable.read(spark, f"{root}/events"), day)
+    return root, snapshots, register
+
+
+def test_reports_from_a_snapshot(spark, events, plant):
+    root, snapshots, register = plant
+    since = snapshots.events(eventtable.read(spark, f"{root}/events"), WITHIN)
+    machines = register.read(spark)
+    assert compare.spark_rows(kpis.kpi_summary(since, WITHIN, machines=machines)) == compare.spark_rows(kpis.kpi_summary(events, WITHIN))
+    changes = sample.state_events(spark, compare.data("sf0.001"))
+    eventtable.append(changes.select(*schema.MODEL_COLUMNS), f"{root}/changes")
+    own = StateSnapshots(f"{root}/changes-states")
+    stored = eventtable.read(spark, f"{root}/changes")
+    own.seal(spark, stored, "2024-01-18")
+    for report in (states.state_time_share, states.state_timeline):
+        assert compare.spark_rows(report(own.events(stored, WITHIN), WITHIN)) == compare.spark_rows(report(changes, WITHIN))
+
+
+def test_no_date_before_the_snapshot_is_opened(spark, plant):
+    root, snapshots, register = plant
+    since = snapshots.events(eventtable.read(spark, f"{root}/events"), WITHIN)
+    scans = _scans(kpis.kpi_summary(since, WITHIN, machines=register.read(spark)))
+    of_table = [s for s in scans if f"{root}/events" in s["Location"]]
+    assert of_table and len(of_table) < len(scans)
+    assert all("event_date" in s["PartitionFilters"] and "> 2024-01-18" in s["PartitionFilters"] for s in of_table)
+
+
+def test_snapshots_with_late_repeated_and_odd_rows(spark, tmp_path):
+    """Any order of batches and seals gives the state the whole log has."""
+    draw = random.Random(4)
+    rows = []
+    for k in range(400):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(hours=draw.randrange(24 * 8))
+        rows.append((k, at, draw.choice([1, 2, 3]), draw.choice([schema.DATA_VALID, schema.MACHINE_ANOMALY, "InAlarm", "Other"]), "Boolean", draw.randint(0, 1), "R"))
+    fields = "event_id long, timestamp timestamp, machine_id int, variable string, type string, value int, event_type string"
+    log = spark.createDataFrame([*rows, (500, None, 1, schema.DATA_VALID, "Boolean", 1, "R"), (501, dt.datetime(2024, 1, 2), None, "InAlarm", None, None, None)], fields)
+    table, snapshots = str(tmp_path / "t"), StateSnapshots(str(tmp_path / "s"))
+    seals = {1: "2024-01-05", 2: "2024-01-03", 3: "2024-01-06"}
+    for k in range(5):
+        batch = log.filter(F.pmod("event_id", F.lit(5)) == k)
+        eventtable.append(batch, table, f"b{k}")
+        for _ in range(2):
+            snapshots.correct(batch, f"b{k}")
+        if k in seals:
+            snapshots.seal(spark, eventtable.read(spark, table), seals[k])
+    assert snapshots.sealed(spark) == sorted(seals.values())
+    for day in seals.values():
+        start = dt.date.fromisoformat(day) + dt.timedelta(days=1)
+        within = TimeRange.of(start.isoformat(), "2024-01-09")
+        since = snapshots.events(eventtable.read(spark, table), within)
+        known = log.filter("machine_id IS NOT NULL AND timestamp IS NOT NULL")
+        assert compare.spark_rows(kpis.kpi_summary(since, within)) == compare.spark_rows(kpis.kpi_summary(known, within))
+    assert snapshots.drop_before(spark, "2024-01-06") == ["2024-01-03", "2024-01-05"]
+    assert snapshots.sealed(spark) == ["2024-01-06"]
+
+
+def test_a_seal_may_stop_and_be_run_again(spark, events, tmp_path, monkeypatch):
+    table, snapshots = str(tmp_path / "t"), StateSnapshots(str(tmp_path / "s"))
+    eventtable.append(events.filter("event_id % 2 = 0"), table, "a")
+    with monkeypatch.context() as patch:
+        patch.setattr(summaries.Summaries, "add", _stop)
+        with pytest.raises(_Stopped):
+            snapshots.seal(spark, eventtable.read(spark, table), "2024-01-18")
+    assert snapshots.sealed(spark) == []
+    late = events.filter("event_id % 2 = 1")
+    eventtable.append(late, table, "b")
+    assert snapshots.correct(late, "b") == ["2024-01-18"]
+    snapshots.seal(spark, eventtable.read(spark, table), "2024-01-18")
+    since = snapshots.events(eventtable.read(spark, table), WITHIN)
+    assert compare.spark_rows(kpis.kpi_summary(since, WITHIN, machines=events)) == compare.spark_rows(kpis.kpi_summary(events, WITHIN))
+
+
+def test_register(spark, events, plant):
+    _, _, register = plant
+    expected = compare.spark_rows(events.groupBy("machine_id").agg(F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")))
+    assert compare.spark_rows(register.read(spark)) == expected
+    assert register.fold(spark) == ["all"] and compare.spark_rows(register.read(spark)) == expected
+    register.add(events.filter("machine_id = 3").withColumn("timestamp", F.lit("2030-01-01").cast("timestamp")), "b1")  # folded already
+    assert compare.spark_rows(register.read(spark)) == expected
+    assert len(register.clean(spark)) == 3 and compare.spark_rows(register.read(spark)) == expected
+
+
+RANGES = [("2024-01-05", "2024-01-25"), ("2024-01-05T07:30:00", "2024-01-24T15:45:00.000001"), ("2024-01-07T03:00", "2024-01-07T20:00"), ("2024-01-06T23:59:59", "2024-01-07T00:00:01"), ("2023-12-01", "2024-03-01"), ("2024-01-09", "2024-01-09")]
+
+
+@pytest.mark.parametrize("bounds", RANGES)
+def test_days_give_the_figures_of_the_log(spark, events, bounds):
+    within = TimeRange.of(*bounds)
+    days = history.summarise(events, registry.WHOLE_DAYS)
+    assert compare.spark_rows(history.kpi_summary(days, events, within)) == compare.spark_rows(kpis.kpi_summary(events, within))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_days_of_random_logs(spark, seed):
+    """Ties, restarts, states repeated, machines without states, nulls; with a plan that cuts the keys, too; and merging
+    neighbouring days first."""
+    draw = random.Random(seed)
+    rows = []
+    for k in range(700):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=30 * draw.randrange(48 * 6))
+        variable = draw.choice([schema.DATA_VALID, schema.MACHINE_ANOMALY, schema.PIECE_COUNTER, schema.PIECE_COUNTER, schema.REJECT_COUNTER])
+        machine = draw.randrange(4)
+        if machine == 3 and variable == schema.DATA_VALID:
+            variable = schema.PIECE_COUNTER
+        rows.append((k, at, machine, variable, "x", draw.randrange(2) if "Data" in variable or "Anom" in variable else draw.randrange(30), "R"))
+    log = spark.createDataFrame(rows, schema.MACHINE_EVENTS).persist()
+    days = history.summarise(log, TimeRange.of("2024-01-01", "2024-01-07")).persist()
+    cut = history.summarise(log, TimeRange.of("2024-01-01", "2024-01-07"), segments.SegmentPlan("machine_id", "timestamp", ((3_600_000_000, (1, 2)),)))
+    assert compare.spark_rows(cut) == compare.spark_rows(days)
+    halves = [history.merged(days.filter(F.col("begin") < "2024-01-04")), history.merged(days.filter(F.col("begin") >= "2024-01-04"))]
+    assert compare.spark_rows(history.merged(halves[0].unionByName(halves[1]))) == compare.spark_rows(history.merged(days))
+    for bounds in (("2024-01-02", "2024-01-06"), ("2024-01-01T11:10", "2024-01-05T17:30"), ("2023-12-31", "2024-01-09")):
+        within = TimeRange.of(*bounds)
+        assert compare.spark_rows(history.kpi_summary(days, log, within)) == compare.spark_rows(kpis.kpi_summary(log, within))
+
+
+def test_stored_days_and_late_events(spark, events, tmp_path):
+    table, days = str(tmp_path / "t"), history.DaySummaries(str(tmp_path / "d"))
+    eventtable.append(events.filter("event_id % 5 > 0"), table)
+    days.refresh(eventtable.read(spark, table), [f"2024-01-{d:02d}" for d in range(1, 31)])
+    late = events.filter("event_id % 5 = 0 AND machine_id < 4")
+    eventtable.append(late, table)
+    days.refresh(eventtable.read(spark, table), history.touched_days(late))
+    stored = eventtable.read(spark, table)
+    within = TimeRange.of("2024-01-05T07:30:00", "2024-01-24T15:45:00")
+    report = history.kpi_summary(days.read(spark), stored, within)
+    assert compare.spark_rows(report) == compare.spark_rows(kpis.kpi_summary(stored, within))
+    counters = [s for s in _scans(report) if "MachinePieceCounter" in s["PartitionFilters"]]
+    assert counters and all("= 2024-01-05" in s["PartitionFilters"] or "<= 2024-01-05" in s["PartitionFilters"] or "2024-01-24" in s["PartitionFilters"] for s in counters)
+
+
+def test_folding_may_stop_after_any_step(spark, tmp_path, monkeypatch):
+    table = summaries.Summaries(str(tmp_path / "s"), {"n": "sum", "top": "max", "low": "min"}, by="at")
+    fields = "at timestamp, who string, n long, top int, low int"
+    day = dt.datetime(2024, 1, 1)
+    rows = [(day, "a", 1, 5, 5), (day, None, 2, 1, 1), (None, "a", 4, 2, 2), (day + dt.timedelta(days=1), "a", 8, None, 7)]
+    for k in range(3):
+        table.add(spark.createDataFrame(rows, fields), f"b{k}")
+    table.add(spark.createDataFrame(rows, fields), "b2")
+    expected = sorted(((at, who, 3 * n, top, low) for at, who, n, top, low in rows), key=str)
+
+    def same():
+        return sorted((tuple(r) for r in table.read(spark, fields).collect()), key=str) == expected
+
+    assert same()
+    for stopped in ((labels, "publish"), (labels._Store, "rename")):
+        with monkeypatch.context() as patch:
+            patch.setattr(*stopped, _stop)
+            with pytest.raises(_Stopped):
+                table.fold(spark, fields)
+        assert same()
+    assert table.fold(spark, fields) == ["2024-01-01", "2024-01-02", "all"] and same()
+    table.add(spark.createDataFrame(rows, fields), "b1")
+    assert same() and table.fold(spark, fields) == []
+    assert table.clean(spark) and same()
+    assert table.read(spark, fields, since="2024-01-02", until="2024-01-02").count() == 1
+    assert summaries.Summaries(str(tmp_path / "none"), {"n": "sum"}).read(spark, "n long").collect() == []
+
+
+def test_a_micro_batch_writes_its_own_rows_only(spark, tmp_path):
+    """What a late record adds to a day does not grow with what the day holds."""
+    spans = sample.spans(spark, compare.data("sf0.001")).persist()
+    source, place = tmp_path / "in", str(tmp_path / "out")
+    arriving = spark.readStream.schema(spans.schema).parquet(str(source / "*"))
+    parts = [spans, spans.limit(1)]
+    for k, rows in enumerate(parts):
+        rows.write.parquet(str(source / str(k)))
+        live.latency_histogram(arriving, place, str(tmp_path / "cp"), {"availableNow": True}).awaitTermination()
+    sizes = [spark.read.parquet(place).filter(F.col("batch").endswith(f"-{k}")).count() for k in (0, 1)]
+    assert sizes[0] > 500 and sizes[1] == 1
+    whole = compare.spark_rows(observability.latency_histogram(spans.union(spans.limit(1))))
+    assert compare.spark_rows(live.read(spark, place)) == whole
+    assert live.fold(spark, place) and compare.spark_rows(live.read(spark, place)) == whole
+    assert live.clean(spark, place) and compare.spark_rows(live.read(spark, place)) == whole
