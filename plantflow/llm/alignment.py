@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +40,9 @@ from plantflow.llm import common, postings, vocabularies
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Links gathered before the bitmaps of what a block has so far are written; they are united afterwards.
-MOST_LINKS = 3_000_000
+MOST_LINKS = 2_000_000
+#: Pieces kept by a worker.
+MOST_PIECES = 500_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _SPACE = "▁"
 
@@ -72,8 +75,7 @@ def _pieces(path: str) -> tuple[SentencePieceProcessor, list[bytes], str]:
     return processor, table, " " + "".join(c for c in "\n\t\r" if c not in inner)
 
 
-@dataclass(frozen=True, slots=True)
-class Piece:
+class Piece(NamedTuple):
     """Tokens of a piece: how many of each side, its groups as text, and the links as numbers of pairs."""
 
     n_a: int
@@ -94,7 +96,7 @@ class Aligner(vocabularies.PieceCache):
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         white = vocabularies.ODD_WHITE + " \n\t\r"
         self.cut = re.compile(f"(?<=[^{white}])(?=[{self.cuts}])" if self.cuts else "(?!)")
-        super().__init__(self._align)
+        super().__init__(self._align, MOST_PIECES)
 
     def pieces(self, text: str) -> tuple[list[str], list[str]]:
         whole, spaced = vocabularies.pieces(text) if self.cuts else ([text], [])
@@ -102,15 +104,30 @@ class Aligner(vocabularies.PieceCache):
             return whole, spaced
         return [text[x:y] for x, y in pairwise([0, *(m.start() for m in self.cut.finditer(text)), len(text)])], []
 
-    def _of_ids(self, a: list[int], b: list[int]) -> Piece:
-        ends_a, ends_b = np.cumsum(self.sizes_a[a]).tolist(), np.cumsum(self.sizes_b[b]).tolist()
-        shown, links, i, j, n_b = [], [], 0, 0, len(self.bytes_b)
-        for end in sorted(set(ends_a) & set(ends_b)):
-            x, y = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
-            shown.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            links += [p * n_b + q for p in a[i:x] for q in b[j:y]]
-            i, j = x, y
-        return Piece(len(a), len(b), len(shown), ";".join(shown), np.array(links, "<i8").tobytes())
+    def _groups(self, ids_a: list[int], ids_b: list[int], piece_ends: np.ndarray) -> list[Piece]:
+        """Pieces of a text from the tokens of all of it, and where in its bytes each piece ends."""
+        a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends = np.intersect1d(ends_a, ends_b)
+        to_a, to_b = (np.concatenate([[0], np.searchsorted(own, ends) + 1]) for own in (ends_a, ends_b))
+        n_a, n_b = np.diff(to_a), np.diff(to_b)
+        each = n_a * n_b
+        to_link = np.concatenate([[0], np.cumsum(each)])
+        group = np.repeat(np.arange(len(ends)), each)
+        k = np.arange(len(group)) - to_link[group]
+        links = a[to_a[group] + k // n_b[group]] * len(self.bytes_b) + b[to_b[group] + k % n_b[group]]
+        raw = links.astype("<i8").tobytes()
+        text_a, text_b = list(map(str, ids_a)), list(map(str, ids_b))
+        cuts_a, cuts_b = to_a.tolist(), to_b.tolist()
+        shown = [
+            f"{text_a[i]}|{text_b[x]}" if j == i + 1 and y == x + 1 else ",".join(text_a[i:j]) + "|" + ",".join(text_b[x:y])
+            for (i, j), (x, y) in zip(pairwise(cuts_a), pairwise(cuts_b), strict=True)
+        ]
+        cuts = np.concatenate([[0], np.searchsorted(ends, piece_ends) + 1])
+        sizes = (np.diff(to_a[cuts]).tolist(), np.diff(to_b[cuts]).tolist(), np.diff(cuts).tolist())
+        texts = [shown[i] if j == i + 1 else ";".join(shown[i:j]) for i, j in pairwise(cuts.tolist())]
+        parts = [raw[8 * i : 8 * j] for i, j in pairwise(to_link[cuts].tolist())]
+        return list(map(Piece, *sizes, texts, parts))
 
     def _ids_b(self, text: str) -> list[int]:
         """Of a text with its leading space; of a piece from within a text, without the space that is added to it."""
@@ -123,20 +140,19 @@ class Aligner(vocabularies.PieceCache):
             text = "".join(texts)
             a, b = self.a.encode(text, add_special_tokens=False).ids, self._ids_b(text)
             if b"".join(self.bytes_b[i] for i in b) == text.encode():
-                ends = np.cumsum([len(t.encode()) for t in texts])
-                cuts_a = [0, *(np.searchsorted(np.cumsum(self.sizes_a[a]), ends) + 1).tolist()]
-                cuts_b = [0, *(np.searchsorted(np.cumsum(self.sizes_b[b]), ends) + 1).tolist()]
-                return [self._of_ids(a[i:j], b[x:y]) for (i, j), (x, y) in zip(pairwise(cuts_a), pairwise(cuts_b), strict=True)]
+                return self._groups(a, b, np.cumsum([len(t.encode()) for t in texts]))
         found: list[Piece | None] = []
         for text, of_a in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             a, b, raw = of_a.ids, self._ids_b(text), text.encode()
             same = b"".join(self.bytes_a[i] for i in a) == raw == b"".join(self.bytes_b[i] for i in b)
-            found.append(self._of_ids(a, b) if same else None)
+            found.append(self._groups(a, b, np.array([len(raw)]))[0] if same else None)
         return found
 
-    def of_text(self, text: str | None) -> list[Piece]:
-        parts = self.of(" " + text) if text else []
-        return [] if None in parts else parts
+    def of_documents(self, texts: list[str | None]) -> list[list[Piece]]:
+        """The pieces of each text; none where it is null, empty or not given back."""
+        found = iter(self.of_texts([" " + t for t in texts if t]))
+        pieces = [next(found) if t else [] for t in texts]
+        return [[] if None in own else own for own in pieces]
 
 
 @lru_cache(maxsize=2)
@@ -185,14 +201,14 @@ def align(docs: DataFrame, keep: list[str], path_a: str = BYTE_BPE, path_b: str
         for batch in batches:
             arrow = arrow or pa.schema([*(batch.schema.field(c) for c in keep), *_arrow(fields)])
             for some in common.slices(batch, "__text"):
-                found = [aligner.of_text(t) for t in some.column("__text").to_pylist()]
+                found = [list(zip(*own, strict=True)) for own in aligner.of_documents(some.column("__text").to_pylist())]
                 at = number + np.arange(len(found))
                 block = (part << 32) + at // postings.BLOCK
                 shown = {c: some.column(c) for c in keep} | {"block": pa.array(block), "row": pa.array(at % postings.BLOCK)}
-                shown["groups"] = pa.array([";".join(p.groups for p in own) for own in found], pa.string())
-                for c in ("n_a", "n_b", "n_groups"):
-                    shown[c] = pa.array([sum(getattr(p, c) for p in own) for own in found])
-                raw = [b"".join(p.links for p in own) for own in found]
+                for k, c in enumerate(("n_a", "n_b", "n_groups")):
+                    shown[c] = pa.array([sum(own[k]) if own else 0 for own in found])
+                shown["groups"] = pa.array([";".join(own[3]) if own else "" for own in found], pa.string())
+                raw = [b"".join(own[4]) if own else b"" for own in found]
                 shown["n_links"] = pa.array([len(x) // 8 for x in raw])
                 yield filled(shown, len(found))
                 for k, x in zip(at.tolist(), raw, strict=True):

@@ -20,8 +20,8 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces kept by a worker, and the longest piece kept: what bounds its memory.
-MAX_CACHED = 400_000
+#: Pieces kept by a worker, in two generations, and the longest piece kept: what bounds its memory.
+MAX_CACHED = 800_000
 MAX_CACHED_CHARS = 48
 #: Pieces handed to the library at once, by their characters.
 BATCH_CHARS = 65_536
@@ -121,8 +121,8 @@ class PieceCache:
     kept.
     """
 
-    def __init__(self, learn: Callable[[list[str], bool], list]):
-        self.learn = learn
+    def __init__(self, learn: Callable[[list[str], bool], list], most: int | None = None):
+        self.learn, self.most = learn, most or MAX_CACHED
         self.whole: list[dict[str, object]] = [{}, {}]
         self.spaced: list[dict[str, object]] = [{}, {}]
 
@@ -146,7 +146,7 @@ class PieceCache:
         missing = [x for x, value in met.items() if value is _ABSENT]
         moved = {x: older[x] for x in missing if x in older}
         fresh = moved | self._learn([x for x in missing if x not in moved], prefix)
-        if len(younger) + len(fresh) > MAX_CACHED // 2:
+        if len(younger) + len(fresh) > self.most // 2:
             kept[:] = [{}, younger]
         kept[0].update((x, value) for x, value in fresh.items() if len(x) <= MAX_CACHED_CHARS)
         return met | fresh

@@ -78,8 +78,9 @@ def test_pieces_align_as_whole_texts(whole):
     aligner = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE)
     assert aligner.cuts == " \n\t"
     texts = ["".join(draw.choices(parts, k=draw.randint(1, 14))) for _ in range(4000)]
-    for text in [*texts, " ", "\n", "  ", "a ", "x" * 3000]:
-        found = ";".join(p.groups for p in aligner.of_text(text))
+    texts += [" ", "\n", "  ", "a ", "x" * 3000, "", None]
+    for text, own in zip(texts, aligner.of_documents(texts), strict=True):
+        found = ";".join(p.groups for p in own)
         assert found == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in whole.groups(text)), repr(text)
 
 
