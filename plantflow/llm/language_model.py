@@ -10,14 +10,14 @@ over as many shards as there are shuffle partitions; those of words with more th
 dealt over several shards by their second word, too (whatever the sample says, results are the same). A shard's task
 counts its pairs over all training documents, keeps them as a trie in memory-mapped files (sorted contexts, pointers and
 context-relative successors as Elias-Fano sequences, probabilities in two bytes), and looks all its pairs up by
-successor search. It returns sums per document, and the postings of words not seen after their context; these and the
-words' own postings meet the words' counts in a join. Everything counted comes from all training documents. A shard has
-to fit into a task's memory, so shuffle partitions should grow with the input.
+successor search. It returns to each block sums per document, and the postings of words not seen after their context;
+there they meet the counts of the block's words, which come from a join. Everything counted comes from all training
+documents. A shard has to fit into a task's memory, so shuffle partitions should grow with the input.
 
 A null or empty text has its end only. A null id is not in training unless the caller's column says so; a null there
 means not in training. Rows are told apart by block and row, so repeated rows are documents of their own. Without
 training documents counts are 0 and every token has log10 probability 0. An empty table gives no rows. Columns of the
-input other than those kept are ignored. Words are told apart by their text; pairs by 64 bits of hash of each word.
+input other than those kept are ignored. Words are told apart by their text; pairs by 48 bits of hash of each word.
 """
 
 from __future__ import annotations
@@ -42,12 +42,13 @@ MASS = 1.0
 HOT = 500
 SAMPLE = 5_000
 #: Tokens gathered before what a block has so far is written.
-MOST_TOKENS = 3_000_000
+MOST_TOKENS = 1_200_000
 END, START = b"", b"\n"  # neither is a word
 #: A row of a block takes 13 bits; the others say that the document is not in training, and that an item begins here.
 _OUTSIDE, _FIRST = 1 << 15, 1 << 14
-_SEED = 42  # of Spark's xxhash64
+_SEED, _MASK = 42, (1 << 48) - 1  # of Spark's xxhash64, and the bits of it in use
 
+_TOLD = ["block", "rows", "times", "hashes"]
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 _WORDS = {"word": T.StringType(), "block": T.LongType(), "n": T.LongType(), "rows": T.BinaryType(), "times": T.BinaryType()}
 _PAIRS = {"shard": T.IntegerType(), "contexts": T.BinaryType(), "sizes": T.BinaryType(), "successors": T.BinaryType()}
@@ -55,7 +56,18 @@ _ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.IntegerType: pa.i
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w, _SEED) for w in words], dtype=np.uint64)
+    return np.array([xxhash.xxh64_intdigest(w, _SEED) & _MASK for w in words], dtype=np.uint64)
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """As six bytes each."""
+    return np.ascontiguousarray(hashes.astype("<u8").view("u1").reshape(-1, 8)[:, :6]).view("V6").ravel()
+
+
+def _long(raw: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(raw), 8), dtype="u1")
+    wide[:, :6] = raw.view("u1").reshape(-1, 6)
+    return wide.view("<u8").ravel()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,8 +80,9 @@ def _hot(docs: DataFrame, text_col: str, shards: int) -> dict[int, int]:
     n = docs.count()
     some = docs.sample(min(1.0, SAMPLE / max(1, n)), seed=1).select(common.ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("t"))
     words = some.select(F.explode(F.split("t", common.WHITE_RUN)).alias("word")).filter("word <> ''")
-    total = words.count()
-    most = words.groupBy("word").count().filter(F.col("count") * HOT > total).limit(HOT).collect()
+    counted = common.cut(words.groupBy("word").count())
+    total = counted.agg(F.sum("count")).first()[0] or 0
+    most = counted.filter(F.col("count") * HOT > total).limit(HOT).collect()
     dealt = {r["word"].encode(): math.ceil(2 * shards * r["count"] / total) for r in most}
     return {int(h): k for h, k in zip(_hash([*dealt, START]), [*dealt.values(), max(1, shards // 8)], strict=True)}
 
@@ -142,9 +155,9 @@ def _blocks(docs: DataFrame, keep: list[str], train: Column, text_col: str, shar
             of_entries = np.bincount(np.searchsorted(numbers, shard), weights=sizes, minlength=len(numbers)).astype(np.int64)
             shown = {
                 "shard": pa.array(numbers), "block": pa.array(np.full(len(numbers), block)),
-                "contexts": postings.binaries(context[order[starts]].astype("<u8"), of_shard),
+                "contexts": postings.binaries(_short(context[order[starts]]), of_shard),
                 "sizes": postings.binaries(np.diff(np.append(starts, len(order))).astype("<u4"), of_shard),
-                "successors": postings.binaries(successor[order].astype("<u8"), counts),
+                "successors": postings.binaries(_short(successor[order]), counts),
                 "rows": postings.binaries(marks[entries], of_entries), "times": postings.binaries(times[entries], of_entries),
             }
             yield filled("pair", shown, len(numbers))
@@ -180,7 +193,7 @@ def _blocks(docs: DataFrame, keep: list[str], train: Column, text_col: str, shar
 
 
 def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float) -> DataFrame:
-    """block, rows and codes: sums of codes per document; with hash, the postings of a word not seen after its context."""
+    """Per block: rows and sums of codes (as times); and with hashes, the postings of words not seen after their context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [[x for x in part] for part in zip(*(_opened(batch) for batch in batches), strict=True)]
@@ -218,47 +231,74 @@ def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float) -> DataFra
         key, place = np.unique(at[owner] * postings.BLOCK + rows, return_inverse=True)
         sums = np.bincount(place, code[number[owner]] * times.astype(np.float64), len(key)).astype("<u4")
         per_block = np.bincount(key // postings.BLOCK, minlength=len(blocks))
-        arrays = [pa.nulls(len(blocks), pa.int64()), pa.array(blocks), postings.binaries((key % postings.BLOCK).astype("<u2"), per_block)]
-        yield pa.RecordBatch.from_arrays([*arrays, postings.binaries(sums, per_block)], names=["hash", "block", "rows", "codes"])
-        away = ~known[number]
-        entries = away[owner]
-        arrays = [pa.array(successor[away].view(np.int64)), pa.array(block[away]), postings.binaries(rows[entries].astype("<u2"), size[away])]
-        arrays.append(postings.binaries(times[entries].astype("<u4"), size[away]))
-        yield pa.RecordBatch.from_arrays(arrays, names=["hash", "block", "rows", "codes"])
+        none = pa.nulls(len(blocks), pa.binary())
+        arrays = [pa.array(blocks), postings.binaries((key % postings.BLOCK).astype("<u2"), per_block), postings.binaries(sums, per_block), none]
+        yield pa.RecordBatch.from_arrays(arrays, names=_TOLD)
+        by_block = np.argsort(at[owner], kind="stable")
+        entries = by_block[~known[number[owner[by_block]]]]
+        per_block = np.bincount(at[owner[entries]], minlength=len(blocks))
+        columns = (rows[entries].astype("<u2"), times[entries].astype("u1"), _short(successor[owner[entries]]))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks), *(postings.binaries(x, per_block) for x in columns)], names=_TOLD)
 
-    return pairs.mapInArrow(run, "hash long, block long, rows binary, codes binary")
+    return pairs.mapInArrow(run, "block long, rows binary, times binary, hashes binary")
 
 
 def _opened(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """Context, successor, block and number of entries of each pair; marked rows and times of the entries."""
-    contexts, _ = postings.numbers(batch.column("contexts"), "<u8")
+    contexts, _ = postings.numbers(batch.column("contexts"), "V6")
     sizes, _ = postings.numbers(batch.column("sizes"), "<u4")
-    successors, counts = postings.numbers(batch.column("successors"), "<u8")
+    successors, counts = postings.numbers(batch.column("successors"), "V6")
     marks, _ = postings.numbers(batch.column("rows"), "<u2")
     times, _ = postings.numbers(batch.column("times"), "u1")
     starts = np.flatnonzero(marks & _FIRST)
     block = np.repeat(batch.column("block").to_numpy(), counts)
-    return np.repeat(contexts, sizes), successors, block, np.diff(np.append(starts, len(marks))), marks, times
+    return np.repeat(_long(contexts), sizes), _long(successors), block, np.diff(np.append(starts, len(marks))), marks, times
 
 
-def _summed(told: DataFrame) -> DataFrame:
-    """Per document: base, n_known and own (sums over postings), from block, rows, times or codes, log10_p, known."""
+def _summed(told: DataFrame, all_tokens: float) -> DataFrame:
+    """Per document: base, known and own (sums), from the words' postings (c, hash) and the shards' answers (no c)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = postings.Sums(3)
+        words: list[tuple[np.ndarray, ...]] = []  # block, hash and log10 p of the words of the task's blocks
+        away: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            block, p, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "log10_p", "known"))
-            rows, counts = postings.numbers(batch.column("rows"), "<u2")
-            times, base = postings.numbers(batch.column("times"), "u1")
-            codes, own = postings.numbers(batch.column("codes"), "<u4")
-            rows = (rows & (postings.BLOCK - 1)).astype(np.int64)
-            owner = np.repeat(np.arange(len(block)), counts)
-            of_base, of_own = (base > 0)[owner], (own > 0)[owner]
-            value = np.zeros((3, len(rows)))
-            value[0, of_base] = times * p[owner[of_base]]
-            value[1, of_base] = times * known[owner[of_base]]
-            value[2, of_own] = codes * p[owner[of_own]]
-            sums.add(block[owner], rows, list(value))
+            block, c = batch.column("block").to_numpy(), batch.column("c").to_numpy(zero_copy_only=False)
+            of_word = ~np.isnan(c.astype(np.float64))
+            own, answers = batch.filter(pa.array(of_word)), batch.filter(pa.array(~of_word))
+            if own.num_rows:
+                counts = c[of_word].astype(np.float64)
+                p = np.log10((counts + 1) / all_tokens)
+                words.append((block[of_word], own.column("hash").to_numpy().view(np.uint64) & np.uint64(_MASK), p))
+                rows, sizes = postings.numbers(own.column("rows"), "<u2")
+                times, _ = postings.numbers(own.column("times"), "u1")
+                values = [times * np.repeat(p, sizes), times * np.repeat(counts > 0, sizes), np.zeros(len(rows))]
+                sums.add(np.repeat(block[of_word], sizes), (rows & (postings.BLOCK - 1)).astype(np.int64), values)
+            blocks = block[~of_word]
+            sent = answers.column("hashes").is_null().to_numpy(zero_copy_only=False) if answers.num_rows else np.zeros(0, bool)
+            if sent.any():
+                codes = answers.filter(pa.array(sent))
+                rows, sizes = postings.numbers(codes.column("rows"), "<u2")
+                total, _ = postings.numbers(codes.column("times"), "<u4")
+                zero = np.zeros(len(rows))
+                sums.add(np.repeat(blocks[sent], sizes), rows.astype(np.int64), [zero, zero, -elias_fano.UNIT * total])
+            if (~sent).any():
+                unseen = answers.filter(pa.array(~sent))
+                rows, sizes = postings.numbers(unseen.column("rows"), "<u2")
+                times, _ = postings.numbers(unseen.column("times"), "u1")
+                hashes, _ = postings.numbers(unseen.column("hashes"), "V6")
+                away.append((np.repeat(blocks[~sent], sizes), _long(hashes), rows.astype(np.int64), times.astype(np.float64)))
+        if words and away:
+            block, hashes, p = (np.concatenate(x) for x in zip(*words, strict=True))
+            of_block, asked, rows, times = (np.concatenate(x) for x in zip(*away, strict=True))
+            order = np.lexsort((hashes, block))
+            block, hashes, p = block[order], hashes[order], p[order]
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)], strict=True):
+                here = np.flatnonzero(of_block == block[start])
+                found = p[start + np.searchsorted(hashes[start:end], asked[here])]  # a block's words are all there
+                zero = np.zeros(len(here))
+                sums.add(of_block[here], rows[here], [zero, zero, found * times[here]])
         yield from sums.batches(["base", "known", "own"])
 
     return told.repartition("block").mapInArrow(run, "block long, row int, base double, known double, own double")
@@ -281,20 +321,14 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col="text", mass
     counts = common.cut(words.groupBy("word").agg(F.sum("n").alias("c"), F.xxhash64("word").alias("hash")))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     # totals of the words that several shards share: fewer than HOT
-    named = {h if h < 1 << 63 else h - (1 << 64): h for h in (*hot, int(_hash([END])[0]))}
-    totals = {named[r["hash"]]: r["c"] for r in counts.filter(F.col("hash").isin(list(named))).select("hash", "c").collect()}
+    named, short = [*hot, int(_hash([END])[0])], F.col("hash").bitwiseAND(F.lit(_MASK))
+    totals = {r["short"]: r["c"] for r in counts.select(short.alias("short"), "c").filter(F.col("short").isin(named)).collect()}
     totals[int(_hash([START])[0])] = totals.pop(int(_hash([END])[0]), 0)  # a document has one of each
     pairs = stored("pair", {"block": T.LongType(), "rows": T.BinaryType(), "times": T.BinaryType()} | _PAIRS)
-    _of_shards(pairs.repartitionById(shards, F.col("shard")), totals, mass).write.parquet(f"{folder}/answers")
-    answers = spark.read.schema("hash long, block long, rows binary, codes binary").parquet(f"{folder}/answers")
-
-    p = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    none, no = F.lit(None).cast("binary"), F.lit(False)
-    base = words.join(counts, "word").select("block", "rows", "times", none.alias("codes"), p.alias("log10_p"), (F.col("c") > 0).alias("known"))
-    away = common.join_counted(answers.filter("hash IS NOT NULL"), counts.select("hash", "c"), ["hash"])
-    away = away.select("block", "rows", none.alias("times"), "codes", p.alias("log10_p"), no.alias("known"))
-    own = answers.filter("hash IS NULL").select("block", "rows", none.alias("times"), "codes", F.lit(-elias_fano.UNIT).alias("log10_p"), no.alias("known"))
-    sums = _summed(base.unionByName(away).unionByName(own))
+    answers = _of_shards(pairs.repartitionById(shards, F.col("shard")), totals, mass)
+    none = F.lit(None)
+    base = words.join(counts, "word").select("block", "rows", "times", none.cast("binary").alias("hashes"), "c", "hash")
+    sums = _summed(base.unionByName(answers.withColumns({"c": none.cast("bigint"), "hash": none.cast("bigint")})), float(n + v + 1))
     kept = {c: docs.schema[c].dataType for c in keep}
     documents = stored("document", kept | {"block": T.LongType(), "row": T.IntegerType(), "held_out": T.BooleanType(), "n_tokens": T.LongType()})
     zero = F.lit(0.0)
