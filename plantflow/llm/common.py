@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plantflow.sources import shared
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What separates words when only white space does, and when all ASCII but digits and letters does.
 WHITE = " \t\n\x0b\f\r"
@@ -24,11 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new one of this machine where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="plantflow-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a new one of this machine, with a local
+    master only (tests)."""
+    folder = shared.folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -162,6 +162,14 @@ def test_declared_pages_count_for_open_ones(spark, chunk, monkeypatch):
     }
 
 
+def test_rows_that_differ_in_what_is_null(spark):
+    rows = [(1, "plain body text one", None), (1, None, "plain body text one"), (None, "plain body text one", "1"), (None, None, None)]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(((r["page_id"], r["url"], r["text"]) for r in found), key=str) == sorted(
+        [(1, "plain body text one", ""), (1, None, "plain body text one"), (None, "plain body text one", "1"), (None, None, "")], key=str
+    )
+
+
 def test_articles_of_the_sample(spark):
     pages = spark.read.parquet(f"{data('sf0.001')}/pages.parquet")
     sources = {r["page_id"]: r["html"] for r in pages.collect()}
