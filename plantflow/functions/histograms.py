@@ -47,5 +47,18 @@ def histogram_quantile(bounds: Column, counts: Column, q: float) -> Column:
 
 
 def exponential_bucket(value: Column, scale: int) -> Column:
-    """Index i of the bucket (base^i, base^(i+1)] with base 2^(2^-scale); null for values that are not positive."""
-    return F.when(value > 0, (F.ceil(F.log2(value) * F.lit(float(2.0**scale))) - 1).cast("int"))
+    """Index i of the bucket (base^i, base^(i+1)] with base 2^(2^-scale); null for values that are not positive.
+
+    The logarithm may be off by a bit next to a bucket's bounds, so the index it gives is held against them. Powers of two
+    are exact bounds.
+    """
+    steps = F.lit(float(2.0**scale))
+    guess = (F.ceil(F.log2(value) * steps) - 1).cast("int")
+
+    def bound(index: Column) -> Column:
+        """The power of two that is a factor of it comes exactly, and the rest by pow()."""
+        whole = F.floor(index / steps)
+        return F.pow(F.lit(2.0), whole.cast("double")) * F.pow(F.lit(2.0), index / steps - whole)
+
+    fitting = F.when(value <= bound(guess), guess - 1).when(value > bound(guess + 1), guess + 1).otherwise(guess)
+    return F.when(value > 0, fitting)

@@ -166,13 +166,21 @@ _CTES = {
                     ELSE kind END AS text
         FROM ev""",
     "logged": "SELECT * FROM tel WHERE severity <> 'DEBUG'",
+    "shown": """
+        SELECT *, '{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || '"' AS head,
+               '"host.name":"' || host || '"' || COALESCE(',"deployment.environment":"' || environment || '"', '') || '}}' AS tail
+        FROM tel""",
     "metered": """
         SELECT 'logs' AS signal, ts, CAST(NULL AS VARCHAR) AS service, environment, host,
-               length('PLANT | ' || host || ' | ' || component || ' | ' || text) AS size FROM tel
+               strlen(head || ',"severity":"' || severity || '","body":"PLANT | ' || host || ' | ' || component || ' | '
+                      || text || '","resource":{' || tail) AS size FROM shown
         UNION ALL
-        SELECT 'traces', ts, kind, environment, host, length(CAST(CAST(trunc(reading) AS INTEGER) AS VARCHAR)) FROM tel
+        SELECT 'traces', ts, kind, environment, host,
+               strlen(head || ',"duration_ms":' || reading || ',"attributes":{"service.name":"' || kind || '",' || tail)
+        FROM shown
         UNION ALL
-        SELECT 'metrics', ts, NULL, environment, host, length('pieces') FROM tel WHERE kind = 'view'""",
+        SELECT 'metrics', ts, NULL, environment, host, strlen(head || ',"name":"pieces","attributes":{' || tail)
+        FROM shown WHERE kind = 'view'""",
     "bucketed": "SELECT *, "
     + " + ".join(f"CAST(reading > {bound} AS INTEGER)" for bound in LATENCY_BOUNDS_MS)
     + " AS bucket FROM tel",
@@ -213,7 +221,8 @@ _NEEDS = {
     "progressed": ["stated"],
     "tel": ["ev"],
     "logged": ["tel"],
-    "metered": ["tel"],
+    "shown": ["tel"],
+    "metered": ["shown"],
     "bucketed": ["tel"],
     "accumulated": ["bucketed", "limits"],
 }

@@ -93,23 +93,28 @@ def reconnects(parsed: DataFrame) -> DataFrame:
 def meter_records(
     logs: DataFrame | None = None, spans: DataFrame | None = None, metrics: DataFrame | None = None
 ) -> DataFrame:
-    """What the meter counts: signal, time, attributes and size in characters of every record."""
+    """What the meter counts: signal, time, attributes and size of every record.
+
+    The size is the bytes of the whole record as JSON: all its columns under their names, without those that are null,
+    times as ISO 8601 in UTC.
+    """
     parts = []
     if logs is not None:
-        parts.append(_meter_part(logs, "logs", "resource", F.length("body")))
+        parts.append(_meter_part(logs, "logs", "resource"))
     if spans is not None:
-        parts.append(_meter_part(spans, "traces", "attributes", F.length(F.col("duration_ms").cast("int").cast("string"))))
+        parts.append(_meter_part(spans, "traces", "attributes"))
     if metrics is not None:
-        parts.append(_meter_part(metrics, "metrics", "attributes", F.length("name")))
+        parts.append(_meter_part(metrics, "metrics", "attributes"))
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
     return merged
 
 
-def _meter_part(df: DataFrame, signal: str, attributes: str, size: Column) -> DataFrame:
+def _meter_part(df: DataFrame, signal: str, attributes: str) -> DataFrame:
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"timeZone": "UTC"})
     return df.select(
-        F.lit(signal).alias("signal"), "ts", F.col(attributes).alias("attributes"), size.cast("bigint").alias("size")
+        F.lit(signal).alias("signal"), "ts", F.col(attributes).alias("attributes"), F.octet_length(record).cast("bigint").alias("size")
     )
 
 

@@ -1,6 +1,7 @@
 """Hand-made cases of the production figures and the other reports, and known totals on the sample tables."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -376,3 +377,12 @@ def test_watchdog_and_observability_totals(spark):
     )
     p95 = {r.service_name: round(r.p95, 3) for r in registry.queries()["latency_quantiles"](spark, sf).collect()}
     assert p95 == {"click": 200.904, "error": 199.375, "purchase": 192.119, "signup": 197.652, "view": 196.621}
+
+
+@pytest.mark.parametrize("scale", [0, 3, 8])
+def test_exponential_buckets_at_their_bounds(spark, scale):
+    """A power of two belongs to the bucket it ends; the next number above to the following one."""
+    rows = [(2.0**k, math.nextafter(2.0**k, math.inf), k * 2**scale) for k in range(-300, 301)]
+    df = spark.createDataFrame(rows, "at double, above double, i int")
+    buckets = [histograms.exponential_bucket(F.col(c), scale).alias(c) for c in ("at", "above")]
+    assert all((r["at"], r["above"]) == (r["i"] - 1, r["i"]) for r in df.select("i", *buckets).collect())
