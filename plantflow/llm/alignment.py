@@ -41,8 +41,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Links gathered before the bitmaps of what a block has so far are written; they are united afterwards.
 MOST_LINKS = 2_000_000
-#: Pieces kept by a worker.
-MOST_PIECES = 500_000
+#: Bytes of text handled at once, and pieces kept by a worker: with the links, what bounds its memory.
+SLICE_BYTES, MOST_PIECES = 1 << 20, 240_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _SPACE = "▁"
 
@@ -200,7 +200,7 @@ def align(docs: DataFrame, keep: list[str], path_a: str = BYTE_BPE, path_b: str
 
         for batch in batches:
             arrow = arrow or pa.schema([*(batch.schema.field(c) for c in keep), *_arrow(fields)])
-            for some in common.slices(batch, "__text"):
+            for some in common.slices(batch, "__text", SLICE_BYTES):
                 found = [list(zip(*own, strict=True)) for own in aligner.of_documents(some.column("__text").to_pylist())]
                 at = number + np.arange(len(found))
                 block = (part << 32) + at // postings.BLOCK
