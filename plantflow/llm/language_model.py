@@ -4,20 +4,20 @@ The model: p(w | v) is c(v w) / (c(v) + MASS) for a word seen after v in trainin
 MASS), times p(w) for any other; p(w) is (c(w) + 1) / (N + V + 1). Every text begins after a start and ends with an end,
 which counts as a token. Seen words take no share of what is left, so probabilities of all words add up to 1 at most.
 
-Words travel to the model, not the model to the words. One pass cuts documents into blocks and writes, per block, each
-word and each pair of neighbours once, with the rows of the documents that hold it. Pairs are dealt by their first word
-over as many shards as there are shuffle partitions; those of words with more than one in HOT of a sample's tokens are
-dealt over several shards by their second word, too (whatever the sample says, results are the same). A shard's task
-counts its pairs over all training documents, keeps them as a trie in memory-mapped files (sorted contexts, pointers and
-context-relative successors as Elias-Fano sequences, probabilities in two bytes), and looks all its pairs up by
-successor search. It returns to each block sums per document, and the postings of words not seen after their context;
-there they meet the counts of the block's words, which come from a join. Everything counted comes from all training
-documents. A shard has to fit into a task's memory, so shuffle partitions should grow with the input.
+Words travel to the model, not the model to the words. Documents are numbered by blocks; a pass over them packs, per block,
+each word once with the rows of the documents that hold it, and deals the words over as many shards as there are shuffle
+partitions. A shard's task counts its words over all training documents and sends sums per document back. A second pass
+does the same with pairs of neighbours, dealt by their first word; those of words with more than one in HOT of a sample's
+tokens are dealt over several shards by their second word, too (whatever the sample says, results are the same). A
+shard's task keeps its pairs as a trie in memory-mapped files (sorted contexts, pointers and context-relative successors
+as Elias-Fano sequences, probabilities in two bytes), and looks all its pairs up by successor search. Words not seen
+after their context go on to the shards of words for their counts. Everything counted comes from all training documents.
+A shard has to fit into a task's memory, so shuffle partitions should grow with the input.
 
 A null or empty text has its end only. A null id is not in training unless the caller's column says so; a null there
 means not in training. Rows are told apart by block and row, so repeated rows are documents of their own. Without
 training documents counts are 0 and every token has log10 probability 0. An empty table gives no rows. Columns of the
-input other than those kept are ignored. Words are told apart by their text; pairs by 48 bits of hash of each word.
+input other than those kept are ignored. Words are told apart by 64 bits of hash, in pairs by 48.
 """
 
 from __future__ import annotations
@@ -25,15 +25,14 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plantflow.llm import common, elias_fano, postings
 
@@ -42,21 +41,21 @@ MASS = 1.0
 HOT = 500
 SAMPLE = 5_000
 #: Tokens gathered before what a block has so far is written.
-MOST_TOKENS = 1_200_000
+MOST_TOKENS = 2_000_000
 END, START = b"", b"\n"  # neither is a word
 #: A row of a block takes 13 bits; the others say that the document is not in training, and that an item begins here.
 _OUTSIDE, _FIRST = 1 << 15, 1 << 14
-_SEED, _MASK = 42, (1 << 48) - 1  # of Spark's xxhash64, and the bits of it in use
+_SEED, _MASK = 42, np.uint64((1 << 48) - 1)  # of XXH64, and its bits that pairs use
 
-_TOLD = ["block", "rows", "times", "hashes"]
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-_WORDS = {"word": T.StringType(), "block": T.LongType(), "n": T.LongType(), "rows": T.BinaryType(), "times": T.BinaryType()}
-_PAIRS = {"shard": T.IntegerType(), "contexts": T.BinaryType(), "sizes": T.BinaryType(), "successors": T.BinaryType()}
-_ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.BinaryType: pa.binary(), T.BooleanType: pa.bool_()}
+_WORDS = "shard int, block long, hashes binary, rows binary, times binary"
+_PAIRS = "shard int, block long, contexts binary, sizes binary, successors binary, rows binary, times binary"
+_SUMS = "block long, rows binary, base binary, known binary, n binary, own binary"
+_COUNTS = "shard int, hashes binary, counts binary"
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w, _SEED) & _MASK for w in words], dtype=np.uint64)
+    return np.array([xxhash.xxh64_intdigest(w, _SEED) for w in words], dtype=np.uint64)
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -84,7 +83,7 @@ def _hot(docs: DataFrame, text_col: str, shards: int) -> dict[int, int]:
     total = counted.agg(F.sum("count")).first()[0] or 0
     most = counted.filter(F.col("count") * HOT > total).limit(HOT).collect()
     dealt = {r["word"].encode(): math.ceil(2 * shards * r["count"] / total) for r in most}
-    return {int(h): k for h, k in zip(_hash([*dealt, START]), [*dealt.values(), max(1, shards // 8)], strict=True)}
+    return {int(h): k for h, k in zip(_hash([*dealt, START]) & _MASK, [*dealt.values(), max(1, shards // 8)], strict=True)}
 
 
 class _Shards:
@@ -98,6 +97,9 @@ class _Shards:
         parts = np.where(self.words[at] == contexts, self.parts[at], np.uint64(1))
         return (_mixed(contexts + _mixed(successors) % parts) % np.uint64(self.n)).astype(np.int64)
 
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
+        return (_mixed(hashes & _MASK) % np.uint64(self.n)).astype(np.int64)
+
 
 def _items(keys: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of numbers item * BLOCK + row: distinct items, entries of each, rows with their marks, and times (255 at most, so
@@ -115,106 +117,186 @@ def _items(keys: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return item[starts], np.diff(np.append(starts, len(item))), marks.astype("<u2"), shown.astype("u1")
 
 
-def _blocks(docs: DataFrame, keep: list[str], train: Column, text_col: str, shards: int, hot: dict[int, int], folder: str) -> None:
-    """Writes documents, words and pairs of all blocks below the folder, by kind."""
-    kept = docs.select(*(F.col(f"`{c}`") for c in keep), F.coalesce(train, F.lit(False)).alias("__train"), F.col(text_col).alias("__text"))
-    fields = {"kind": T.StringType(), "row": T.IntegerType(), "held_out": T.BooleanType(), "n_tokens": T.LongType()} | _WORDS | _PAIRS
-    schema = T.StructType([*(kept.schema[c] for c in keep), *(T.StructField(c, t) for c, t in fields.items())])
+def _dealt(numbered: DataFrame, schema: str, pack: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], dict]) -> DataFrame:
+    """Rows of packed items by shard and block. pack(known words, a code of each token, rows, which rows are not in training)
+    returns the columns of a part of a block."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, deal = TaskContext.get().partitionId(), _Shards(shards, hot)
-        number, many, arrow = 0, 0, None
-        held: list[tuple[pa.Array, np.ndarray]] = []  # words of documents, and the place of each in its document's block
-        outside = np.zeros(postings.BLOCK, dtype=bool)
-
-        def filled(kind: str, columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
-            columns = columns | {"kind": pa.array([kind] * n)}
-            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)).cast(f.type) for f in arrow], schema=arrow)
+        held: list[tuple[pa.Array, np.ndarray]] = []
+        outside, many, own = np.zeros(postings.BLOCK, dtype=bool), 0, None
 
-        def written(block: int) -> Iterator[pa.RecordBatch]:
+        def packed() -> pa.RecordBatch:
             words = pa.chunked_array([w for w, _ in held]).unify_dictionaries().combine_chunks()
             words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-            known, codes = words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64)
-            rows = np.concatenate([r for _, r in held]).astype(np.int64)
-            item, sizes, marks, times = _items(codes * postings.BLOCK + rows, outside)
-            trained = np.bincount(np.repeat(np.arange(len(item)), sizes), np.where(marks & _OUTSIDE, 0, times), len(item)).astype(np.int64)
-            shown = {"word": pa.array([known[k].decode() for k in item.tolist()]), "block": pa.array(np.full(len(item), block)), "n": pa.array(trained)}
-            yield filled("word", shown | {"rows": postings.binaries(marks, sizes), "times": postings.binaries(times, sizes)}, len(item))
-            first = np.concatenate([[True], codes[:-1] == known.index(END)])
-            before = np.where(first, len(known), np.concatenate([[0], codes[:-1]]))
-            item, sizes, marks, times = _items((before * (len(known) + 1) + codes) * postings.BLOCK + rows, outside)
-            hashes = _hash([*known, START])
-            context, successor = hashes[item // (len(known) + 1)], hashes[item % (len(known) + 1)]
-            shard = deal.of(context, successor)
-            order = np.argsort(shard, kind="stable")
-            entries = np.argsort(np.repeat(shard, sizes), kind="stable")
-            numbers, counts = np.unique(shard, return_counts=True)
-            new = np.concatenate([[True], (context[order[1:]] != context[order[:-1]]) | (shard[order[1:]] != shard[order[:-1]])])
-            starts = np.flatnonzero(new)
-            of_shard = np.bincount(np.searchsorted(numbers, shard[order[starts]]), minlength=len(numbers))
-            of_entries = np.bincount(np.searchsorted(numbers, shard), weights=sizes, minlength=len(numbers)).astype(np.int64)
-            shown = {
-                "shard": pa.array(numbers), "block": pa.array(np.full(len(numbers), block)),
-                "contexts": postings.binaries(_short(context[order[starts]]), of_shard),
-                "sizes": postings.binaries(np.diff(np.append(starts, len(order))).astype("<u4"), of_shard),
-                "successors": postings.binaries(_short(successor[order]), counts),
-                "rows": postings.binaries(marks[entries], of_entries), "times": postings.binaries(times[entries], of_entries),
-            }
-            yield filled("pair", shown, len(numbers))
+            rows = np.concatenate([r for _, r in held])
+            shown = pack(words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64), rows, outside)
+            shown["block"] = pa.array(np.full(len(shown["shard"]), own))
+            return pa.RecordBatch.from_arrays([shown[c] for c in names], names=names)
 
         for batch in batches:
-            arrow = arrow or pa.schema([*(batch.schema.field(c) for c in keep), *(pa.field(c, _ARROW[type(t)]) for c, t in fields.items())])
-            for some in common.slices(batch, "__text"):
+            for some in common.slices(batch, "text"):
                 # lower() of bytes is that of A to Z, split() of bytes that of ASCII white space
-                texts = [[*(t or "").encode().lower().split(), END] for t in some.column("__text").to_pylist()]
-                sizes, at = np.array(list(map(len, texts))), number + np.arange(len(texts))
-                train_here = some.column("__train").to_numpy(zero_copy_only=False)
-                shown = {c: some.column(c) for c in keep} | {"block": pa.array((part << 32) + at // postings.BLOCK), "row": pa.array(at % postings.BLOCK)}
-                yield filled("document", shown | {"held_out": pa.array(~train_here), "n_tokens": pa.array(sizes)}, len(texts))
-                begin = 0
-                while begin < len(texts):
-                    end = min(len(texts), begin + postings.BLOCK - (number + begin) % postings.BLOCK)
-                    flat = pa.array([w for words in texts[begin:end] for w in words], pa.binary()).dictionary_encode()
-                    rows = at[begin:end] % postings.BLOCK
-                    outside[rows] = ~train_here[begin:end]
-                    held.append((flat, np.repeat(rows, sizes[begin:end])))
+                texts = [[*(t or "").encode().lower().split(), END] for t in some.column("text").to_pylist()]
+                sizes = np.array(list(map(len, texts)))
+                block, row = some.column("block").to_numpy(), some.column("row").to_numpy().astype(np.int64)
+                away = ~some.column("train").to_numpy(zero_copy_only=False)
+                for here in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(block)) + 1):
+                    if held and (block[here[0]] != own or many >= MOST_TOKENS):
+                        yield packed()
+                        held, many = [], 0
+                    own = int(block[here[0]])
+                    flat = pa.array([w for k in here.tolist() for w in texts[k]], pa.binary()).dictionary_encode()
+                    held.append((flat, np.repeat(row[here], sizes[here])))
+                    outside[row[here]] = away[here]
                     many += len(flat)
-                    if many >= MOST_TOKENS or (number + end) % postings.BLOCK == 0:
-                        yield from written((part << 32) + (number + end - 1) // postings.BLOCK)
-                        held.clear()
-                        many = 0
-                    begin = end
-                number += len(texts)
         if held:
-            yield from written((part << 32) + (number - 1) // postings.BLOCK)
+            yield packed()
+
+    return numbered.select("block", "row", "train", "text").mapInArrow(run, schema)
+
+
+def _by_shard(shard: np.ndarray, sizes: np.ndarray, marks: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+    """(order of the items by shard, how many each shard has, the columns all packed rows have)."""
+    order = np.argsort(shard, kind="stable")
+    entries = np.argsort(np.repeat(shard, sizes), kind="stable")
+    numbers, counts = np.unique(shard, return_counts=True)
+    of_entries = np.bincount(np.searchsorted(numbers, shard), weights=sizes, minlength=len(numbers)).astype(np.int64)
+    shown = {"shard": pa.array(numbers.astype(np.int32)), "rows": postings.binaries(marks[entries], of_entries)}
+    return order, counts, shown | {"times": postings.binaries(times[entries], of_entries)}
+
+
+def _words(deal: _Shards) -> Callable:
+    def pack(known: list[bytes], codes: np.ndarray, rows: np.ndarray, outside: np.ndarray) -> dict:
+        item, sizes, marks, times = _items(codes * postings.BLOCK + rows, outside)
+        hashes = _hash(known)[item]
+        order, counts, shown = _by_shard(deal.of_words(hashes), sizes, marks, times)
+        return shown | {"hashes": postings.binaries(hashes[order].astype("<u8"), counts)}
+
+    return pack
+
+
+def _pairs(deal: _Shards) -> Callable:
+    def pack(known: list[bytes], codes: np.ndarray, rows: np.ndarray, outside: np.ndarray) -> dict:
+        first = np.concatenate([[True], codes[:-1] == known.index(END)])
+        before = np.where(first, len(known), np.concatenate([[0], codes[:-1]]))
+        item, sizes, marks, times = _items((before * (len(known) + 1) + codes) * postings.BLOCK + rows, outside)
+        hashes = _hash([*known, START]) & _MASK
+        context, successor = hashes[item // (len(known) + 1)], hashes[item % (len(known) + 1)]
+        shard = deal.of(context, successor)
+        order, counts, shown = _by_shard(shard, sizes, marks, times)
+        context, shard = context[order], shard[order]
+        starts = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])]))
+        of_contexts = np.unique(shard[starts], return_counts=True)[1]
+        return shown | {
+            "contexts": postings.binaries(_short(context[starts]), of_contexts),
+            "sizes": postings.binaries(np.diff(np.append(starts, len(order))).astype("<u4"), of_contexts),
+            "successors": postings.binaries(_short(successor[order]), counts),
+        }
+
+    return pack
+
+
+def _entries(batch: pa.RecordBatch, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Block and number of entries of each item; marked rows and times of the entries. counts: items of each packed row."""
+    marks, _ = postings.numbers(batch.column("rows"), "<u2")
+    times, _ = postings.numbers(batch.column("times"), "u1")
+    starts = np.flatnonzero(marks & _FIRST)
+    return np.repeat(batch.column("block").to_numpy(), counts), np.diff(np.append(starts, len(marks))), marks, times
+
+
+def _trained(size: np.ndarray, marks: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Occurrences of each item in training documents."""
+    owner = np.repeat(np.arange(len(size)), size)
+    return np.bincount(owner, np.where(marks & _OUTSIDE, 0, times), len(size)).astype(np.int64)
+
+
+def _returned(block: np.ndarray, rows: np.ndarray, **values: np.ndarray) -> pa.RecordBatch:
+    """Sums of values per block and row, as packed rows of _SUMS."""
+    names = [f.split()[0] for f in _SUMS.split(", ")]
+    blocks, at = np.unique(block, return_inverse=True)
+    key, place = np.unique(at * postings.BLOCK + rows, return_inverse=True)
+    per_block = np.bincount(key // postings.BLOCK, minlength=len(blocks))
+    shown = {"block": pa.array(blocks), "rows": postings.binaries((key % postings.BLOCK).astype("<u2"), per_block)}
+    for name, value in values.items():
+        kind = "<u4" if name in ("known", "n") else "<f8"
+        shown[name] = postings.binaries(np.bincount(place, value, len(key)).astype(kind), per_block)
+    return pa.RecordBatch.from_arrays([shown.get(c, pa.nulls(len(blocks), pa.binary())) for c in names], names=names)
 
-    rows = kept.mapInArrow(run, schema)
-    rows.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
 
+def _widened(part: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    kinds = {"shard": pa.int32(), "block": pa.int64()}
+    columns = [part.column(c) if c in part.schema.names else pa.nulls(part.num_rows, kinds.get(c, pa.binary())) for c in names]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
-def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float) -> DataFrame:
-    """Per block: rows and sums of codes (as times); and with hashes, the postings of words not seen after their context."""
+
+def _counted(words: DataFrame) -> DataFrame:
+    """A shard's words: sums per document (base: of log10(c + 1), known, n), and its counts (with a shard number)."""
+    names = ["shard", "hashes", "counts", *(f.split()[0] for f in _SUMS.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [[x for x in part] for part in zip(*(_opened(batch) for batch in batches), strict=True)]
+        found, shard = [], None
+        for batch in batches:
+            hashes, counts = postings.numbers(batch.column("hashes"), "<u8")
+            found.append((hashes, *_entries(batch, counts)))
+            shard = batch.column("shard")[0].as_py()
         if not found:
             return
-        context, successor, block, size, marks, times = (np.concatenate(x) for x in found)
-        owner = np.repeat(np.arange(len(context)), size)
-        trained = np.bincount(owner, np.where(marks & _OUTSIDE, 0, times), len(context)).astype(np.int64)
+        hashes, block, size, marks, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        known, number = np.unique(hashes, return_inverse=True)
+        c = np.bincount(number, _trained(size, marks, times), len(known)).astype(np.int64)
+        counts = [pa.array([shard], pa.int32()), *(postings.binaries(x, np.array([len(x)])) for x in (known.astype("<u8"), c.astype("<i8")))]
+        yield _widened(pa.RecordBatch.from_arrays(counts, names=names[:3]), names)
+        owner = np.repeat(number, size)
+        rows, times = (marks & (postings.BLOCK - 1)).astype(np.int64), times.astype(np.float64)
+        of = np.repeat(block, size)
+        yield _widened(_returned(of, rows, base=np.log10(c + 1)[owner] * times, known=(c > 0)[owner] * times, n=times), names)
+
+    return words.mapInArrow(run, f"{_COUNTS}, {_SUMS}")
+
+
+def _totals(counts: DataFrame, named: list[int]) -> tuple[int, int, dict[int, int]]:
+    """(N, V, counts of the named words by 48 bits of their hashes); named are fewer than HOT."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, _ = postings.numbers(batch.column("hashes"), "<u8")
+            c, _ = postings.numbers(batch.column("counts"), "<i8")
+            at = np.flatnonzero(np.isin(hashes & _MASK, np.array(named, dtype=np.uint64)))
+            keys = np.concatenate([[-1, -2], (hashes[at] & _MASK).astype(np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([[c.sum(), (c > 0).sum()], c[at]]))], names=["key", "n"])
+
+    found = {r["key"]: r["n"] for r in counts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    return found.pop(-1, 0), found.pop(-2, 0), found
+
+
+def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float, deal: _Shards) -> DataFrame:
+    """A shard's pairs: sums per document of log10 probabilities (own), and the postings of words not seen after their
+    context, for the shards of these words."""
+    names = list(dict.fromkeys(f.split()[0] for f in f"{_WORDS}, {_SUMS}".split(", ")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            contexts, _ = postings.numbers(batch.column("contexts"), "V6")
+            sizes, _ = postings.numbers(batch.column("sizes"), "<u4")
+            successors, counts = postings.numbers(batch.column("successors"), "V6")
+            found.append((np.repeat(_long(contexts), sizes), _long(successors), *_entries(batch, counts)))
+        if not found:
+            return
+        context, successor, block, size, marks, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
         order = np.lexsort((successor, context))
         new = np.concatenate([[True], (context[order[1:]] != context[order[:-1]]) | (successor[order[1:]] != successor[order[:-1]])])
-        distinct = order[new]
+        v, w = context[order[new]], successor[order[new]]
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(new) - 1
-        counts = np.bincount(number, trained, len(distinct)).astype(np.int64)
-        v, w = context[distinct], successor[distinct]
+        counts = np.bincount(number, _trained(size, marks, times), len(v)).astype(np.int64)
         seen = counts > 0
         own_v, starts = np.unique(v, return_index=True)
         total = np.add.reduceat(counts, starts)
         total = np.array([totals.get(int(h), t) for h, t in zip(own_v.tolist(), total.tolist(), strict=True)])
-        there = total > 0
-        own_v, total = own_v[there], total[there]
+        own_v, total = own_v[total > 0], total[total > 0]
 
         def of(contexts: np.ndarray) -> np.ndarray:
             return total[np.searchsorted(own_v, contexts)] + mass
@@ -226,82 +308,66 @@ def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float) -> DataFra
             # a part of a frequent context without any of its own still has the context's total
             unheld = np.flatnonzero(~known & np.isin(v, own_v) & ~np.isin(v, v[seen]))
             code[unheld] = elias_fano.quantised(np.log10(mass / of(v[unheld])))
+            del trie
+        owner = np.repeat(np.arange(len(number)), size)
         rows = (marks & (postings.BLOCK - 1)).astype(np.int64)
-        blocks, at = np.unique(block, return_inverse=True)
-        key, place = np.unique(at[owner] * postings.BLOCK + rows, return_inverse=True)
-        sums = np.bincount(place, code[number[owner]] * times.astype(np.float64), len(key)).astype("<u4")
-        per_block = np.bincount(key // postings.BLOCK, minlength=len(blocks))
-        none = pa.nulls(len(blocks), pa.binary())
-        arrays = [pa.array(blocks), postings.binaries((key % postings.BLOCK).astype("<u2"), per_block), postings.binaries(sums, per_block), none]
-        yield pa.RecordBatch.from_arrays(arrays, names=_TOLD)
-        by_block = np.argsort(at[owner], kind="stable")
-        entries = by_block[~known[number[owner[by_block]]]]
-        per_block = np.bincount(at[owner[entries]], minlength=len(blocks))
-        columns = (rows[entries].astype("<u2"), times[entries].astype("u1"), _short(successor[owner[entries]]))
-        yield pa.RecordBatch.from_arrays([pa.array(blocks), *(postings.binaries(x, per_block) for x in columns)], names=_TOLD)
-
-    return pairs.mapInArrow(run, "block long, rows binary, times binary, hashes binary")
-
-
-def _opened(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Context, successor, block and number of entries of each pair; marked rows and times of the entries."""
-    contexts, _ = postings.numbers(batch.column("contexts"), "V6")
-    sizes, _ = postings.numbers(batch.column("sizes"), "<u4")
-    successors, counts = postings.numbers(batch.column("successors"), "V6")
-    marks, _ = postings.numbers(batch.column("rows"), "<u2")
-    times, _ = postings.numbers(batch.column("times"), "u1")
-    starts = np.flatnonzero(marks & _FIRST)
-    block = np.repeat(batch.column("block").to_numpy(), counts)
-    return np.repeat(_long(contexts), sizes), _long(successors), block, np.diff(np.append(starts, len(marks))), marks, times
-
+        yield _widened(_returned(block[owner], rows, own=-elias_fano.UNIT * code[number[owner]] * times), names)
+        away = np.flatnonzero(~known[number[owner]])
+        if len(away):
+            asked, of_block = successor[owner[away]], block[owner[away]]
+            shard = deal.of_words(asked)
+            by = np.lexsort((of_block, shard))
+            cuts = np.flatnonzero(np.concatenate([[True], (shard[by[1:]] != shard[by[:-1]]) | (of_block[by[1:]] != of_block[by[:-1]])]))
+            sizes = np.diff(np.append(cuts, len(by)))
+            packed = [pa.array(shard[by[cuts]].astype(np.int32)), pa.array(of_block[by[cuts]])]
+            packed += [postings.binaries(x, sizes) for x in (_short(asked[by]), rows[away[by]].astype("<u2"), times[away[by]])]
+            yield _widened(pa.RecordBatch.from_arrays(packed, names=["shard", "block", "hashes", "rows", "times"]), names)
+
+    fields = dict(f.split() for f in f"{_WORDS}, {_SUMS}".split(", "))
+    return pairs.mapInArrow(run, ", ".join(f"{c} {fields[c]}" for c in names))
+
+
+def _looked_up(asked: DataFrame, all_tokens: float) -> DataFrame:
+    """Sums per document (own) of log10 p(w) of words sent to the shards that hold their counts, which come as rows with
+    counts."""
 
-def _summed(told: DataFrame, all_tokens: float) -> DataFrame:
-    """Per document: base, known and own (sums), from the words' postings (c, hash) and the shards' answers (no c)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, c, found = None, None, []
+        for batch in batches:
+            holds = batch.column("counts").is_valid()
+            held, sent = batch.filter(holds), batch.filter(pc.invert(holds))
+            if held.num_rows:
+                known, c = postings.numbers(held.column("hashes"), "<u8")[0] & _MASK, postings.numbers(held.column("counts"), "<i8")[0]
+            if sent.num_rows:
+                hashes, sizes = postings.numbers(sent.column("hashes"), "V6")
+                rows, times = postings.numbers(sent.column("rows"), "<u2")[0], postings.numbers(sent.column("times"), "u1")[0]
+                found.append((_long(hashes), np.repeat(sent.column("block").to_numpy(), sizes), rows.astype(np.int64), times))
+        if found:
+            hashes, block, rows, times = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(known)
+            p = np.log10((c[order][np.searchsorted(known[order], hashes)] + 1) / all_tokens)
+            yield _returned(block, rows, own=p * times)
+
+    return asked.mapInArrow(run, _SUMS)
+
+
+def _summed(told: DataFrame) -> DataFrame:
+    """Per document the sums of all shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = postings.Sums(3)
-        words: list[tuple[np.ndarray, ...]] = []  # block, hash and log10 p of the words of the task's blocks
-        away: list[tuple[np.ndarray, ...]] = []
+        sums = postings.Sums(4)
         for batch in batches:
-            block, c = batch.column("block").to_numpy(), batch.column("c").to_numpy(zero_copy_only=False)
-            of_word = ~np.isnan(c.astype(np.float64))
-            own, answers = batch.filter(pa.array(of_word)), batch.filter(pa.array(~of_word))
-            if own.num_rows:
-                counts = c[of_word].astype(np.float64)
-                p = np.log10((counts + 1) / all_tokens)
-                words.append((block[of_word], own.column("hash").to_numpy().view(np.uint64) & np.uint64(_MASK), p))
-                rows, sizes = postings.numbers(own.column("rows"), "<u2")
-                times, _ = postings.numbers(own.column("times"), "u1")
-                values = [times * np.repeat(p, sizes), times * np.repeat(counts > 0, sizes), np.zeros(len(rows))]
-                sums.add(np.repeat(block[of_word], sizes), (rows & (postings.BLOCK - 1)).astype(np.int64), values)
-            blocks = block[~of_word]
-            sent = answers.column("hashes").is_null().to_numpy(zero_copy_only=False) if answers.num_rows else np.zeros(0, bool)
-            if sent.any():
-                codes = answers.filter(pa.array(sent))
-                rows, sizes = postings.numbers(codes.column("rows"), "<u2")
-                total, _ = postings.numbers(codes.column("times"), "<u4")
-                zero = np.zeros(len(rows))
-                sums.add(np.repeat(blocks[sent], sizes), rows.astype(np.int64), [zero, zero, -elias_fano.UNIT * total])
-            if (~sent).any():
-                unseen = answers.filter(pa.array(~sent))
-                rows, sizes = postings.numbers(unseen.column("rows"), "<u2")
-                times, _ = postings.numbers(unseen.column("times"), "u1")
-                hashes, _ = postings.numbers(unseen.column("hashes"), "V6")
-                away.append((np.repeat(blocks[~sent], sizes), _long(hashes), rows.astype(np.int64), times.astype(np.float64)))
-        if words and away:
-            block, hashes, p = (np.concatenate(x) for x in zip(*words, strict=True))
-            of_block, asked, rows, times = (np.concatenate(x) for x in zip(*away, strict=True))
-            order = np.lexsort((hashes, block))
-            block, hashes, p = block[order], hashes[order], p[order]
-            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(block)], strict=True):
-                here = np.flatnonzero(of_block == block[start])
-                found = p[start + np.searchsorted(hashes[start:end], asked[here])]  # a block's words are all there
-                zero = np.zeros(len(here))
-                sums.add(of_block[here], rows[here], [zero, zero, found * times[here]])
-        yield from sums.batches(["base", "known", "own"])
-
-    return told.repartition("block").mapInArrow(run, "block long, row int, base double, known double, own double")
+            rows, sizes = postings.numbers(batch.column("rows"), "<u2")
+            values = []
+            for name in ("base", "known", "n", "own"):
+                own, there = postings.numbers(batch.column(name), "<u4" if name in ("known", "n") else "<f8")
+                value = np.zeros(len(rows))
+                value[np.repeat(there > 0, sizes)] = own
+                values.append(value)
+            sums.add(np.repeat(batch.column("block").to_numpy(), sizes), rows.astype(np.int64), values)
+        yield from sums.batches(["base", "known", "n", "own"])
+
+    return told.repartition("block").mapInArrow(run, "block long, row int, base double, known double, n double, own double")
 
 
 def score(docs: DataFrame, train: Column, keep: list[str], text_col="text", mass: float = MASS) -> DataFrame:
@@ -311,33 +377,42 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col="text", mass
     keep = [c for c in keep if c not in ("held_out", *RESULTS)]
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = f"{common.shared_dir(spark)}/language-model-{uuid.uuid4().hex}"
-    _blocks(docs, keep, train, text_col, shards, hot := _hot(docs, text_col, shards), f"{folder}/blocks")
-
-    def stored(kind: str, fields: dict[str, T.DataType]) -> DataFrame:
-        schema = T.StructType([T.StructField("kind", T.StringType()), *(T.StructField(c, t) for c, t in fields.items())])
-        return spark.read.schema(schema).parquet(f"{folder}/blocks").filter(F.col("kind") == kind).drop("kind")
-
-    words = stored("word", _WORDS)
-    counts = common.cut(words.groupBy("word").agg(F.sum("n").alias("c"), F.xxhash64("word").alias("hash")))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    # totals of the words that several shards share: fewer than HOT
-    named, short = [*hot, int(_hash([END])[0])], F.col("hash").bitwiseAND(F.lit(_MASK))
-    totals = {r["short"]: r["c"] for r in counts.select(short.alias("short"), "c").filter(F.col("short").isin(named)).collect()}
-    totals[int(_hash([START])[0])] = totals.pop(int(_hash([END])[0]), 0)  # a document has one of each
-    pairs = stored("pair", {"block": T.LongType(), "rows": T.BinaryType(), "times": T.BinaryType()} | _PAIRS)
-    answers = _of_shards(pairs.repartitionById(shards, F.col("shard")), totals, mass)
-    none = F.lit(None)
-    base = words.join(counts, "word").select("block", "rows", "times", none.cast("binary").alias("hashes"), "c", "hash")
-    sums = _summed(base.unionByName(answers.withColumns({"c": none.cast("bigint"), "hash": none.cast("bigint")})), float(n + v + 1))
-    kept = {c: docs.schema[c].dataType for c in keep}
-    documents = stored("document", kept | {"block": T.LongType(), "row": T.IntegerType(), "held_out": T.BooleanType(), "n_tokens": T.LongType()})
-    zero = F.lit(0.0)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    # numbered once, and stored, so that both passes see the same numbers
+    at, block = F.monotonically_increasing_id(), F.floor(F.col("at") / postings.BLOCK)
+    own = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("kept")
+    numbered = docs.select(own, F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"), at.alias("at"))
+    numbered = kept(numbered.withColumns({"block": block, "row": (F.col("at") % postings.BLOCK).cast("int")}).drop("at"), "documents")
+
+    hot = _hot(numbered, "text", shards)
+    deal = _Shards(shards, hot)
+    counted = kept(_counted(_dealt(numbered, _WORDS, _words(deal)).repartitionById(shards, F.col("shard"))), "words")
+    counts, of_words = counted.filter("counts IS NOT NULL").select("shard", "hashes", "counts"), counted.filter("block IS NOT NULL")
+    end, start = (int(_hash([x])[0] & _MASK) for x in (END, START))
+    n, v, totals = _totals(counts, [*hot, end])
+    totals[start] = totals.pop(end, 0)  # a document has one of each
+    all_tokens = float(n + v + 1)
+
+    answers = kept(_of_shards(_dealt(numbered, _PAIRS, _pairs(deal)).repartitionById(shards, F.col("shard")), totals, mass, deal), "pairs")
+    away = answers.filter("shard IS NOT NULL").select("shard", "block", "hashes", "rows", "times")
+    asked = away.unionByName(counts, allowMissingColumns=True).repartitionById(shards, F.col("shard"))
+    names = [f.split()[0] for f in _SUMS.split(", ")]
+    sums = _summed(of_words.select(names).union(answers.filter("shard IS NULL").select(names)).union(_looked_up(asked, all_tokens)))
+
+    def value(name: str) -> Column:
+        return F.coalesce(name, F.lit(0.0))
+
+    documents = numbered.select("block", "row", "kept", (~F.col("train")).alias("held_out"))
     return documents.join(sums, ["block", "row"], "left").select(
-        *keep,
+        *(F.col(f"kept.`{c}`") for c in keep),
         "held_out",
-        "n_tokens",
-        F.coalesce("known", zero).cast("long").alias("n_known"),
+        value("n").cast("long").alias("n_tokens"),
+        value("known").cast("long").alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
-        F.coalesce("base", zero).alias("base_score"),
-        F.coalesce("own", zero).alias("score"),
+        (value("base") - value("n") * F.lit(math.log10(all_tokens))).alias("base_score"),
+        value("own").alias("score"),
     )
