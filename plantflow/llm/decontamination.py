@@ -7,8 +7,8 @@ position. All phrases are searched at once, step by step from their last word; o
 to the next sampled position; the spans they cover are merged per document.
 
 A phrase is a window of 13 consecutive words of a benchmark item, or the whole item if it has fewer words. The benchmark
-is dealt into blocks of bounded size; each block is one pass in a chain of passes over the documents, none of which
-shuffles. So neither what is broadcast nor a task's memory grows with either table.
+is dealt into blocks of bounded size. Each block is one pass over the documents, whose hits are written before the next
+block is read; so neither what is broadcast nor what the driver or a task holds grows with either table.
 
 Null and empty texts have no words and are never hit; items without words have no phrases. Repeated rows get the same
 result each; equal items, each with an id of its own, are all listed; items with a null id hit, but are not listed. An
@@ -18,10 +18,12 @@ empty table of documents gives no rows, an empty benchmark no hits. Results are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,24 +160,12 @@ def hits(texts: list[str | None], phrases: Phrases) -> Iterator[tuple[int, list[
     return zip(counts.tolist(), spans, map(sorted, items), strict=True)
 
 
-def merged(spans: list[list[int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
-
-
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items, in as many collected blocks of about BLOCK_BYTES as their measured size asks for."""
+def _blocks(benchmark: DataFrame) -> tuple[int, Callable[[int], list[tuple]]]:
+    """How many blocks of about BLOCK_BYTES the items' measured size asks for, and the items of one of them."""
     items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("t")).filter("t IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    n = -(-size // BLOCK_BYTES)
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() if n > 1 else items.collect()
-        yield [tuple(r) for r in rows]
+    n = max(1, -(-size // BLOCK_BYTES))
+    return n, lambda k: [tuple(r) for r in items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
 
 
 _SPANS = T.ArrayType(T.ArrayType(T.IntegerType(), False), False)
@@ -184,37 +174,57 @@ _FOUND = [T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS)
 _KINDS = [pa.int64(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())]
 
 
-def _pass(frame: DataFrame, keep: list[str], phrases, more: bool, last: bool) -> DataFrame:
-    """One block of phrases against all documents; spans and items found before are in the frame if more."""
-    names = [*keep, *(() if last else ("__text",)), "n_words", "spans", "items"]
-    fields = {f.name: f for f in [*frame.schema.fields, *_FOUND]}
+def _pass(frame: DataFrame, keep: list[str], phrases: Broadcast) -> DataFrame:
+    """keep and what is found of one block of phrases in the documents (__text)."""
+    names = [*keep, "n_words", "spans", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Phrases(phrases.value)
         for batch in batches:
             for part in common.slices(batch, "__text", SHARD_WORDS * 4):
                 found = list(hits(part.column("__text").to_pylist(), own))
-                if more:
-                    old = zip(part.column("spans").to_pylist(), part.column("items").to_pylist(), strict=True)
-                    found = [
-                        (n, merged(s + was), sorted({*i, *had})) for (n, s, i), (was, had) in zip(found, old, strict=True)
-                    ]
                 arrays = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(_KINDS)]
-                kept = [part.column(c) for c in names[: -len(arrays)]]
-                yield pa.RecordBatch.from_arrays([*kept, *arrays], names=names)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=names)
+
+    return frame.mapInArrow(run, T.StructType([*(frame.schema[c] for c in keep), *_FOUND]))
+
+
+def _merged(spans: Column) -> Column:
+    """merged() of an array of spans."""
+
+    def step(done: Column, span: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.array(last[0], F.greatest(last[1], span[1]))
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+        return F.when((F.size(done) > 0) & (span[0] <= last[1]), joined).otherwise(F.concat(done, F.array(span)))
 
-    return frame.mapInArrow(run, T.StructType([fields[c] for c in names]))
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<array<int>>"), step)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """keep, n_words, spans ([first word, one after the last], merged), items (ids of the items with hits, ascending)."""
+    """keep (but for columns named as the following), n_words, spans ([first word, one after the last], merged), items (ids
+    of the items with hits, ascending)."""
     spark = docs.sparkSession
     keep = [c for c in keep if c not in ("n_words", "spans", "items")]
     frame = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).alias("__text"))
-    blocks = list(_blocks(benchmark)) or [[]]
-    for k, block in enumerate(blocks):
-        frame = _pass(frame, keep, spark.sparkContext.broadcast(block), k > 0, k == len(blocks) - 1)
-    return frame
+    n, block = _blocks(benchmark)
+    if n == 1:
+        return _pass(frame, keep, spark.sparkContext.broadcast(block(0)))
+    folder = f"{common.shared_dir(spark)}/decontamination-{uuid.uuid4().hex}"
+    frame.withColumn("__row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{folder}/documents")
+    numbered = spark.read.schema(T.StructType([*frame.schema, T.StructField("__row", T.LongType())])).parquet(f"{folder}/documents")
+    for k in range(n):  # one block at a time in the driver and in the tasks; of all but the first only documents with hits
+        phrases = spark.sparkContext.broadcast(block(k))
+        found = _pass(numbered.select("__row", "__text"), ["__row"], phrases)
+        (found if k == 0 else found.filter(F.size("spans") > 0)).write.parquet(f"{folder}/found/block={k}")
+        phrases.destroy()
+    found = spark.read.schema(T.StructType([T.StructField("__row", T.LongType()), *_FOUND])).parquet(f"{folder}/found")
+    per_row = found.groupBy("__row").agg(
+        F.max("n_words").alias("n_words"),
+        _merged(F.flatten(F.collect_list("spans"))).alias("spans"),  # of one document
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return numbered.drop("__text").join(per_row, "__row").drop("__row")
 
 
 def n_hit(spans: str = "spans") -> Column:
