@@ -295,7 +295,7 @@ def oracle_sql() -> dict[str, str]:
         "kpi_summary_from_days": (_on("figures") + "SELECT * FROM figures")
         .replace(_FROM, "TIMESTAMP '2024-01-05 07:30:00'")
         .replace(_TO, "TIMESTAMP '2024-01-24 15:45:00'"),
-        "kpi_summary_stored": _on("figures") + "SELECT * FROM figures",
+        **dict.fromkeys(("kpi_summary_stored", "kpi_summary_sql"), _on("figures") + "SELECT * FROM figures"),
         "machine_register": _on("me")
         + 'SELECT machine_id, MIN("timestamp") AS first_seen, MAX("timestamp") AS last_seen FROM me GROUP BY machine_id',
         "pieces_total_one_machine": _on("figures")

@@ -14,7 +14,7 @@ from plantflow import schema
 from plantflow.functions import timecols
 from plantflow.operators import intervals, orders, segments, validity, watchdog
 from plantflow.params import TimeRange, WatchdogConfig, instant, to_micros
-from plantflow.plans import history, kpis, observability, states
+from plantflow.plans import history, kpis, observability, sqlfunctions, states
 from plantflow.sources import eventtable, sample, shared, snapshots, summaries, wire
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,6 +250,12 @@ def kpi_summary_stored(spark, sf_dir):
     return kpis.kpi_summary(stored, RANGE, machines=register.read(spark), plan=machine_plan(spark, sf_dir))
 
 
+def kpi_summary_sql(spark, sf_dir):
+    """Through the SQL table function."""
+    sqlfunctions.register(spark, _events(spark, sf_dir), sample.machines(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM kpi_summary(timestamp_micros({RANGE.start_us}), timestamp_micros({RANGE.end_us}), NULL)")
+
+
 def machine_register(spark, sf_dir):
     return snapshots.sightings(_events(spark, sf_dir))
 
@@ -397,6 +403,7 @@ _QUERIES: dict[str, Query] = {
             pieces_total_one_machine,
             kpi_summary_from_days,
             kpi_summary_stored,
+            kpi_summary_sql,
             machine_register,
             usage_meter_merged,
             ingest_topic_filter,
