@@ -42,7 +42,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Links gathered before the bitmaps of what a block has so far are written; they are united afterwards.
 MOST_LINKS = 2_000_000
 #: Bytes of text handled at once, and pieces kept by a worker: with the links, what bounds its memory.
-SLICE_BYTES, MOST_PIECES = 1 << 20, 240_000
+SLICE_BYTES, MOST_PIECES = 1 << 20, 300_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _SPACE = "▁"
 
@@ -99,7 +99,7 @@ class Aligner(vocabularies.PieceCache):
         super().__init__(self._align, MOST_PIECES)
 
     def pieces(self, text: str) -> tuple[list[str], list[str]]:
-        whole, spaced = vocabularies.pieces(text) if self.cuts else ([text], [])
+        whole, spaced = vocabularies.pieces(text) if {" ", "\n"} <= set(self.cuts) else ([text], [])
         if spaced:
             return whole, spaced
         return [text[x:y] for x, y in pairwise([0, *(m.start() for m in self.cut.finditer(text)), len(text)])], []

@@ -28,8 +28,8 @@ BATCH_CHARS = 65_536
 
 #: Characters that some definition calls white space, other than ASCII space and line breaks.
 ODD_WHITE = "\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿"
-#: A space after white space: split(" ") would cut inside a run.
-_RUN = re.compile(f"[{ODD_WHITE} \n\t\r] ")
+#: A space or line break after white space: there is no cut before it.
+_RUN = re.compile(f"[{ODD_WHITE} \n\t\r][ \n]")
 _CUT = re.compile(f"(?<=[^{ODD_WHITE} \n\t\r])(?=[ \n\t\r])")
 _WHITE = frozenset(c for c in map(chr, range(0x10000)) if re.match(f"[{ODD_WHITE} \n\t\r]", c))
 
@@ -89,9 +89,10 @@ def token_bytes(tokenizer: Tokenizer) -> list[bytes]:
 
 
 def pieces(text: str) -> tuple[list[str], list[str]]:
-    """(whole, spaced): the text is the whole pieces, then each spaced piece after one space."""
+    """(whole, spaced): the text is the whole pieces, then the spaced ones, each after one space unless it begins with a
+    line break."""
     if _RUN.search(text) is None:
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         return ([first] if first else []), rest
     cuts = [0, *(m.start() for m in _CUT.finditer(text)), len(text)]
     return [text[a:b] for a, b in pairwise(cuts)], []
@@ -136,7 +137,8 @@ class PieceCache:
             apart = own if not chained else [x for x in own if not x or x[-1] in _WHITE]
             for texts, joined in ((chained, True), (apart, False)):
                 if texts:
-                    fresh.update(zip(texts, self.learn([prefix + x for x in texts], joined), strict=True))
+                    whole = [x if x.startswith("\n") else prefix + x for x in texts]
+                    fresh.update(zip(texts, self.learn(whole, joined), strict=True))
         return fresh
 
     def _known(self, kept: list[dict], parts: list[str], prefix: str) -> dict:
