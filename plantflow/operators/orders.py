@@ -21,21 +21,25 @@ _FOREVER_US = 2**63 - 1
 def reigns(orders: DataFrame) -> DataFrame:
     """The order of each machine from moment to moment: the last started among those still running.
 
-    Rows (machine_id, since, until, order_id) that do not overlap; times in microseconds. Orders are swept in order of
-    their start with those still running on a stack, batch by batch, so memory holds what runs at once and no more.
+    Rows (machine_id, since, until, order_id) that do not overlap; times in microseconds. An order that no other one of
+    its machine overlaps stands as it is. Those that overlap, directly or over others, are swept in order of their start
+    with those still running on a stack, batch by batch, so memory holds what runs at once and no more.
     """
-    swept = (
-        orders.filter(F.col("machine_id").isNotNull() & F.col("start_date").isNotNull())
-        .select(
-            "machine_id",
-            F.unix_micros("start_date").alias("since"),
-            # An order without an end outlasts every event.
-            F.coalesce(F.unix_micros("end_date"), F.lit(_FOREVER_US)).alias("until"),
-            "order_id",
-        )
-        .repartition("machine_id")
-        .sortWithinPartitions("machine_id", "since", "order_id")
-    )
+    # An order without an end outlasts every event; one that ends before it starts never runs.
+    until = F.coalesce(F.unix_micros("end_date"), F.lit(_FOREVER_US))
+    given = orders.filter(F.col("machine_id").isNotNull() & F.col("start_date").isNotNull())
+    placed = given.select("machine_id", F.unix_micros("start_date").alias("since"), until.alias("until"), "order_id").filter("until > since")
+    by_start = Window.partitionBy("machine_id").orderBy("since", "order_id")
+    earlier = F.max("until").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    apart = placed.withColumn("_apart", (earlier.isNull() | (F.col("since") >= earlier)).cast("int"))
+    told = apart.withColumns({"_group": F.sum("_apart").over(by_start.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("_apart").over(by_start)})
+    alone = (F.col("_apart") == 1) & (F.coalesce("_next", F.lit(1)) == 1)
+    columns = placed.columns
+    swept = told.filter(~alone).repartition("machine_id", "_group").sortWithinPartitions("machine_id", "since", "order_id").select(columns)
+    return told.filter(alone).select(columns).unionByName(_swept(swept))
+
+
+def _swept(swept: DataFrame) -> DataFrame:
     names = swept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
