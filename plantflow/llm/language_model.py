@@ -52,6 +52,7 @@ _WORDS = "shard int, block long, hashes binary, rows binary, times binary"
 _PAIRS = "shard int, block long, contexts binary, sizes binary, successors binary, rows binary, times binary"
 _SUMS = "block long, rows binary, base binary, known binary, n binary, own binary"
 _COUNTS = "shard int, hashes binary, counts binary"
+_AWAY = "shard int, block long, hash long, row int, n_times int"
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
@@ -225,7 +226,7 @@ def _returned(block: np.ndarray, rows: np.ndarray, **values: np.ndarray) -> pa.R
 
 
 def _widened(part: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
-    kinds = {"shard": pa.int32(), "block": pa.int64()}
+    kinds = {"shard": pa.int32(), "block": pa.int64(), "hash": pa.int64(), "row": pa.int32(), "n_times": pa.int32()}
     columns = [part.column(c) if c in part.schema.names else pa.nulls(part.num_rows, kinds.get(c, pa.binary())) for c in names]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -273,7 +274,8 @@ def _totals(counts: DataFrame, named: list[int]) -> tuple[int, int, dict[int, in
 def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float, deal: _Shards) -> DataFrame:
     """A shard's pairs: sums per document of log10 probabilities (own), and the postings of words not seen after their
     context, for the shards of these words."""
-    names = list(dict.fromkeys(f.split()[0] for f in f"{_WORDS}, {_SUMS}".split(", ")))
+    fields = dict(f.split() for f in f"{_AWAY}, {_SUMS}".split(", "))
+    names = list(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -314,17 +316,12 @@ def _of_shards(pairs: DataFrame, totals: dict[int, int], mass: float, deal: _Sha
         yield _widened(_returned(block[owner], rows, own=-elias_fano.UNIT * code[number[owner]] * times), names)
         away = np.flatnonzero(~known[number[owner]])
         if len(away):
-            asked, of_block = successor[owner[away]], block[owner[away]]
-            shard = deal.of_words(asked)
-            by = np.lexsort((of_block, shard))
-            cuts = np.flatnonzero(np.concatenate([[True], (shard[by[1:]] != shard[by[:-1]]) | (of_block[by[1:]] != of_block[by[:-1]])]))
-            sizes = np.diff(np.append(cuts, len(by)))
-            packed = [pa.array(shard[by[cuts]].astype(np.int32)), pa.array(of_block[by[cuts]])]
-            packed += [postings.binaries(x, sizes) for x in (_short(asked[by]), rows[away[by]].astype("<u2"), times[away[by]])]
-            yield _widened(pa.RecordBatch.from_arrays(packed, names=["shard", "block", "hashes", "rows", "times"]), names)
+            # a row each, since packed by shard and block they would be no fewer where both are many
+            asked = successor[owner[away]]
+            sent = [deal.of_words(asked).astype(np.int32), block[owner[away]], asked.astype(np.int64), rows[away].astype(np.int32), times[away].astype(np.int32)]
+            yield _widened(pa.RecordBatch.from_arrays(list(map(pa.array, sent)), names=[f.split()[0] for f in _AWAY.split(", ")]), names)
 
-    fields = dict(f.split() for f in f"{_WORDS}, {_SUMS}".split(", "))
-    return pairs.mapInArrow(run, ", ".join(f"{c} {fields[c]}" for c in names))
+    return pairs.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in fields.items()))
 
 
 def _looked_up(asked: DataFrame, all_tokens: float) -> DataFrame:
@@ -339,9 +336,8 @@ def _looked_up(asked: DataFrame, all_tokens: float) -> DataFrame:
             if held.num_rows:
                 known, c = postings.numbers(held.column("hashes"), "<u8")[0] & _MASK, postings.numbers(held.column("counts"), "<i8")[0]
             if sent.num_rows:
-                hashes, sizes = postings.numbers(sent.column("hashes"), "V6")
-                rows, times = postings.numbers(sent.column("rows"), "<u2")[0], postings.numbers(sent.column("times"), "u1")[0]
-                found.append((_long(hashes), np.repeat(sent.column("block").to_numpy(), sizes), rows.astype(np.int64), times))
+                hashes, block, row, times = (sent.column(c).to_numpy() for c in ("hash", "block", "row", "n_times"))
+                found.append((hashes.astype(np.uint64), block, row.astype(np.int64), times))
         if found:
             hashes, block, rows, times = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.argsort(known)
@@ -398,7 +394,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col="text", mass
     all_tokens = float(n + v + 1)
 
     answers = kept(_of_shards(_dealt(numbered, _PAIRS, _pairs(deal)).repartitionById(shards, F.col("shard")), totals, mass, deal), "pairs")
-    away = answers.filter("shard IS NOT NULL").select("shard", "block", "hashes", "rows", "times")
+    away = answers.filter("shard IS NOT NULL").select(*(f.split()[0] for f in _AWAY.split(", ")))
     asked = away.unionByName(counts, allowMissingColumns=True).repartitionById(shards, F.col("shard"))
     names = [f.split()[0] for f in _SUMS.split(", ")]
     sums = _summed(of_words.select(names).union(answers.filter("shard IS NULL").select(names)).union(_looked_up(asked, all_tokens)))
