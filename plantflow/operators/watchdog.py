@@ -223,3 +223,32 @@ def merged(raw: DataFrame, derived: DataFrame) -> DataFrame:
     """One log of raw and derived events."""
     columns = list(schema.MODEL_COLUMNS)
     return raw.select(*columns).unionByName(derived.select(*columns))
+
+
+_SAME = ["machine_id", "event_id", "timestamp", "value"]
+
+
+def corrections(
+    samples: DataFrame, derived: DataFrame, cfg: WatchdogConfig, machines: DataFrame | None = None, plan: SegmentPlan | None = None
+) -> DataFrame:
+    """What late samples change: derived events to retract (`retracted`) and to add, so that `derived` becomes what all
+    samples give.
+
+    A stream takes samples in the order they come and can't take back what it derived meanwhile. `machines` (machine_id)
+    limits the work to those that had late samples; the events of all others stand. Empty if nothing was late.
+    """
+    if machines is not None:
+        touched = machines.select("machine_id").distinct()
+        samples, derived = (df.join(touched, "machine_id", "left_semi") for df in (samples, derived))
+    wanted = batch(samples, cfg, plan=plan)
+    columns = list(schema.MODEL_COLUMNS)
+    added = wanted.join(derived, _SAME, "left_anti").select(*columns, F.lit(False).alias("retracted"))
+    gone = derived.join(wanted, _SAME, "left_anti").select(*columns, F.lit(True).alias("retracted"))
+    return added.unionByName(gone)
+
+
+def corrected(derived: DataFrame, changes_: DataFrame) -> DataFrame:
+    """The derived events with corrections applied. Corrections that are applied twice change nothing more."""
+    columns = list(schema.MODEL_COLUMNS)
+    kept = derived.select(*columns).join(changes_.select(*_SAME), _SAME, "left_anti")
+    return kept.unionByName(changes_.filter(~F.col("retracted")).select(*columns))

@@ -97,6 +97,26 @@ def test_watchdog_stream_equals_batch(spark, tmp_path, files):
     assert len(got[1]) > 50
 
 
+def test_late_samples_are_corrected(spark, tmp_path):
+    """A stream whose files come in a wrong order, plus corrections of the machines that were late, is the batch."""
+    samples = sample.counter_samples(spark, compare.data("sf0.001")).persist()
+    late = samples.filter("event_id % 6 = 0 AND machine_id < 6")
+    source = tmp_path / "in"
+    for turn, rows in enumerate((samples.join(late, "event_id", "left_anti").select(samples.columns), late)):
+        rows.coalesce(1).write.parquet(str(source / str(turn)))
+        arriving = spark.readStream.schema(samples.schema).parquet(str(source / "*"))
+        stream = live_watchdog.stream(arriving, registry.WATCHDOG).writeStream.format("parquet")
+        stream.option("checkpointLocation", str(tmp_path / "cp")).trigger(**NOW).start(str(tmp_path / "out")).awaitTermination()
+    derived = spark.read.parquet(str(tmp_path / "out"))
+    expected = compare.spark_rows(watchdog.batch(samples, registry.WATCHDOG))
+    assert compare.spark_rows(derived) != expected
+    found = watchdog.corrections(samples, derived, registry.WATCHDOG, machines=late).persist()
+    assert {r.machine_id for r in found.collect()} <= set(range(6)) and {r.retracted for r in found.collect()} == {True, False}
+    mended = watchdog.corrected(derived, found)
+    assert compare.spark_rows(mended) == expected == compare.spark_rows(watchdog.corrected(mended, found))
+    assert watchdog.corrections(samples, mended, registry.WATCHDOG).count() == 0
+
+
 def _write_messages(rows, path):
     with open(path, "w") as out:
         for r in rows:
