@@ -20,7 +20,6 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
 
 LOG = "_labels"
 #: What labels of batches that replace others begin with.
