@@ -138,7 +138,7 @@ class Aligner(vocabularies.PieceCache):
     def _align(self, texts: list[str], joined: bool) -> list[Piece | None]:
         if joined:
             text = "".join(texts)
-            a, b = self.a.encode(text, add_special_tokens=False).ids, self._ids_b(text)
+            a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self._ids_b(text)
             if b"".join(self.bytes_b[i] for i in b) == text.encode():
                 return self._groups(a, b, np.cumsum([len(t.encode()) for t in texts]))
         found: list[Piece | None] = []
@@ -240,8 +240,7 @@ def _united(parts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bitmaps = postings.union(batch.column("bitmaps"))
-            _, sizes = postings.unpacked(bitmaps)
-            columns = [*(batch.column(c) for c in ("pair", "plane", "block")), pa.array(sizes), bitmaps]
+            columns = [*(batch.column(c) for c in ("pair", "plane", "block")), pa.array(postings.sizes(bitmaps)), bitmaps]
             yield pa.RecordBatch.from_arrays(columns, names=["pair", "plane", "block", "size", "bitmap"])
 
     return parts.mapInArrow(run, "pair long, plane int, block long, size long, bitmap binary")

@@ -70,15 +70,29 @@ def unpacked(bitmaps: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def sizes(bitmaps: pa.Array) -> np.ndarray:
+    """How many rows each bitmap has."""
+    flat, lengths = numbers(bitmaps, "u1")
+    found, ends = lengths // 2, np.cumsum(lengths)
+    for k in np.flatnonzero(lengths == DENSE_BYTES).tolist():
+        found[k] = np.bitwise_count(flat[ends[k] - DENSE_BYTES : ends[k]]).sum()
+    return found
+
+
 def union(lists: pa.ListArray) -> pa.Array:
     """Of each list of bitmaps (never empty), the bitmap of the rows that any has; those alone in their list stand as they are."""
-    bitmaps, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
-    if (sizes == 1).all():
-        return bitmaps
-    rows, counts = unpacked(bitmaps)
-    owner = np.repeat(np.repeat(np.arange(len(sizes)), sizes), counts)
+    counts = np.diff(lists.offsets.to_numpy())
+    several = counts > 1
+    alone = lists.filter(pa.array(~several)).flatten()
+    if not several.any():
+        return alone
+    rows, of = unpacked(lists.filter(pa.array(several)).flatten())
+    owner = np.repeat(np.repeat(np.arange(several.sum()), counts[several]), of)
     both = np.unique(owner * BLOCK + rows)
-    return packed(both % BLOCK, np.bincount(both // BLOCK, minlength=len(sizes)))
+    united = packed(both % BLOCK, np.bincount(both // BLOCK, minlength=int(several.sum())))
+    place = np.empty(len(counts), np.int64)
+    place[~several], place[several] = np.arange(len(alone)), len(alone) + np.arange(len(united))
+    return pa.concat_arrays([alone, united]).take(pa.array(place))
 
 
 class Sums:

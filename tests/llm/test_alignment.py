@@ -119,6 +119,8 @@ def test_bitmaps(shapes):
     back, counts = postings.unpacked(bitmaps)
     assert back.tolist() == rows.tolist() and counts.tolist() == [len(own) for own in flat]
     offsets = np.cumsum([0, *(len(sets) for sets in lists)])
-    united, counts = postings.unpacked(postings.union(pa.ListArray.from_arrays(offsets, bitmaps)))
+    both = postings.union(pa.ListArray.from_arrays(offsets, bitmaps))
+    united, counts = postings.unpacked(both)
+    assert postings.sizes(both).tolist() == counts.tolist()
     assert np.split(united, np.cumsum(counts)[:-1])[0].tolist() == sorted(set().union(*lists[0]))
     assert counts.tolist() == [len(set().union(*sets)) for sets in lists]
