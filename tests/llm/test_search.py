@@ -162,6 +162,29 @@ def test_declared_pages_count_for_open_ones(spark, chunk, monkeypatch):
     }
 
 
+@pytest.mark.parametrize("chunk", [8 << 20, 100])
+def test_repeated_stretches_decide_about_what_declared_pages_leave_open(spark, chunk, monkeypatch):
+    """Blocks with a mere hint in articles, and titles beside them; versions of one article count once."""
+    monkeypatch.setattr(html_extraction, "CHUNK_BYTES", chunk)
+    plug, short = "get the best of our stories in a letter every day of the week", "Read on"
+    strip = f"<div class='newsletter-strip'><p>{plug}</p><p>{short}</p></div>"
+    essay = "voting in small towns and what it tells about trust in large ones"
+    said = lambda k: f"<p>story {k}</p>{strip}<div class='social-science'><p>{essay} {k} {plug}</p></div><p>end {k}</p>"
+    rows = [(k, f"http://a/{k}", f"<main><h1>Title {k}</h1><article>{said(k)}</article></main>") for k in range(4)]
+    rows += [(10 + k, f"http://b/{k}", f"<main><h1>The Daily</h1><article>{said(0)}</article></main>") for k in range(4)]
+    rows += [(20 + k, f"http://c/{k}", f"<main><h1>The Daily</h1><article><h2>News {k}</h2></article><h1>{k}</h1></main>") for k in range(3)]
+    rows += [(30, "http://a/30", f"<main><h1>x</h1><p>{plug}</p></main>"), (31, "http://a/31", "<main><h1>A</h1><p>b</p></main>")]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["declared"] and r["n_chars"] == len(r["text"]) for r in found)
+    assert {r["page_id"]: r["text"] for r in found} == {
+        **{k: f"Title {k}\nstory {k}\n{essay} {k} {plug}\nend {k}" for k in range(4)},
+        **{10 + k: f"The Daily\nstory 0\n{plug}\n{short}\n{essay} 0 {plug}\nend 0" for k in range(4)},
+        **{20 + k: f"News {k}" for k in range(3)},
+        30: f"x\n{plug}",
+        31: "A\nb",
+    }
+
+
 def test_rows_that_differ_in_what_is_null(spark):
     rows = [(1, "plain body text one", None), (1, None, "plain body text one"), (None, "plain body text one", "1"), (None, None, None)]
     found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
