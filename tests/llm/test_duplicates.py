@@ -224,3 +224,17 @@ def test_short_lines_repeat_exactly(spark, tmp_path):
     found = {r["doc_id"]: r for r in queries.lines(spark, str(tmp_path)).collect()}
     assert {d: r["removed"] for d, r in found.items()} == {1: [], 2: [0], 3: [2], None: [0]}
     assert (found[2]["kept_in"], found[3]["kept_in"], found[None]["kept_in"]) == ([1], [3], [3])
+
+
+def test_keys_of_lines_travel_packed(spark):
+    """A few bytes a key, a row for a block of lines and a bucket; every line may lose `reach` edits' worth of q-grams."""
+    texts = [" ".join(f"w{(k * 31 + j * j * 7) % 997}" for j in range(40)) for k in range(3000)]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string").coalesce(1)
+    ranks = spark.sparkContext.broadcast(line_dedup._ranks(lines, len(texts), 2, 20))
+    rows = line_dedup.keys(lines, 2, 20, ranks, 2).collect()
+    n = sum(len(r["places"]) // 2 for r in rows)
+    assert sorted(r["bucket"] for r in rows) == [0, 1, 2, 3] and n > 10 * len(texts)
+    assert sum(len(r["keys"]) + len(r["places"]) for r in rows) == 6 * n
+    for edits in range(12):
+        for q, shortest, end in line_dedup._lengths(edits, 20):
+            assert all((line_dedup.reach(k, edits) + 1) * q <= k for k in range(max(20, shortest), min(end, 3000)))
