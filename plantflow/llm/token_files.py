@@ -27,6 +27,8 @@ from plantflow.llm import common, vocabularies
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 BLOCK_IDS = 1 << 19
+#: Bytes of text encoded at once.
+SLICE_BYTES = 4 << 20
 BLOCK = "part int, block int, n_ids long, width int, doc_ids array<long>, offsets array<long>, payload binary"
 
 
@@ -71,13 +73,12 @@ def write(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int = EN
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = vocabularies.ids_of_worker(vocabularies.from_json, path)
+        cache = vocabularies.numbered_ids_of_worker(vocabularies.from_json, path, end_id)
         width = width_of(max(len(cache.lengths), end_id + 1))
         part, number = TaskContext.get().partitionId(), 0
         ids: list = []
         found: list[np.ndarray] = []
         size = 0
-        end = np.array([end_id], dtype=np.uint32)
 
         def block() -> pa.RecordBatch:
             flat = np.concatenate(found)
@@ -86,9 +87,8 @@ def write(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int = EN
             return pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=types)
 
         for batch in batches:
-            for some in common.slices(batch, "text"):
-                for doc_id, text in zip(some.column("id").to_pylist(), some.column("text").to_pylist(), strict=True):
-                    own = np.append(cache.ids(text).astype(np.uint32), end)
+            for some in common.slices(batch, "text", SLICE_BYTES):
+                for doc_id, own in zip(some.column("id").to_pylist(), cache.of_all(some.column("text")), strict=True):
                     if size and size + len(own) > BLOCK_IDS:
                         yield block()
                         ids, found, size, number = [], [], 0, number + 1

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -56,6 +57,20 @@ def test_a_full_cache_forgets(monkeypatch, mixed):
     assert sum(map(len, cache.spaced)) < 400
 
 
+@pytest.mark.parametrize("most", [20, 1 << 20])
+def test_ids_of_many_texts_by_number(mixed, most):
+    """Runs of white space, long pieces, nulls and forgetting, in slices of several sizes."""
+    fresh = vocabularies.from_json(token_files.VOCABULARY)
+    cache = vocabularies.NumberedIds(fresh, 2)
+    cache.most = most
+    texts = [*mixed, None, "", " ", "\n", "a b\nc ", "x" * 100, " " + "y" * 100, None]
+    want = [[*fresh.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    for size in (1, 7, 500, len(texts)):
+        for start in range(0, len(texts) if size > 1 else 200, size):
+            found = cache.of_all(pa.array(texts[start : start + size], pa.string()))
+            assert [x.tolist() for x in found] == want[start : start + size]
+
+
 def test_whole_tokens_are_proven():
     tokenizer = vocabularies.from_json(token_counts.VOCABULARY)
     whole = token_counts.whole_tokens(token_counts.VOCABULARY)
