@@ -28,6 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Links gathered before the bitmaps of what a block has so far are written; they are united afterwards.
 MOST_LINKS = 2_000_000
 #: Bytes of text handled at once, and pieces kept by a worker: with the links, what bounds its memory.
-SLICE_BYTES, MOST_PIECES = 1 << 20, 300_000
+SLICE_BYTES, MOST_PIECES = 2 << 20, 800_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _SPACE = "▁"
 
@@ -75,18 +76,55 @@ def _pieces(path: str) -> tuple[SentencePieceProcessor, list[bytes], str]:
     return processor, table, " " + "".join(c for c in "\n\t\r" if c not in inner)
 
 
-class Piece(NamedTuple):
-    """Tokens of a piece: how many of each side, its groups as text, and the links as numbers of pairs."""
+class Text(NamedTuple):
+    """Tokens of a text: how many of each side, its groups as text, and the links as numbers of pairs."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    links: bytes
+    links: np.ndarray
 
 
-class Aligner(vocabularies.PieceCache):
-    """Groups and links of texts, by cached pieces between white space. A piece that is not given back is None."""
+@dataclass
+class Pieces:
+    """Of pieces one after the other: n_a, n_b, n_groups (-1 each if a piece is not given back), the groups as text, a
+    semicolon before each, links as numbers of pairs, and how many of these each piece has."""
+
+    counts: np.ndarray
+    groups: pa.Array
+    links: np.ndarray
+    sizes: np.ndarray
+
+    def __post_init__(self):
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def at(self, numbers: np.ndarray) -> Pieces:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        return Pieces(self.counts[numbers], self.groups.take(pa.array(numbers)), self.links[places], sizes)
+
+
+def _united_pieces(parts: list[Pieces]) -> Pieces:
+    groups = pa.concat_arrays([x.groups for x in parts])
+    return Pieces(np.concatenate([x.counts for x in parts]), groups, *(np.concatenate(x) for x in ([y.links for y in parts], [y.sizes for y in parts])))
+
+
+class _Generation:
+    """Pieces by number, and what is known of each; 0 is the end of a text."""
+
+    def __init__(self):
+        self.numbered = [1]
+        self.whole, self.spaced = vocabularies._Numbers(self.numbered), vocabularies._Numbers(self.numbered)
+        self.known = Pieces(np.zeros((1, 3), dtype=np.int64), pa.array([""]), np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
+
+    def fresh(self) -> _Generation:
+        return _Generation()
+
+
+class Aligner(vocabularies.NumberedPieces):
+    """Groups and links of texts, by kept pieces between white space."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a = _plain(path_a)
@@ -96,7 +134,8 @@ class Aligner(vocabularies.PieceCache):
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         white = vocabularies.ODD_WHITE + " \n\t\r"
         self.cut = re.compile(f"(?<=[^{white}])(?=[{self.cuts}])" if self.cuts else "(?!)")
-        super().__init__(self._align, MOST_PIECES)
+        self.most = MOST_PIECES
+        self.younger, self.older = _Generation(), _Generation()
 
     def pieces(self, text: str) -> tuple[list[str], list[str]]:
         whole, spaced = vocabularies.pieces(text) if {" ", "\n"} <= set(self.cuts) else ([text], [])
@@ -104,11 +143,12 @@ class Aligner(vocabularies.PieceCache):
             return whole, spaced
         return [text[x:y] for x, y in pairwise([0, *(m.start() for m in self.cut.finditer(text)), len(text)])], []
 
-    def _groups(self, ids_a: list[int], ids_b: list[int], piece_ends: np.ndarray) -> list[Piece]:
+    def _groups(self, ids_a: list[int], ids_b: list[int], piece_ends: np.ndarray) -> Pieces:
         """Pieces of a text from the tokens of all of it, and where in its bytes each piece ends."""
         a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        ends = np.intersect1d(ends_a, ends_b)
+        ends = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), max(0, len(ends_b) - 1))] == ends_a] if len(ends_b) else ends_b
+        ends = ends[np.append(True, ends[1:] != ends[:-1])[: len(ends)]]
         to_a, to_b = (np.concatenate([[0], np.searchsorted(own, ends) + 1]) for own in (ends_a, ends_b))
         n_a, n_b = np.diff(to_a), np.diff(to_b)
         each = n_a * n_b
@@ -116,18 +156,16 @@ class Aligner(vocabularies.PieceCache):
         group = np.repeat(np.arange(len(ends)), each)
         k = np.arange(len(group)) - to_link[group]
         links = a[to_a[group] + k // n_b[group]] * len(self.bytes_b) + b[to_b[group] + k % n_b[group]]
-        raw = links.astype("<i8").tobytes()
         text_a, text_b = list(map(str, ids_a)), list(map(str, ids_b))
         cuts_a, cuts_b = to_a.tolist(), to_b.tolist()
         shown = [
-            f"{text_a[i]}|{text_b[x]}" if j == i + 1 and y == x + 1 else ",".join(text_a[i:j]) + "|" + ",".join(text_b[x:y])
+            f";{text_a[i]}|{text_b[x]}" if j == i + 1 and y == x + 1 else ";" + ",".join(text_a[i:j]) + "|" + ",".join(text_b[x:y])
             for (i, j), (x, y) in zip(pairwise(cuts_a), pairwise(cuts_b), strict=True)
         ]
         cuts = np.concatenate([[0], np.searchsorted(ends, piece_ends) + 1])
-        sizes = (np.diff(to_a[cuts]).tolist(), np.diff(to_b[cuts]).tolist(), np.diff(cuts).tolist())
-        texts = [shown[i] if j == i + 1 else ";".join(shown[i:j]) for i, j in pairwise(cuts.tolist())]
-        parts = [raw[8 * i : 8 * j] for i, j in pairwise(to_link[cuts].tolist())]
-        return list(map(Piece, *sizes, texts, parts))
+        counts = np.stack([np.diff(to_a[cuts]), np.diff(to_b[cuts]), np.diff(cuts)], axis=1)
+        texts = pa.array([shown[i] if j == i + 1 else "".join(shown[i:j]) for i, j in pairwise(cuts.tolist())], pa.string())
+        return Pieces(counts, texts, links, np.diff(to_link[cuts]))
 
     def _ids_b(self, text: str) -> list[int]:
         """Of a text with its leading space; of a piece from within a text, without the space that is added to it."""
@@ -135,24 +173,81 @@ class Aligner(vocabularies.PieceCache):
             return self.b.encode(text[1:]) if len(text) > 1 else [self.b.piece_to_id(_SPACE)]
         return self.b.encode(text)[1:]
 
-    def _align(self, texts: list[str], joined: bool) -> list[Piece | None]:
+    def _align(self, texts: list[str], joined: bool) -> Pieces:
+        """joined: whether the texts may be read as one, one after the other."""
         if joined:
             text = "".join(texts)
             a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self._ids_b(text)
-            if b"".join(self.bytes_b[i] for i in b) == text.encode():
+            if b"".join(map(self.bytes_b.__getitem__, b)) == text.encode():
                 return self._groups(a, b, np.cumsum([len(t.encode()) for t in texts]))
-        found: list[Piece | None] = []
+        all_a, all_b, ends, place = [], [], [], []
         for text, of_a in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             a, b, raw = of_a.ids, self._ids_b(text), text.encode()
-            same = b"".join(self.bytes_a[i] for i in a) == raw == b"".join(self.bytes_b[i] for i in b)
-            found.append(self._groups(a, b, np.array([len(raw)]))[0] if same else None)
-        return found
-
-    def of_documents(self, texts: list[str | None]) -> list[list[Piece]]:
-        """The pieces of each text; none where it is null, empty or not given back."""
-        found = iter(self.of_texts([" " + t for t in texts if t]))
-        pieces = [next(found) if t else [] for t in texts]
-        return [[] if None in own else own for own in pieces]
+            same = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+            place.append(len(ends) if same else -1)
+            if same:
+                all_a += a
+                all_b += b
+                ends.append(len(raw))
+        lost = Pieces(np.full((1, 3), -1), pa.array([""]), np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64))
+        if not ends:
+            return lost.at(np.zeros(len(texts), dtype=np.int64))
+        both = _united_pieces([self._groups(all_a, all_b, np.cumsum(ends)), lost])
+        return both.at(np.array(place) % (len(ends) + 1))
+
+    def _add_new(self) -> None:
+        """What is known of the pieces that have got a number, from the older generation or both tokenizers."""
+        numbers: list[int] = []
+        parts: list[Pieces] = []
+        for known, kept, prefix in ((self.younger.whole, self.older.whole, ""), (self.younger.spaced, self.older.spaced, " ")):
+            earlier = [kept.get(piece) for piece, _ in known.new]
+            moved = [n for n in earlier if n is not None]
+            if moved:
+                numbers += [n for (_, n), before in zip(known.new, earlier, strict=True) if before is not None]
+                parts.append(self.older.known.at(np.array(moved)))
+            new = [x for x, before in zip(known.new, earlier, strict=True) if before is None]
+            for own, texts, joined in vocabularies.whole_batches(new, prefix):
+                numbers += own
+                parts.append(self._align(texts, joined))
+        if parts:
+            self.younger.known = _united_pieces([self.younger.known, _united_pieces(parts).at(np.argsort(numbers))])
+
+    def of_column(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """n_a, n_b, n_groups of each text, its groups, all links, and how many each text has; zeros and an empty text
+        where it is null, empty or not given back."""
+        some = pc.fill_null(pc.not_equal(texts, ""), False).to_numpy(zero_copy_only=False)
+        counts, groups, sizes = np.zeros((len(texts), 3), dtype=np.int64), [""] * len(texts), np.zeros(len(texts), dtype=np.int64)
+        if not some.any():
+            return counts, groups, np.zeros(0, dtype=np.int64), sizes
+        spaced = pc.binary_join_element_wise(pa.scalar(" "), texts.filter(pa.array(some)), "")
+        simple = {" ", "\n"} <= set(self.cuts)
+        numbers, order = self._numbers(spaced, self._odd(spaced) if simple else np.ones(len(spaced), dtype=bool))
+        lasts = np.flatnonzero(numbers == 0)
+        firsts = np.append(0, lasts[:-1] + 1)
+        if len(order) and (order != np.arange(len(order))).any():
+            spans = [numbers[firsts[k] : lasts[k] + 1] for k in order.tolist()]
+            numbers = np.concatenate(spans)
+            lasts = np.cumsum(list(map(len, spans))) - 1
+            firsts = np.append(0, lasts[:-1] + 1)
+        self._add_new()
+        found = self.younger.known.at(numbers)
+        self._forget(len(self.younger.known.links))
+        same = np.minimum.reduceat(found.counts[:, 0], firsts) >= 0
+        own = np.flatnonzero(some)[same]
+        counts[own] = np.add.reduceat(found.counts, firsts)[same]
+        sizes[own] = np.add.reduceat(found.sizes, firsts)[same]
+        offsets = np.frombuffer(found.groups.buffers()[1], np.int32)[: len(numbers) + 1]
+        raw = memoryview(found.groups.buffers()[2])
+        for k, a, b in zip(own.tolist(), offsets[firsts[same]].tolist(), offsets[lasts[same]].tolist(), strict=True):
+            groups[k] = str(raw[a + 1 : b], "ascii")
+        kept = np.repeat(np.repeat(same, lasts - firsts + 1), found.sizes)
+        return counts, groups, found.links if same.all() else found.links[kept], sizes
+
+    def of_documents(self, texts: list[str | None]) -> list[list[Text]]:
+        """Each text as a whole; none where it is null, empty or not given back."""
+        counts, groups, links, sizes = self.of_column(pa.array(texts, pa.string()))
+        rows = zip(counts.tolist(), groups, np.split(links, np.cumsum(sizes)[:-1]), strict=True)
+        return [[Text(*own, shown, linked)] if own[0] else [] for own, shown, linked in rows]
 
 
 @lru_cache(maxsize=2)
@@ -201,23 +296,22 @@ def align(docs: DataFrame, keep: list[str], path_a: str = BYTE_BPE, path_b: str
         for batch in batches:
             arrow = arrow or pa.schema([*(batch.schema.field(c) for c in keep), *_arrow(fields)])
             for some in common.slices(batch, "__text", SLICE_BYTES):
-                found = [list(zip(*own, strict=True)) for own in aligner.of_documents(some.column("__text").to_pylist())]
-                at = number + np.arange(len(found))
+                counts, groups, own_links, sizes = aligner.of_column(some.column("__text"))
+                at = number + np.arange(len(sizes))
                 block = (part << 32) + at // postings.BLOCK
                 shown = {c: some.column(c) for c in keep} | {"block": pa.array(block), "row": pa.array(at % postings.BLOCK)}
                 for k, c in enumerate(("n_a", "n_b", "n_groups")):
-                    shown[c] = pa.array([sum(own[k]) if own else 0 for own in found])
-                shown["groups"] = pa.array([";".join(own[3]) if own else "" for own in found], pa.string())
-                raw = [b"".join(own[4]) if own else b"" for own in found]
-                shown["n_links"] = pa.array([len(x) // 8 for x in raw])
-                yield filled(shown, len(found))
-                for k, x in zip(at.tolist(), raw, strict=True):
+                    shown[c] = pa.array(counts[:, k])
+                shown["groups"] = pa.array(groups, pa.string())
+                shown["n_links"] = pa.array(sizes)
+                yield filled(shown, len(sizes))
+                for k, x in zip(at.tolist(), np.split(own_links, np.cumsum(sizes)[:-1]), strict=True):
                     if links and (k % postings.BLOCK == 0 or many >= MOST_LINKS):
                         yield from written((part << 32) + (k - 1) // postings.BLOCK)
                         links, many = [], 0
-                    links.append(np.frombuffer(x, "<i8") * postings.BLOCK + k % postings.BLOCK)
-                    many += len(x) // 8
-                number += len(found)
+                    links.append(x * postings.BLOCK + k % postings.BLOCK)
+                    many += len(x)
+                number += len(sizes)
         if links:
             yield from written((part << 32) + (number - 1) // postings.BLOCK)
 

@@ -84,6 +84,25 @@ def test_pieces_align_as_whole_texts(whole):
         assert found == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in whole.groups(text)), repr(text)
 
 
+@pytest.mark.parametrize("most", [20, 1 << 20])
+def test_columns_of_texts(whole, most):
+    """Counts, groups and links of many texts at once, nulls and texts not given back among them, also when pieces are
+    forgotten."""
+    draw = random.Random(8)
+    aligner = alignment.Aligner(alignment.BYTE_BPE, alignment.PIECE_BPE)
+    aligner.most = most
+    texts = [None, "", *("".join(draw.choices([*PARTS, "▁", "<s>"], k=draw.randint(0, 14))) for _ in range(1000)), "x▁y", None]
+    for size in (1, 60, len(texts)):
+        for start in range(0, len(texts) if size > 1 else 50, size):
+            some = texts[start : start + size]
+            counts, groups, links, sizes = aligner.of_column(pa.array(some, pa.string()))
+            own = [whole.groups(t) for t in some]
+            assert counts.tolist() == [[sum(len(a) for a, _ in x), sum(len(b) for _, b in x), len(x)] for x in own]
+            assert groups == [";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in x) for x in own]
+            linked = [[i * len(aligner.bytes_b) + j for a, b in x for i in a for j in b] for x in own]
+            assert sizes.tolist() == list(map(len, linked)) and links.tolist() == [p for x in linked for p in x]
+
+
 def test_query(spark, whole):
     docs = spark.read.parquet(f"{data('sf0.001')}/documents.parquet").select("doc_id", "text").collect()
     found = queries.queries()["op11_tokenizer_alignment"](spark, data("sf0.001"))
