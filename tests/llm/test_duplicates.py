@@ -238,3 +238,22 @@ def test_keys_of_lines_travel_packed(spark):
     for edits in range(12):
         for q, shortest, end in line_dedup._lengths(edits, 20):
             assert all((line_dedup.reach(k, edits) + 1) * q <= k for k in range(max(20, shortest), min(end, 3000)))
+
+
+@pytest.mark.parametrize("words", [1, 2, 3])
+def test_bands_of_several_words(words):
+    """Each pair has a limit of its own, up to what its words hold."""
+    draw = random.Random(words)
+    pairs, limits = [], []
+    for _ in range(60):
+        text = "".join(draw.choices("abcd ", k=draw.randint(150, 260)))
+        other = list(text)
+        for at in sorted(draw.sample(range(len(text)), draw.randint(0, 60)), reverse=True):
+            other[at : at + 1] = draw.choice([[], ["e"], ["e", "f"]])
+        pairs.append(edit_distance._trimmed(text + "x", "".join(other) + "y"))
+        limits.append(draw.randint(0, 32 * words - 2))
+    kept = [k for k, (x, y) in enumerate(pairs) if len(x) - len(y) <= limits[k] < len(x)]
+    pairs, limits = [pairs[k] for k in kept], [limits[k] for k in kept]
+    found = edit_distance._banded([x for x, _ in pairs], [y for _, y in pairs], np.array(limits), words)
+    assert len(kept) > 30
+    assert (found <= limits).tolist() == [edit_distance._distance(*p) <= most for p, most in zip(pairs, limits, strict=True)]
