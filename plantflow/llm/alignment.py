@@ -43,7 +43,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Links gathered before the bitmaps of what a block has so far are written; they are united afterwards.
 MOST_LINKS = 2_000_000
 #: Bytes of text handled at once, and pieces kept by a worker: with the links, what bounds its memory.
-SLICE_BYTES, MOST_PIECES = 2 << 20, 800_000
+SLICE_BYTES, MOST_PIECES = 1 << 20, 400_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _SPACE = "▁"
 
