@@ -1,12 +1,16 @@
 """Components, SimHash and line dedup against brute force."""
 
+import glob
 import random
+import tempfile
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from plantflow.llm import components, edit_distance, line_dedup, queries, simhash_dedup
+from plantflow.llm import common, components, edit_distance, line_dedup, queries, simhash_dedup
 from tests.compare import data
 
 
@@ -257,3 +261,36 @@ def test_bands_of_several_words(words):
     found = edit_distance._banded([x for x, _ in pairs], [y for _, y in pairs], np.array(limits), words)
     assert len(kept) > 30
     assert (found <= limits).tolist() == [edit_distance._distance(*p) <= most for p, most in zip(pairs, limits, strict=True)]
+
+
+def test_rounds_of_groups(spark, lined, monkeypatch):
+    """Few members a round give the same rows."""
+    df = spark.createDataFrame(lined, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "ROUND", 500)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.scan(df).collect()} == plain_removed(lined)
+
+
+def test_counts_of_characters_rule_out_no_duplicate():
+    draw = random.Random(8)
+    lines = ["".join(draw.choices("abcdefgh éß漢字", k=draw.randint(20, 600))) for _ in range(200)]
+    lines += [mutated(draw, x, line_dedup.limit(len(x), 2)) for x in lines] + ["a" * 300, "a" * 310]
+    counts = np.minimum(line_dedup._letters(lines), 255).astype(np.uint8)
+    kept = line_dedup._Sketches(np.array([len(x) for x in lines]), counts, 1, 2)
+    assert counts.shape == (402, 32) and kept.possible(np.arange(200), np.arange(200, 400)).all() and kept.possible(np.array([400]), np.array([401])).all()
+    assert kept.possible(np.arange(199), np.arange(1, 200)).mean() < 0.1
+
+
+def test_stored_steps_leave_no_shuffle_files(spark, tmp_path):
+    local = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+
+    def shuffled():
+        return set(glob.glob(f"{local}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+
+    before = shuffled()
+    rows = spark.range(50_000).select((F.col("id") % 20_000).alias("k")).groupBy("k").count()
+    found = common.stored(rows, f"{tmp_path}/rows")
+    end = time.time() + 10
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert found.count() == 20_000 and found.schema == rows.schema
