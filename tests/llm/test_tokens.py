@@ -11,7 +11,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from plantflow.llm import bpe_codec, token_counts, token_files, vocabularies
+from plantflow.llm import bpe_codec, common, token_counts, token_files, vocabularies
 from tests.compare import data
 
 PARTS = (
@@ -140,3 +140,17 @@ def test_counts(spark):
     for r in token_counts.count(docs).collect():
         n = len(tokenizer.encode(r["text"], add_special_tokens=False).ids)
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(r["text"].encode()), n, n > 1024)
+
+
+def test_pieces_become_strings_and_numbers_at_once():
+    for strings in ([], [""], ["", ""], ["a", "", "é😀\n", "\nb"]):
+        assert common.spaceless(pa.array(strings, pa.string())) == strings
+        assert common.spaceless(pa.array([x.encode() for x in strings], pa.binary())) == [x.encode() for x in strings]
+    assert common.spaceless(pa.array(["a", "b", "c"]).slice(1)) == ["b", "c"]
+    numbers = vocabularies._Numbers([1])
+    assert numbers.of_distinct(["x", "y"]).tolist() == [1, 2] and numbers["z"] == 3
+    assert numbers.of_distinct(["w", "z", "x", "v"]).tolist() == [4, 3, 1, 5]
+    assert numbers.new == [("x", 1), ("y", 2), ("z", 3), ("w", 4), ("v", 5)] and numbers.numbered == [6]
+    long = "y" * 70_000
+    assert [*vocabularies.batched(["a", long, "b", "c" * 65_535, "d"])] == [["a"], [long], ["b", "c" * 65_535], ["d"]]
+    assert [*vocabularies.batched([])] == []
