@@ -7,7 +7,6 @@ import os
 import numpy as np
 
 _ONE, _64 = np.uint64(1), np.uint64(64)
-_POPCOUNT = np.array([b.bit_count() for b in range(256)], dtype=np.int64)
 #: Place of the k-th set bit of a byte.
 _SELECT = np.array([[*(j for j in range(8) if b >> j & 1), *[0] * 8][:8] for b in range(256)], dtype=np.int64)
 
@@ -53,15 +52,14 @@ class EliasFano:
         before = self.ones if of_ones else np.arange(words + 1) * 64 - self.ones
         word = np.searchsorted(before[:words], k, side="right") - 1
         rest, own = k - before[word], self.high[word] if of_ones else ~self.high[word]
-        place, found = word * 64, np.zeros(len(k), dtype=bool)
-        for j in range(8):
-            byte = (own >> np.uint64(8 * j)).astype(np.int64) & 255
-            many = _POPCOUNT[byte]
-            here = ~found & (rest < many)
-            place = np.where(here, place + 8 * j + _SELECT[byte, np.minimum(rest, 7)], place)
-            rest = np.where(found | here, rest, rest - many)
-            found |= here
-        return place
+        place = word * 64
+        for width in (32, 16, 8):
+            many = np.bitwise_count(own & np.uint64((1 << width) - 1)).astype(np.int64)
+            up = rest >= many
+            rest = rest - many * up
+            own = own >> (up * np.uint64(width))
+            place += up * width
+        return place + _SELECT[(own & np.uint64(255)).astype(np.int64), np.minimum(rest, 7)]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         at = i.astype(np.uint64) * np.uint64(self.bits)
@@ -133,19 +131,22 @@ class Trie:
 
     def log10_codes(self, contexts: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(code, found): of the n-gram where it is found, else of what its context leaves, 0 for an unknown context."""
-        place, known = self.contexts.find(contexts)
-        rank, there = self.vocabulary.find(successors)
         code, found = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), bool)
-        if not self.contexts.n:
+        if not self.contexts.n or not len(contexts):
             return code, found
-        code[known] = self.rest[place[known]]
-        own = np.flatnonzero(known & there)
-        start, end = (self.pointers.access(place[own] + k).astype(np.int64) for k in (0, 1))
+        # a context is looked up once for all that stand next to each other, a successor once
+        starts = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
+        place, known = self.contexts.find(contexts[starts])
+        start, end = (self.pointers.access(place + k).astype(np.int64) for k in (0, 1))
         base = np.where(start > 0, self.successors.access(np.maximum(start - 1, 0)).astype(np.int64) + 1, 0)
-        target = rank[own] + base
-        inside = target <= self.successors.access(end - 1).astype(np.int64)
-        own, target = own[inside], target[inside]
-        at, same = self.successors.find(target)
+        last = self.successors.access(end - 1).astype(np.int64)
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(contexts))))
+        code = np.where(known, self.rest[place], 0).astype(np.int64)[of]
+        words, number = np.unique(successors, return_inverse=True)
+        rank, there = self.vocabulary.find(words)
+        target = rank[number] + base[of]
+        own = np.flatnonzero(known[of] & there[number] & (target <= last[of]))
+        at, same = self.successors.find(target[own])
         found[own[same]] = True
         code[own[same]] = self.p[at[same]]
         return code, found

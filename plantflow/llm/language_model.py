@@ -131,7 +131,7 @@ def _dealt(numbered: DataFrame, schema: str, pack: Callable[[list[bytes], np.nda
             words = pa.chunked_array([w for w, _ in held]).unify_dictionaries().combine_chunks()
             words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
             rows = np.concatenate([r for _, r in held])
-            shown = pack(words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64), rows, outside)
+            shown = pack(common.spaceless(words.dictionary), words.indices.to_numpy().astype(np.int64), rows, outside)
             shown["block"] = pa.array(np.full(len(shown["shard"]), own))
             return pa.RecordBatch.from_arrays([shown[c] for c in names], names=names)
 

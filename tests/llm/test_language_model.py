@@ -113,3 +113,21 @@ def test_model_predicts_held_out_text_better_than_words_alone(spark):
     found = queries.queries()["op12_language_model"](spark, data("sf0.01")).filter("held_out")
     score, base = found.agg(F.sum("score"), F.sum("base_score")).first()
     assert score > base
+
+
+def test_each_context_and_successor_is_looked_up_once(tmp_path, monkeypatch):
+    draw = np.random.default_rng(3)
+    v, w = (draw.integers(0, 1 << 48, n).astype(np.uint64) for n in (20, 50))
+    pairs = np.unique(np.stack([draw.choice(v[:15], 400), draw.choice(w[:40], 400)]), axis=1)
+    p = -draw.random(pairs.shape[1]) * 5
+    trie = elias_fano.Trie(pairs[0], pairs[1], p, lambda x: np.full(len(x), -2.0), elias_fano.Files(str(tmp_path)))
+    asked, find = [], elias_fano.EliasFano.find
+    monkeypatch.setattr(elias_fano.EliasFano, "find", lambda self, x: (asked.append((self, len(x))), find(self, x))[1])
+    contexts, successors = np.repeat(np.sort(v), len(w)), np.tile(w, len(v))
+    code, found = trie.log10_codes(contexts, successors)
+    want = {(a, b): x for a, b, x in zip(*pairs.tolist(), elias_fano.quantised(p).tolist(), strict=True)}
+    rest = {a: int(elias_fano.quantised(np.array([-2.0]))[0]) for a in pairs[0].tolist()}
+    keys = list(zip(contexts.tolist(), successors.tolist(), strict=True))
+    assert found.tolist() == [k in want for k in keys]
+    assert code.tolist() == [want.get(k, rest.get(k[0], 0)) for k in keys]
+    assert [n for own, n in asked if own is trie.contexts] == [20] and [n for own, n in asked if own is trie.vocabulary] == [50]
