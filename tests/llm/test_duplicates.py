@@ -4,6 +4,7 @@ import glob
 import random
 import tempfile
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -294,3 +295,76 @@ def test_stored_steps_leave_no_shuffle_files(spark, tmp_path):
         time.sleep(0.1)
     assert not shuffled() - before
     assert found.count() == 20_000 and found.dtypes == rows.dtypes
+
+
+def test_long_pairs_are_verified_in_bounded_memory():
+    """Memory follows the characters told at once, not the longest of many pairs."""
+    draw = random.Random(12)
+    pairs = []
+    for k in range(400):
+        text = "".join(draw.choices("abcdefgh ", k=4000))
+        pairs.append((f"x{text}y", mutated(draw, f"z{text[:2000]}", 150 + k % 100) + f"{text[2000:]}w"))
+    tracemalloc.start()
+    found = edit_distance.within(pairs, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < found.sum() < 400 and peak < 64 << 20
+    assert found[::40].tolist() == [edit_distance._distance(*edit_distance._trimmed(*p)) <= 200 for p in pairs[::40]]
+
+
+@pytest.mark.parametrize("most", [0, 3, 40, 300])
+def test_bands_in_one_number(most):
+    draw = random.Random(most)
+    for _ in range(60):
+        text = "".join(draw.choices("abcd ", k=draw.randint(most + 10, most + 400)))
+        x, y = edit_distance._trimmed(f"{text}x", f"{mutated(draw, text, most)}y")
+        if len(x) - len(y) <= most < len(x):
+            assert edit_distance._near(x, y, most) == (edit_distance._distance(x, y) <= most)
+
+
+def test_first_grams_survive_the_edits():
+    """Those taken come first in the order of all, and more than `most` of them don't overlap."""
+    draw = np.random.default_rng(4)
+    for q in (6, 12):
+        sizes = draw.integers(20 if q == 6 else 57, 60 if q == 6 else 900, 40)
+        most = np.array([line_dedup.reach(n, 2) for n in sizes.tolist()])
+        order = draw.integers(0, 1 << 9, (sizes - q + 1).sum()).astype(np.uint16)
+        line, place = line_dedup._chosen(order, sizes, most, q)
+        ends = np.cumsum(sizes - q + 1)
+        for k, end in enumerate(ends.tolist()):
+            own, at = order[end - sizes[k] + q - 1 : end], np.sort(place[line == k])
+            assert at.tolist() == np.flatnonzero(own <= own[at].max()).tolist()
+            apart, free = 0, 0
+            for p in at.tolist():
+                if p >= free:
+                    apart, free = apart + 1, p + q
+            assert apart > most[k]
+
+
+def test_groups_of_the_same_lines_are_verified_once(spark):
+    """Nearly equal groups are one; groups with no more than a line in common stay, and every pair of lines meets."""
+    rows = [(g, k) for g in range(30) for k in range(100) if k < 5 or k > 94 or (k + g) % 10]
+    rows += [(g, k) for g in range(100, 110) for k in [1000, *range(2000 + 10 * g, 2010 + 10 * g)]]
+    for chunk in (512, 20):
+        found = {}
+        for r in line_dedup._merged(spark.createDataFrame(rows, "group long, id long"), chunk).collect():
+            found.setdefault(r["group"], set()).add(r["id"])
+        own = [x for x in found.values() if min(x) < 1000]
+        assert all(len(x) <= 100 for x in own) and sum(len(x) ** 2 for x in own) <= 4 * 100**2
+        assert {(a, b) for x in own for a in x for b in x} == {(a, b) for a in range(100) for b in range(100)}
+        wanted = {(g, k) for g, k in rows if g >= 100}
+        assert all(any({k for h, k in wanted if h == g} <= x for x in found.values()) for g in range(100, 110))
+        assert sum(len(x) for x in found.values() if max(x) >= 1000) == 110
+
+
+def test_rounds_of_pairs(spark, lined, monkeypatch):
+    """Few pairs a round give the same rows."""
+    df = spark.createDataFrame(lined, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "STAR_ROUND", 40)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.scan(df).collect()} == plain_removed(lined)
+
+
+def test_large_groups_against_brute_force(spark, lined, monkeypatch):
+    df = spark.createDataFrame(lined, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "MANY", 2)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.scan(df).collect()} == plain_removed(lined)
