@@ -373,3 +373,15 @@ def test_large_groups_against_brute_force(spark, lined, monkeypatch):
     df = spark.createDataFrame(lined, "doc_id long, text string")
     monkeypatch.setattr(line_dedup, "MANY", 2)
     assert {r["doc_id"]: r["removed"] for r in line_dedup.scan(df).collect()} == plain_removed(lined)
+
+
+def test_rare_grams_come_first(spark):
+    """Each q-gram of a line's own words is in a sample once, like most of a corpus in none; frequent words come last."""
+    draw = random.Random(21)
+    common_words = ["".join(draw.choices("abcdefgh", k=4)) for _ in range(12)]
+    texts = [" ".join([*draw.choices(common_words, k=25), *("".join(draw.choices("klmnopqrstuvwxyz", k=5)) for _ in range(24))]) for _ in range(600)]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string").coalesce(1)
+    tables = line_dedup._ranks(lines, len(texts), 2, 20)
+    codes = line_dedup._codes(texts[:1])
+    order = line_dedup._order(line_dedup._hashes(codes, 12), codes, 12, tables)
+    assert order[:100].min() > order[130:].max()
