@@ -385,3 +385,14 @@ def test_rare_grams_come_first(spark):
     codes = line_dedup._codes(texts[:1])
     order = line_dedup._order(line_dedup._hashes(codes, 12), codes, 12, tables)
     assert order[:100].min() > order[130:].max()
+
+
+def test_many_pairs_of_a_few_strings():
+    """One string in many pairs, of any length, at the edges of words."""
+    draw = random.Random(22)
+    for most in (0, 2, 30, 31, 62, 63):
+        texts = ["".join(draw.choices("abcd ü", k=draw.choice([1, 63, 64, 65, 128, most + 1, 200]))) for _ in range(6)]
+        texts += [mutated(draw, x, most + draw.randint(-1, 1)) if most else x for x in texts for _ in range(3)]
+        pairs = [(x, y) for x in texts for y in texts]
+        found = edit_distance.within(pairs, most)
+        assert found.tolist() == [edit_distance._distance(*map(edit_distance._codes, sorted(p, key=len, reverse=True))) <= most if all(p) else max(map(len, p)) <= most for p in pairs]
