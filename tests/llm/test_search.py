@@ -185,6 +185,19 @@ def test_repeated_stretches_decide_about_what_declared_pages_leave_open(spark, c
     }
 
 
+@pytest.mark.parametrize("chunk", [8 << 20, 100])
+def test_repeated_stretches_are_told_of_every_host(spark, chunk, monkeypatch):
+    """Where all pages declare their articles, too; what articles share does not count."""
+    monkeypatch.setattr(html_extraction, "CHUNK_BYTES", chunk)
+    menu, shared = "home world sport money weather travel books music arts food", "words that all of the articles of a host have in them"
+    page = lambda k, x: f"<nav>{x}</nav><article>{shared}</article><footer>{k} foot</footer>"
+    rows = [(k, f"http://a/{k}", page(k, menu)) for k in range(4)] + [(10 + k, f"http://b/{k}", page(k, menu if k < 2 else "x")) for k in range(4)]
+    rows += [(20, None, None), (21, "http://a/open", f"<div>{menu}</div><div>own</div>")]
+    found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["n_repeated"] for r in found} == {**{k: 3 for k in (0, 1, 2, 3, 21)}, **{10 + k: 0 for k in range(4)}, 20: 0}
+    assert {r["page_id"]: r["text"] for r in found} == {**{k: shared for k in (*range(4), *range(10, 14))}, 20: "", 21: "own"}
+
+
 def test_rows_that_differ_in_what_is_null(spark):
     rows = [(1, "plain body text one", None), (1, None, "plain body text one"), (None, "plain body text one", "1"), (None, None, None)]
     found = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
